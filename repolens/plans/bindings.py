@@ -106,8 +106,9 @@ def raw_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((key * 1299709) % 100).alias("open_issues_count"),
         _iso(created).alias("created_at"),
         _iso(F.coalesce(F.col("max_ship"), F.col("o_orderdate"))).alias("pushed_at"),
-        alias.alias("language"),
         F.to_date("o_orderdate").alias("created_date"),
+        alias.alias("language"),
+        F.trunc(F.to_date("o_orderdate"), "month").alias("created_month"),
     )
 
 

@@ -426,7 +426,7 @@ def q_package_freq(spark, d):
 
 
 # D15 ------------------------------------------------------------------------
-PACKAGE_FLOOR = 150
+PACKAGE_FLOOR = 60
 
 
 @register(
@@ -480,9 +480,9 @@ def q_repos_all_packages(spark, d):
 
 # J1, D0-D9, E2, E3, I2, H1, C16 ---------------------------------------------
 EXPLORER_LANGS = ["Python", "Java", "Go", "C", "Rust", "HTML", "Shell"]
-EXPLORER_TOPICS = ["red plate", "small widget", "old rod", "hot ring"]
-EXPLORER_PACKAGES = ["red-plate", "small-widget"]
-EXPLORER_LICENSES = ["GERMANY", "FRANCE", "BRAZIL", "CHINA", "JAPAN", "KENYA", "PERU", "INDIA", "IRAN", "RUSSIA"]
+EXPLORER_TOPICS = ["small widget", "old rod", "hot ring", "large rod"]
+EXPLORER_PACKAGES = ["red-plate"]
+EXPLORER_LICENSES = [f"NATION_{i}" for i in (2, 3, 10, 11, 12, 13, 19, 21, 23, 24)]
 
 _REPORT_COLS = """name, url, language, stars, forks, open_issues, archived, has_wiki, description, license,
        topics, owner, days_since_creation, days_since_last_commit, creation_date, last_commit_date"""

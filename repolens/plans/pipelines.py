@@ -27,6 +27,7 @@ from repolens.operators.reports import (
 from repolens.operators.rollups import keep_top_k, repo_rollup, topic_rollup
 from repolens.operators.tables import normalize_repos, owner_table, repo_table, topic_table
 from repolens.schemas import (
+    RAW_REPO,
     DEFAULT_PATH_PATTERN,
     FULL_PATH_PATTERN,
     REFRESH_WINDOW_DAYS,
@@ -135,13 +136,13 @@ def trailing_window(as_of, window: int = REFRESH_WINDOW_DAYS) -> tuple[dt.date,
 
 
 def refresh_landed(
-    batch: DataFrame, path: str, as_of, window: int = REFRESH_WINDOW_DAYS,
-    partition_cols=("language", "created_date"),
+    batch: DataFrame, path: str, as_of, window: int = REFRESH_WINDOW_DAYS, schema=None,
 ) -> tuple[dt.date, dt.date]:
-    """J10 sink side: overwrite only the partitions of the trailing window."""
+    """J10 sink side: replace the landed (language, day) keys of the
+    trailing window; every other day is left as it is."""
     start, end = trailing_window(as_of, window)
     part = batch.where(F.col("created_date").between(F.lit(start), F.lit(end)))
-    write_partitioned(part, path, list(partition_cols), mode="overwrite")
+    write_partitioned(part, path, mode="overwrite", schema=schema)
     return start, end
 
 
@@ -151,14 +152,13 @@ def partition_refresh_demo(spark: SparkSession, raw: DataFrame, as_of) -> DataFr
     trailing window with changed rows, then re-read (A1-A3)."""
     path = shared_scratch(spark, "landed")
     raw = raw.where(F.col("language").isin(list(SUPPORTED_LANGUAGES)))
-    write_partitioned(raw, path, ["language", "created_date"], mode="overwrite")
+    write_partitioned(raw, path, mode="overwrite", schema=RAW_REPO)
     # A second landing in skip mode must not change anything.
     write_partitioned(
-        raw.withColumn("stargazers_count", F.col("stargazers_count") + 1),
-        path, ["language", "created_date"], mode="skip", schema=raw.schema,
+        raw.withColumn("stargazers_count", F.col("stargazers_count") + 1), path, mode="skip", schema=RAW_REPO
     )
     changed = raw.withColumn("stargazers_count", F.col("stargazers_count") + 1000)
-    refresh_landed(changed, path, as_of)
+    refresh_landed(changed, path, as_of, schema=RAW_REPO)
     back = R.read_raw_repos(spark, path)
     return back.select("id", "language", "created_date", "stargazers_count")
 

@@ -99,12 +99,21 @@ RAW_REPO_FIELDS = [
 ]
 RAW_REPO_COLUMNS = [f.name for f in RAW_REPO_FIELDS]
 
-# Landed dataset: data columns + hive partitions language=<alias>/created_date=<d>.
+# Landed dataset: data columns + created_date, hive partitions
+# language=<alias>/created_month=<first day of month>.
 RAW_REPO = T.StructType(
     RAW_REPO_FIELDS
-    + [T.StructField("language", T.StringType()), T.StructField("created_date", T.DateType())]
+    + [
+        T.StructField("created_date", T.DateType()),
+        T.StructField("language", T.StringType()),
+        T.StructField("created_month", T.DateType()),
+    ]
 )
 
+# Partition layout of every landed dataset: a (language, month) directory
+# holds the days of that month, sorted by day inside the files.
+LANDING_PARTITIONS = ["language", "created_month"]
+
 # One search response page.
 SEARCH_PAGE = T.StructType(
     [
@@ -135,8 +144,9 @@ STRUCTURE = T.StructType(
         T.StructField("repo_id", T.LongType()),
         T.StructField("path", T.StringType()),
         T.StructField("url", T.StringType()),
-        T.StructField("language", T.StringType()),
         T.StructField("created_date", T.DateType()),
+        T.StructField("language", T.StringType()),
+        T.StructField("created_month", T.DateType()),
     ]
 )
 
@@ -146,9 +156,10 @@ CONTENT = T.StructType(
         T.StructField("path", T.StringType()),
         T.StructField("url", T.StringType()),
         T.StructField("content", T.StringType()),
+        T.StructField("created_date", T.DateType()),
         T.StructField("language", T.StringType()),
         T.StructField("key", T.StringType()),
-        T.StructField("created_date", T.DateType()),
+        T.StructField("created_month", T.DateType()),
     ]
 )
 

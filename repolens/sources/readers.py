@@ -12,8 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repolens.functions.dates import check_date_range
+from pyspark.sql import types as T
+
 from repolens.schemas import (
     CONTENT,
+    RAW_REPO_FIELDS,
     RAW_REPO,
     RAW_REPO_COLUMNS,
     SEARCH_PAGE,
@@ -30,6 +33,7 @@ def partition_filter(
     end=None,
     language_col: str = "language",
     date_col: str = "created_date",
+    month_col: str = "created_month",
 ) -> DataFrame:
     """A2: restrict to languages and an inclusive date window (partition
     pruning); absent partitions simply contribute no rows."""
@@ -40,6 +44,10 @@ def partition_filter(
     if start is not None:
         s, e = check_date_range(start, end)
         df = df.where(F.col(date_col).between(F.lit(s), F.lit(e)))
+        if month_col in df.columns:
+            # Redundant with the day predicate, but on the partition column:
+            # Spark prunes whole month directories before opening any file.
+            df = df.where(F.col(month_col).between(F.lit(s.replace(day=1)), F.lit(e.replace(day=1))))
     return df
 
 
@@ -66,6 +74,19 @@ def read_raw_repos(
     return df.select(*cols)
 
 
+def read_daily_files(spark: SparkSession, path: str, languages=None, start=None, end=None) -> DataFrame:
+    """A1/A2 for the crawler's own layout ``language=<alias>/<YYYY-MM-DD>.parquet``:
+    the day comes from the file name (``_metadata.file_name``)."""
+    data = T.StructType(RAW_REPO_FIELDS + [T.StructField("language", T.StringType())])
+    df = spark.read.schema(data).parquet(path)
+    df = df.withColumn(
+        "created_date",
+        F.to_date(F.regexp_extract(F.col("_metadata.file_name"), r"^(\d{4}-\d{2}-\d{2})", 1)),
+    )
+    langs = languages or list(SUPPORTED_LANGUAGES)
+    return partition_filter(df, [l for l in ([langs] if isinstance(langs, str) else langs) if l in SUPPORTED_LANGUAGES], start, end)
+
+
 def discover_languages(df: DataFrame, language_col: str = "language") -> DataFrame:
     """A3: supported languages present among the partitions."""
     return (

@@ -1,9 +1,19 @@
 """Partitioned sinks and table maintenance.
 
-Writes are partitioned by the landing keys. ``overwrite`` replaces only the
-partitions present in the batch (dynamic partition overwrite), so a
-trailing-window refresh never touches older days. ``skip`` keeps
-partitions that already exist (left-anti join on the partition keys).
+Landed data is partitioned by (language, month) and sorted by day inside
+the files: one directory per language-day would hold a few hundred rows
+each (small-file blow-up at scale), while month directories stay large
+and Parquet min/max statistics still skip row groups by day.
+
+Write modes (per landing key = (language, day)):
+
+* ``append``: add the batch.
+* ``skip``: add only keys not landed yet (left-anti join on the key columns
+  of the existing data, which reads just those two columns).
+* ``overwrite``: replace the keys present in the batch, keep every other
+  key. The affected month partitions are rebuilt in a staging folder under
+  the shared checkpoint location, then swapped in with a dynamic partition
+  overwrite; untouched months are never rewritten.
 """
 
 from __future__ import annotations
@@ -14,40 +24,73 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from repolens.schemas import LANDING_PARTITIONS
+from repolens.session import shared_scratch
 
-def _existing_keys(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame | None:
+
+def with_month(df: DataFrame, date_col: str = "created_date", month_col: str = "created_month") -> DataFrame:
+    return df.withColumn(month_col, F.trunc(F.col(date_col), "month"))
+
+
+def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     try:
-        return spark.read.schema(schema).parquet(path).select(*keys).distinct()
+        return spark.read.schema(schema).parquet(path)
     except Exception:  # nothing landed yet
         return None
 
 
+def _write(df: DataFrame, path: str, partition_cols: list[str], date_col: str, mode: str) -> None:
+    # One shuffle on the partition keys: each (language, month) lands in one
+    # task, so it is written as few large files, sorted by day.
+    out = df.repartition(*partition_cols).sortWithinPartitions(*partition_cols, date_col)
+    writer = out.write.partitionBy(*partition_cols)
+    if mode == "overwrite":
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode("append")
+    writer.parquet(path)
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
-    partition_cols: list[str],
+    partition_cols: list[str] | None = None,
     mode: str = "overwrite",
     schema: T.StructType | None = None,
+    key_cols: tuple[str, ...] = ("language", "created_date"),
+    date_col: str = "created_date",
 ) -> None:
-    """Write ``df`` partitioned by ``partition_cols``.
-
-    ``mode="overwrite"`` replaces just the partitions in ``df``;
-    ``mode="skip"`` writes only partitions that do not exist yet;
-    ``mode="append"`` appends. Zero rows write nothing.
-    """
+    """Land ``df`` under ``path`` (see the module notes for modes).
+    Zero rows write nothing."""
     spark = df.sparkSession
-    out = df
+    partition_cols = list(partition_cols or LANDING_PARTITIONS)
+    if "created_month" in partition_cols and "created_month" not in df.columns:
+        df = with_month(df, date_col)
+    keys = list(key_cols)
+    if mode == "append":
+        _write(df, path, partition_cols, date_col, "append")
+        return
+    existing = _existing(spark, path, schema or df.schema)
     if mode == "skip":
-        existing = _existing_keys(spark, path, schema or df.schema, partition_cols)
-        if existing is not None:
-            out = df.join(existing, partition_cols, "left_anti")
-        mode = "append"
-    writer = out.write.partitionBy(*partition_cols)
-    if mode == "overwrite":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.parquet(path)
+        out = df if existing is None else df.join(existing.select(*keys).distinct(), keys, "left_anti")
+        _write(out, path, partition_cols, date_col, "append")
+        return
+    if mode != "overwrite":
+        raise ValueError("mode must be 'append', 'skip' or 'overwrite'")
+    if existing is None:
+        _write(df, path, partition_cols, date_col, "overwrite")
+        return
+    touched = df.select(*partition_cols).distinct()
+    replaced = df.select(*keys).distinct()
+    kept = (
+        existing.join(touched, partition_cols, "left_semi")
+        .join(replaced, keys, "left_anti")
+        .select(*df.columns)
+    )
+    staging = shared_scratch(spark, "staging")
+    _write(kept.unionByName(df), staging, partition_cols, date_col, "overwrite")
+    staged = spark.read.schema(schema or df.schema).parquet(staging).select(*df.columns)
+    _write(staged, path, partition_cols, date_col, "overwrite")
 
 
 def file_metadata(

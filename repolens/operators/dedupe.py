@@ -27,7 +27,8 @@ def keep_latest(
     ``ties="all"`` (default): rows tied on the latest date all survive; rows
     with a NULL key or a NULL date are never deleted (SQL ``=`` and ``<``
     never hold on NULL). Plan: partial ``max`` per key, then a left-semi
-    join back on (keys, date); AQE splits a hot key on the large side.
+    join back on the keys with ``date >= max``; AQE splits a hot key on the
+    large side.
     ``ties="one"``: one row per key (greatest date, then greatest row),
     a single partial aggregation.
     """
@@ -47,7 +48,10 @@ def keep_latest(
     latest = latest.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], _LATEST)
     left = candidates.alias("__l")
     cond = [F.col(f"__l.{k}") == F.col(f"__k{i}") for i, k in enumerate(keys)]
-    cond.append(F.col(f"__l.{date_col}") == F.col(_LATEST))
+    # ">= max" is "= max", but as a non-equality it stays out of the join
+    # keys: the join is clustered on ``keys`` only, so an input already
+    # partitioned by them (e.g. after a de-duplication) is not re-shuffled.
+    cond.append(F.col(f"__l.{date_col}") >= F.col(_LATEST))
     kept = left.join(latest, on=reduce(lambda a, b: a & b, cond), how="left_semi")
     return kept.unionByName(df.where(protected))
 

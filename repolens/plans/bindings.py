@@ -64,15 +64,15 @@ def raw_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
 
-    # (order, topic) pairs are reduced map-side before the per-order list is
-    # built, so the list holds distinct names only.
-    names = (
+    # One aggregation per order; collect_set de-duplicates map-side, so each
+    # partial (and the final list) holds distinct names only.
+    per_order = (
         li.join(p, li["l_partkey"] == p["p_partkey"], "left")
-        .groupBy("l_orderkey", F.lower("p_name").alias("t"))
-        .agg(F.max("l_shipdate").alias("ms"))
-    )
-    per_order = names.groupBy("l_orderkey").agg(
-        F.max("ms").alias("max_ship"), F.sort_array(F.collect_list("t")).alias("topic_names")
+        .groupBy("l_orderkey")
+        .agg(
+            F.max("l_shipdate").alias("max_ship"),
+            F.sort_array(F.collect_set(F.lower("p_name"))).alias("topic_names"),
+        )
     )
     cust = c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"], "left")
     base = o.join(cust, o["o_custkey"] == cust["c_custkey"], "left").join(

@@ -215,9 +215,10 @@ def q_topic_join_truncate(spark, d):
         o.join(li, o["o_orderkey"] == li["l_orderkey"])
         .join(p, li["l_partkey"] == p["p_partkey"])
         .select("o_custkey", F.lower(F.concat("p_name", F.lit("-"), "p_brand")).alias("t"))
-        .distinct()
     )
-    lists = pairs.groupBy("o_custkey").agg(F.sort_array(F.collect_list("t")).alias("tl"))
+    # collect_set de-duplicates map-side: a customer's list is bounded by the
+    # distinct name-brand strings, not by its number of lines.
+    lists = pairs.groupBy("o_custkey").agg(F.sort_array(F.collect_set("t")).alias("tl"))
     c = _t(spark, d, "customer").select("c_custkey")
     j = c.join(lists, c["c_custkey"] == lists["o_custkey"], "left")
     topics = join_topics_capped(F.col("tl"))

@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 
 from repolens.functions.dates import check_date_range, shift_date
 from repolens.operators.dedupe import keep_latest
-from repolens.operators.joins import content_lookup, files_by_pattern, repos_with_files, tree_blobs
+from repolens.operators.joins import (
+    branch_fallback,
+    content_lookup,
+    files_by_pattern,
+    repos_with_files,
+    tree_blobs,
+)
 from repolens.operators.packages import package_table
 from repolens.operators.reports import (
     filters_info,
@@ -106,11 +112,25 @@ def structure_job(
     path_pattern: str = FULL_PATH_PATTERN,
     min_stars: int = 10,
     limit: int | None = None,
+    current_branches: DataFrame | None = None,
 ) -> DataFrame:
     """Repositories of a (language, day) -> file rows of their landed
     trees (blobs matching the pattern); repositories without files keep one
-    row with NULL path and url."""
+    row with NULL path and url.
+
+    When the landed trees carry a ``branch``, the tree of the requested
+    branch is used, else the one of the repository's current default branch
+    (``current_branches``: repo_id, default_branch) (E9)."""
     repos = R.select_repos_to_crawl(repo, language, creation_date, min_stars, limit)
+    if "branch" in trees.columns:
+        cur = current_branches if current_branches is not None else repos.select(
+            F.col("id").alias("repo_id"), F.col("branch").alias("default_branch")
+        )
+        req = repos.join(cur.withColumnRenamed("repo_id", "id"), "id", "left")
+        chosen = branch_fallback(req, trees).select(
+            F.col("id").alias("repo_id"), F.col("tree_branch").alias("branch")
+        )
+        trees = trees.join(chosen, ["repo_id", "branch"], "left_semi")
     files = tree_blobs(trees, path_pattern)
     return repos_with_files(repos.withColumnRenamed("id", "repo_id"), files, "repo_id").select(
         "repo_id", "path", "url"
@@ -187,6 +207,87 @@ def run_repo_info(
     return {name: spark.read.parquet(f"{out_path}/{name}") for name in marts}
 
 
+def land_search_pages(
+    spark: SparkSession, pages_path: str, landed_path: str, mode: str = "skip", languages=None
+) -> DataFrame:
+    """J7 extract side (re-aimed): landed search responses (JSON) -> items
+    partitioned by (language alias, creation month), one landing key per
+    (language, creation day). ``mode`` is B2's skip-if-exists or overwrite.
+
+    Items are tagged with the alias of the display language they report;
+    unsupported languages are dropped (A3)."""
+    from repolens.functions.dates import parse_iso_timestamp
+
+    items = R.read_search_pages(spark, pages_path)
+    rev = F.create_map(*[F.lit(x) for kv in SUPPORTED_LANGUAGES.items() for x in (kv[1], kv[0])])
+    landed = items.withColumn("language", F.try_element_at(rev, F.col("language"))).where(
+        F.col("language").isNotNull()
+    )
+    if languages:
+        landed = landed.where(F.col("language").isin(list(languages)))
+    landed = landed.withColumn("created_date", F.to_date(parse_iso_timestamp(F.col("created_at"))))
+    landed = landed.select(*[f.name for f in RAW_REPO.fields if f.name != "created_month"])
+    write_partitioned(landed, landed_path, mode=mode, schema=RAW_REPO)
+    return landed
+
+
+def run_repo_info_flow(
+    spark: SparkSession,
+    pages_path: str | None,
+    landed_path: str,
+    out_path: str,
+    start,
+    end=None,
+    as_of=None,
+    extract: bool = True,
+    transform: bool = True,
+    overwrite_existed_files: bool = False,
+    languages=None,
+) -> dict[str, DataFrame] | None:
+    """Optional landing of search responses, then the transform run."""
+    if extract and pages_path:
+        land_search_pages(spark, pages_path, landed_path, "overwrite" if overwrite_existed_files else "skip", languages)
+    if transform:
+        return run_repo_info(spark, landed_path, out_path, start, end, as_of=as_of, languages=languages)
+    return None
+
+
+REQUIREMENTS_KEY = r"requirements.*\.txt"
+
+
+def run_repo_content_flow(
+    repo: DataFrame,
+    trees: DataFrame,
+    blobs: DataFrame,
+    language: str = "python",
+    creation_date=None,
+    structure: bool = True,
+    content: bool = True,
+    packages: bool = True,
+    structure_path_pattern: str = FULL_PATH_PATTERN,
+    content_path_pattern: str = DEFAULT_PATH_PATTERN,
+    min_stars: int = 10,
+    batch_ts: dt.datetime | None = None,
+    package_key: str = REQUIREMENTS_KEY,
+) -> dict[str, DataFrame]:
+    """Structure -> content -> packages, each stage switchable. Stages
+    that are switched off are skipped together with everything after them
+    that depends on their output."""
+    out: dict[str, DataFrame] = {}
+    if not structure:
+        return out
+    out["structure"] = structure_job(repo, trees, language, creation_date, structure_path_pattern, min_stars)
+    if not content:
+        return out
+    out["content"] = content_job(out["structure"].where(F.col("path").isNotNull()), blobs, content_path_pattern)
+    if not packages:
+        return out
+    # The package stage reads only the requirements-file partition (A5).
+    req = out["content"].where(F.col("key") == F.lit(package_key))
+    out["package"] = package_job(req.withColumn("language", F.lit(language)), batch_ts)
+    return out
+
+
 def run_etl(
     spark: SparkSession,
     landed_path: str,

@@ -57,6 +57,26 @@ def requirement_fields(line: Column) -> tuple[Column, Column, Column]:
     return package, operator, version
 
 
+# One pass over a line: the three leading runs of the requirement pattern
+# rewritten to "package\x01operator\x01version". Equivalent to matching the
+# full pattern once the line is known to start with a letter: the pattern's
+# tail "(.*?)\s*(;.*)?$" then always matches, so the groups are the greedy
+# leading runs. '#' belongs to none of the three classes, so a comment can
+# never change them either.
+_SEP = "\u0001"
+_RE_LEADING_RUNS = r"(?s)^\s*([\p{L}\p{N}_\-\.]+)\s*([><=~]+)?\s*([\p{L}\p{N}_\.]+)?.*$"
+
+
+def requirement_fields_fast(line: Column) -> tuple[Column, Column, Column]:
+    """Same result as ``requirement_fields`` for lines that start with a
+    letter, with a single regex evaluation per line."""
+    parts = F.split(F.regexp_replace(line, _RE_LEADING_RUNS, f"$1{_SEP}$2{_SEP}$3"), _SEP)
+    package = F.nullif(parts.getItem(0), F.lit(""))
+    op = F.nullif(F.try_element_at(parts, F.lit(2)), F.lit(""))
+    version = F.nullif(F.try_element_at(parts, F.lit(3)), F.lit(""))
+    return package, F.when(op.isin(VERSION_OPERATORS), op), version
+
+
 def clean_version(version: Column) -> Column:
     """Default '0.0.0'; longer than 25 characters -> NULL."""
     v = F.coalesce(version, F.lit(DEFAULT_VERSION))

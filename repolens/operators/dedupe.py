@@ -26,9 +26,9 @@ def keep_latest(
 
     ``ties="all"`` (default): rows tied on the latest date all survive; rows
     with a NULL key or a NULL date are never deleted (SQL ``=`` and ``<``
-    never hold on NULL). Plan: partial ``max`` per key, then a left-semi
-    join back on the keys with ``date >= max``; AQE splits a hot key on the
-    large side.
+    never hold on NULL). Plan: partial ``max`` per key, then one left join
+    back on the keys and a ``date >= max`` filter; AQE splits a hot key on
+    the large side.
     ``ties="one"``: one row per key (greatest date, then greatest row),
     a single partial aggregation.
     """
@@ -46,14 +46,16 @@ def keep_latest(
         raise ValueError("ties must be 'all' or 'one'")
     latest = candidates.groupBy(*keys).agg(F.max(date_col).alias(_LATEST))
     latest = latest.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], _LATEST)
-    left = candidates.alias("__l")
-    cond = [F.col(f"__l.{k}") == F.col(f"__k{i}") for i, k in enumerate(keys)]
-    # ">= max" is "= max", but as a non-equality it stays out of the join
-    # keys: the join is clustered on ``keys`` only, so an input already
-    # partitioned by them (e.g. after a de-duplication) is not re-shuffled.
-    cond.append(F.col(f"__l.{date_col}") >= F.col(_LATEST))
-    kept = left.join(latest, on=reduce(lambda a, b: a & b, cond), how="left_semi")
-    return kept.unionByName(df.where(protected))
+    left = df.alias("__l")
+    cond = reduce(lambda a, b: a & b, [F.col(f"__l.{k}") == F.col(f"__k{i}") for i, k in enumerate(keys)])
+    # One pass over ``df``: ``latest`` is unique per key, so the left join
+    # never duplicates a row; protected rows find no partner and are kept by
+    # the filter. The date test stays out of the join keys, so the join is
+    # clustered on ``keys`` only and an input already partitioned by them
+    # (e.g. after a de-duplication) is not re-shuffled.
+    joined = left.join(latest, on=cond, how="left")
+    kept = joined.where(protected | (F.col(f"__l.{date_col}") >= F.col(_LATEST)))
+    return kept.select(*[F.col(f"__l.{c}").alias(c) for c in df.columns])
 
 
 def dedupe_first(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:

@@ -27,7 +27,8 @@ def parse_requirements(
 
     A row whose content does not decode (or decodes to '') leaves one row
     with only repo_id and language (C19); a decodable file without any
-    dependency line leaves none.
+    dependency line leaves none. One pass: each file is decoded once and an
+    undecodable one explodes to a single NULL line.
     """
     lang = (
         display_language(F.col(language_col), pass_through_language)
@@ -38,26 +39,24 @@ def parse_requirements(
         F.col("repo_id"), lang.alias("language"), R.decode_base64_text(F.col(content_col)).alias("__text")
     )
     valid = F.coalesce(F.col("__text") != F.lit(""), F.lit(False))
-    bad = decoded.where(~valid).select(
+    lines = decoded.select(
         "repo_id",
         "language",
-        F.lit(None).cast("string").alias("package"),
-        F.lit(None).cast("string").alias("version"),
-        F.lit(None).cast("string").alias("operator"),
+        valid.alias("__valid"),
+        F.explode(
+            F.when(valid, R.content_lines(F.col("__text"))).otherwise(F.array(F.lit(None).cast("string")))
+        ).alias("__line"),
     )
-    lines = decoded.where(valid).select(
-        "repo_id", "language", F.explode(R.content_lines(F.col("__text"))).alias("__line")
-    )
-    lines = lines.where(R.starts_with_letter(F.col("__line")))
-    package, operator, version = R.requirement_fields(F.col("__line"))
-    good = lines.select(
+    lines = lines.where(~F.col("__valid") | R.starts_with_letter(F.col("__line")))
+    package, operator, version = R.requirement_fields_fast(F.col("__line"))
+    return lines.select(
         "repo_id",
         "language",
         package.alias("package"),
         version.alias("version"),
         operator.alias("operator"),
-    ).where(F.col("package").isNotNull())
-    return good.unionByName(bad)
+        "__valid",
+    ).where(~F.col("__valid") | F.col("package").isNotNull()).drop("__valid")
 
 
 def prepare_packages(parsed: DataFrame) -> DataFrame:

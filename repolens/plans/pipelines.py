@@ -41,7 +41,7 @@ from repolens.schemas import (
     TABLE_KEYS,
     TOP_K_VALUES_TO_KEEP,
 )
-from repolens.session import shared_scratch
+from repolens.session import cut_lineage, shared_scratch
 from repolens.sources import readers as R
 from repolens.sources.sinks import write_partitioned
 
@@ -64,6 +64,7 @@ def build_repo_marts(
     top_k: int = TOP_K_VALUES_TO_KEEP,
     order_cols: list[str] | None = None,
     existing: dict[str, DataFrame] | None = None,
+    materialize: bool = True,
 ) -> dict[str, DataFrame]:
     """J2 + J3: landed items -> repo, repo_topic, owner (keep-latest), then
     the top-k licence / branch clean-up of ``repo``, then the topic and repo
@@ -72,9 +73,16 @@ def build_repo_marts(
     ``existing`` (optional) holds the current modelled tables; the batch is
     appended and keep-latest runs over the union, like the load + delete of
     the original. Only supported languages are read (A3).
+
+    ``materialize`` writes the two shared intermediates (normalised batch,
+    cleaned repo table) as reliable checkpoints under the shared checkpoint
+    folder instead of recomputing their lineage for every consumer.
     """
     raw = raw.where(F.col("language").isin(list(SUPPORTED_LANGUAGES)))
     norm = normalize_repos(raw, as_of, order_cols=order_cols)
+    if materialize:
+        # Three tables are cut from the normalised batch: write it once.
+        norm = cut_lineage(norm)
     tables = {
         "repo": repo_table(norm, batch_ts),
         "repo_topic": topic_table(norm, batch_ts),
@@ -87,6 +95,9 @@ def build_repo_marts(
     for name in list(tables):
         tables[name] = keep_latest(tables[name], TABLE_KEYS[name], "updated_at")
     repo = keep_top_k(tables["repo"], ["license", "default_branch"], top_k)
+    if materialize:
+        # Both roll-ups (and the caller's writes) read the cleaned repo table.
+        repo = cut_lineage(repo)
     tables["repo"] = repo
     tables["topic_analytics"] = topic_rollup(tables["repo_topic"], repo, start, end, batch_ts)
     tables["repo_analytics"] = repo_rollup(repo, start, end, batch_ts)

@@ -39,6 +39,30 @@ def build_session(
     return spark
 
 
+def scale_conf(input_bytes: int, executors_cores: int, partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized to the data, for cluster runs.
+
+    Shuffle partitions start at ``input_bytes / partition_bytes`` (at least
+    2x the cores so every core has work) and AQE coalesces them down to
+    ``partition_bytes`` at run time, so each reducer task stays well inside
+    executor memory; scan splits use the same size. A skewed partition
+    (> 4x the median and > 1 GiB) is split by AQE's skew-join handling.
+    For 100 TB with 256 MiB partitions that is ~400k initial partitions.
+    """
+    n = max(2 * executors_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        # Broadcast only what is provably small: the planner's estimate is
+        # checked against this bound before a join is broadcast.
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

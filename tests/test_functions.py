@@ -141,3 +141,12 @@ def test_fast_requirement_fields_agree(spark, line):
         assert tuple(got[3:]) == ("pkg", "==", "1.0")
     else:
         assert tuple(got[:3]) == tuple(got[3:])
+
+
+def test_scale_conf_sizes_partitions():
+    from repolens.session import scale_conf
+
+    conf = scale_conf(100 * (1 << 40), executors_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    small = scale_conf(1 << 20, executors_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"

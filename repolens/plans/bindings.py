@@ -124,6 +124,48 @@ def repo_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topic_table(normalized(spark, sf_dir), BATCH_TS)
 
 
+# ---------------------------------------------------------------------------
+# Modelled tables as the dashboard reads them: written once per session (as
+# the pipeline would), then read with pruning and pushdown by every report.
+# ---------------------------------------------------------------------------
+
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Write ``build(spark, sf_dir)`` as Parquet under the shared checkpoint
+    folder once per (application, tables) and return the read-back table."""
+    from repolens.session import shared_scratch
+
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    df = _TABLES.get(key)
+    if df is None:
+        path = shared_scratch(spark, f"table-{name}")
+        build(spark, sf_dir).write.mode("overwrite").parquet(path)
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
+
+
+def normalized_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialized(spark, sf_dir, "normalized", normalized)
+
+
+def repo_t(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``repo`` table (read from its materialisation)."""
+    return repo_table(normalized_table(spark, sf_dir), BATCH_TS)
+
+
+def repo_topic_t(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``repo_topic`` table (read from its materialisation)."""
+    return topic_table(normalized_table(spark, sf_dir), BATCH_TS)
+
+
+def package_t(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``package`` table (read from its materialisation)."""
+    return materialized(spark, sf_dir, "package", package)
+
+
 def requirement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One requirements line per line item: name + operator + version,
     with a trailing comment on some lines."""

@@ -131,14 +131,11 @@ def _with(*parts: str) -> str:
 
 
 def _rollup(spark, d):
-    return repo_rollup(B.repo(spark, d), ROLLUP_START, ROLLUP_END)
+    return repo_rollup(B.repo_t(spark, d), ROLLUP_START, ROLLUP_END)
 
 
 def _topic_rollup(spark, d):
-    norm = B.normalized(spark, d)
-    from repolens.operators.tables import repo_table, topic_table
-
-    return topic_rollup(topic_table(norm, B.BATCH_TS), repo_table(norm, B.BATCH_TS), ROLLUP_START, ROLLUP_END)
+    return topic_rollup(B.repo_topic_t(spark, d), B.repo_t(spark, d), ROLLUP_START, ROLLUP_END)
 
 
 def _f8(spark, d):
@@ -348,7 +345,7 @@ SELECT license, default_branch, count(*) AS n FROM upd GROUP BY 1, 2
 
 @register("topk_other", _TOPK_SQL)
 def q_topk_other(spark, d):
-    r = keep_top_k(B.repo(spark, d), ["license", "default_branch"], 10)
+    r = keep_top_k(B.repo_t(spark, d), ["license", "default_branch"], 10)
     return r.groupBy("license", "default_branch").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -423,7 +420,7 @@ def q_topics_having(spark, d):
     _with(B.PACKAGE_SQL) + "SELECT language, package, count(*) AS freq FROM package GROUP BY 1, 2",
 )
 def q_package_freq(spark, d):
-    return RP.packages_data(B.package(spark, d))
+    return RP.packages_data(B.package_t(spark, d))
 
 
 # D15 ------------------------------------------------------------------------
@@ -437,7 +434,7 @@ PACKAGE_FLOOR = 60
 WHERE freq >= {PACKAGE_FLOOR} AND package IS NOT NULL""",
 )
 def q_package_options(spark, d):
-    return RP.package_options(RP.packages_data(B.package(spark, d)), PACKAGE_FLOOR)
+    return RP.package_options(RP.packages_data(B.package_t(spark, d)), PACKAGE_FLOOR)
 
 
 # F8, D1-D3 ------------------------------------------------------------------
@@ -514,9 +511,9 @@ SELECT {_REPORT_COLS} FROM rep ORDER BY stars DESC NULLS FIRST, id ASC LIMIT 100
 @register("explorer_full", _EXPLORER_FULL_SQL)
 def q_explorer_full(spark, d):
     return repo_report(
-        B.repo(spark, d),
-        B.repo_topic(spark, d),
-        B.package(spark, d),
+        B.repo_t(spark, d),
+        B.repo_topic_t(spark, d),
+        B.package_t(spark, d),
         creation_date_range=("1995-06-01", "2000-12-31"),
         last_commit_date_range=("1995-01-01", "2002-12-31"),
         languages=EXPLORER_LANGS,
@@ -547,8 +544,8 @@ def q_explorer_flags(spark, d):
     from repolens.operators.explorer import display_head
 
     rep = repo_report(
-        B.repo(spark, d),
-        B.repo_topic(spark, d),
+        B.repo_t(spark, d),
+        B.repo_topic_t(spark, d),
         exclude_archived=True,
         exclude_without_wiki=True,
         exclude_without_license=True,
@@ -571,7 +568,7 @@ ORDER BY stars DESC NULLS FIRST, id ASC LIMIT 100 OFFSET 100
 @register("paged_search", _PAGED_SQL)
 def q_paged_search(spark, d):
     page = paged_search(
-        B.repo(spark, d), languages=["python", "java"], min_pushed_date="1998-01-01", min_stars=1, page=2
+        B.repo_t(spark, d), languages=["python", "java"], min_pushed_date="1998-01-01", min_stars=1, page=2
     )
     return page.select("id", "name", "lang_alias", "stars", "creation_date", "last_commit_date")
 
@@ -596,7 +593,7 @@ SELECT 'default_branch', CASE WHEN value IN (SELECT value FROM br_top) THEN valu
 def q_categorical_topn(spark, d):
     lic = RP.categorical_top_n(_rollup(spark, d), "license", "n_repos", 5)
     br = RP.categorical_top_n(
-        B.repo(spark, d).withColumn("n_repos", F.lit(1)), "default_branch", "n_repos", 3
+        B.repo_t(spark, d).withColumn("n_repos", F.lit(1)), "default_branch", "n_repos", 3
     )
     return lic.select(F.lit("license").alias("dimension"), F.col("license").alias("value"), "n_repos").unionByName(
         br.select(F.lit("default_branch").alias("dimension"), F.col("default_branch").alias("value"), "n_repos")
@@ -839,7 +836,7 @@ LEFT JOIN (SELECT repo_id, path, url FROM files WHERE regexp_matches(path, '/en/
 
 @register("repo_files_outer", _FILES_OUTER_SQL)
 def q_repo_files_outer(spark, d):
-    repos = select_repos_to_crawl(B.repo(spark, d), "python", None, min_stars=1)
+    repos = select_repos_to_crawl(B.repo_t(spark, d), "python", None, min_stars=1)
     f = B.files(spark, d).where(F.col("path").rlike("/en/")).select("repo_id", "path", "url")
     return repos_with_files(repos.withColumnRenamed("id", "repo_id"), f, "repo_id").withColumnRenamed("repo_id", "id")
 
@@ -910,7 +907,7 @@ LEFT JOIN avail a2 ON a2.repo_id = r.id AND a2.branch = r.default_branch
 
 @register("branch_fallback", _BRANCH_SQL)
 def q_branch_fallback(spark, d):
-    r = B.repo(spark, d)
+    r = B.repo_t(spark, d)
     trees = (
         r.where((F.col("id") % 3 == 0) & (F.col("id") % 7 != 0))
         .select(F.col("id").alias("repo_id"), F.lit("main").alias("branch"))

@@ -9,11 +9,13 @@ Write modes (per landing key = (language, day)):
 
 * ``append``: add the batch.
 * ``skip``: add only keys not landed yet (left-anti join on the key columns
-  of the existing data, which reads just those two columns).
+  of the existing data; only the batch's months are scanned, two columns).
 * ``overwrite``: replace the keys present in the batch, keep every other
-  key. The affected month partitions are rebuilt in a staging folder under
-  the shared checkpoint location, then swapped in with a dynamic partition
-  overwrite; untouched months are never rewritten.
+  key. The affected month partitions (found by a semi-join that Spark turns
+  into dynamic partition pruning, so untouched months are not even read)
+  are rebuilt in a staging folder under the shared checkpoint location,
+  then swapped in with a dynamic partition overwrite; untouched months are
+  never rewritten.
 """
 
 from __future__ import annotations
@@ -72,7 +74,13 @@ def write_partitioned(
         return
     existing = _existing(spark, path, schema or df.schema)
     if mode == "skip":
-        out = df if existing is None else df.join(existing.select(*keys).distinct(), keys, "left_anti")
+        out = df
+        if existing is not None:
+            # Only the batch's months are scanned: the semi-join on the
+            # partition columns gets a dynamic partition-pruning filter.
+            touched = df.select(*partition_cols).distinct()
+            have = existing.join(touched, partition_cols, "left_semi").select(*keys).distinct()
+            out = df.join(have, keys, "left_anti")
         _write(out, path, partition_cols, date_col, "append")
         return
     if mode != "overwrite":
@@ -116,6 +124,20 @@ def file_metadata(
     return out
 
 
+# Columns an on-conflict re-landing updates in the file-metadata table; the
+# row count keeps its first value.
+FILE_METADATA_KEYS = ["repo_language", "repo_creation_date"]
+FILE_METADATA_UPDATE = ["file_path", "elapsed_time_seconds", "updated_at"]
+
+
+def upsert_file_metadata(old: DataFrame, new: DataFrame) -> DataFrame:
+    """B7 on ``repo_file_metadata``: insert new (language, day) keys; for an
+    existing key update path, seconds and timestamp, keep ``n_repos``."""
+    from repolens.operators.upsert import upsert_merge
+
+    return upsert_merge(old, new, FILE_METADATA_KEYS, FILE_METADATA_UPDATE)
+
+
 def clear_table(df: DataFrame, path: str) -> None:
     """Replace a table by an empty one with the same schema."""
     df.limit(0).write.mode("overwrite").parquet(path)

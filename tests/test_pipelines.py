@@ -122,3 +122,30 @@ def test_streaming_pickup(spark, landed):
     seen.clear()
     process_new_files(spark, f"{landed}/landed", ckpt, handle)  # nothing new
     assert sum(seen) == 0
+
+
+def test_discovery_content_and_file_metadata_upsert(spark, landed):
+    from repolens.sources.sinks import upsert_file_metadata, write_partitioned
+    from repolens.schemas import CONTENT
+
+    raw = spark.read.parquet(f"{landed}/landed")
+    assert sorted(r.language for r in R.discover_languages(raw).collect()) == ["go", "python"]
+    content = spark.createDataFrame(
+        [(1, "requirements.txt", "u1", "eA==", dt.date(2024, 1, 2), "python", "requirements.*\\.txt"),
+         (1, "readme.md", "u3", None, dt.date(2024, 1, 2), "python", "^readme.md$"),
+         (2, "requirements.txt", "u5", "eQ==", dt.date(2024, 2, 9), "python", "requirements.*\\.txt")],
+        "repo_id long, path string, url string, content string, created_date date, language string, key string",
+    )
+    path = f"{landed}/content"
+    write_partitioned(content, path, ["language", "key", "created_month"], mode="overwrite", schema=CONTENT)
+    got = R.read_content(spark, path, key="requirements.*\\.txt", start="2024-01-01", end="2024-01-31")
+    assert [(r.repo_id, r.url) for r in got.collect()] == [(1, "u1")]
+    ts0, ts1 = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)
+    old = file_metadata(raw, ts0)
+    new = spark.createDataFrame(
+        [("python", dt.date(2024, 1, 2), 99, "new-path", 5, ts1), ("rust", dt.date(2024, 1, 5), 7, "p", 1, ts1)],
+        "repo_language string, repo_creation_date date, n_repos long, file_path string, elapsed_time_seconds long, updated_at timestamp_ntz",
+    )
+    rows = {(r.repo_language, r.repo_creation_date.day): r for r in upsert_file_metadata(old, new).collect()}
+    assert rows[("python", 2)].n_repos == 3 and rows[("python", 2)].file_path == "new-path"
+    assert rows[("python", 2)].updated_at == ts1 and rows[("rust", 5)].n_repos == 7 and rows[("go", 3)].updated_at == ts0

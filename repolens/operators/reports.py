@@ -247,21 +247,31 @@ def language_options(filters: DataFrame) -> DataFrame:
     )
 
 
-def topic_options(
+def filter_topics(
     topics: DataFrame,
     language_list: list[str],
     lang_filter: list[str] | None = None,
     min_freq: int = TOPIC_OPTION_FLOOR,
-    exclude_empty: bool = False,
 ) -> DataFrame:
-    """D16 (+D18): with no narrower language choice the topics at or above
-    the frequency floor; with a narrower choice every topic of those
-    languages (no floor). Distinct topic names."""
+    """The (language, topic, n_repos) rows a page works with. With no
+    narrower language choice, rows at or above the frequency floor; with a
+    narrower choice, every row of those languages (no floor)."""
     values = lang_filter or language_list
     if len(language_list) != len(values):
-        out = topics.where(F.col("language").isin(list(lang_filter)))
-    else:
-        out = topics.where(F.col("n_repos") >= min_freq)
+        return topics.where(F.col("language").isin(list(lang_filter)))
+    return topics.where(F.col("n_repos") >= min_freq)
+
+
+def topic_options(
+    topics: DataFrame,
+    language_list: list[str],
+    lang_filter: list[str] | None = None,
+    min_freq: int = TOPIC_OPTION_FLOOR,
+    exclude_empty: bool = False,
+) -> DataFrame:
+    """D16 (+D18): distinct topic names of ``filter_topics``; ``__NA__``
+    dropped when empty topics are excluded."""
+    out = filter_topics(topics, language_list, lang_filter, min_freq)
     if exclude_empty:
         out = out.where(F.col("topic") != F.lit(NA))
     return out.select("topic").distinct()

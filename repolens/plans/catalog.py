@@ -450,7 +450,7 @@ def q_rollup_filtered(spark, d):
     + """SELECT CAST(coalesce(sum(n_repos), 0) AS BIGINT) AS n_repos,
        CAST(coalesce(sum(n_owners), 0) AS BIGINT) AS n_owners,
        CAST(count(DISTINCT language) AS BIGINT) AS language,
-       (SELECT count(DISTINCT topic) FROM topics_data) AS topics,
+       (SELECT count(DISTINCT topic) FROM topics_data WHERE n_repos >= 10) AS topics,
        round(coalesce(avg(stars), 0), 1) AS stars,
        round(coalesce(avg(watchers), 0), 1) AS watchers,
        round(coalesce(avg(forks), 0), 1) AS forks,
@@ -458,7 +458,11 @@ def q_rollup_filtered(spark, d):
 FROM f8""",
 )
 def q_kpi_report(spark, d):
-    return RP.kpi_report(_f8(spark, d), RP.topics_data(_topic_rollup(spark, d), 1))
+    from repolens.schemas import SUPPORTED_LANGUAGES
+
+    # The page's topic rows: every language selected -> the frequency floor.
+    topics = RP.filter_topics(RP.topics_data(_topic_rollup(spark, d), 1), list(SUPPORTED_LANGUAGES.values()))
+    return RP.kpi_report(_f8(spark, d), topics)
 
 
 # E4 -------------------------------------------------------------------------
@@ -711,6 +715,24 @@ def q_corr_matrix(spark, d):
     return RP.corr_matrix(li, CORR_COLS)
 
 
+# F17 on the dashboard's own input: the filtered roll-up's six metrics.
+def _corr_rollup_sql() -> str:
+    cols = RP.CORR_COLUMNS
+    parts = []
+    for a in cols:
+        for b in cols:
+            ma = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN CAST({a} AS DOUBLE) END"
+            mb = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN CAST({b} AS DOUBLE) END"
+            expr = f"round(covar_pop({ma}, {mb}) / nullif(stddev_pop({ma}) * stddev_pop({mb}), 0) * 100, 1) + 0.0"
+            parts.append(f"SELECT '{a}' AS \"row\", '{b}' AS col, {expr} AS corr FROM f8")
+    return _with(B.REPO_SQL, rollup_cte(), F8_CTE) + "\nUNION ALL\n".join(parts)
+
+
+@register("corr_rollup", _corr_rollup_sql())
+def q_corr_rollup(spark, d):
+    return RP.corr_matrix(_f8(spark, d))
+
+
 # F18, H4, D18 ---------------------------------------------------------------
 @register(
     "topic_cloud",

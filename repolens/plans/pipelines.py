@@ -23,8 +23,13 @@ from repolens.operators.joins import (
 )
 from repolens.operators.packages import package_table
 from repolens.operators.reports import (
+    corr_matrix,
+    filter_topics,
     filters_info,
     kpi_report,
+    language_options,
+    licenses_by_repos,
+    topic_cloud,
     packages_data,
     rollup_filtered,
     topic_options,
@@ -323,15 +328,20 @@ def dashboard_reports(
     from repolens.schemas import SUPPORTED_LANGUAGES as SL
 
     filters = filters_info(repo_analytics)
-    topics = topics_data(topic_analytics)
+    all_topics = topics_data(topic_analytics)
     repos = rollup_filtered(repo_analytics, creation_date_range, last_commit_date_range, languages)
-    topic_opts = topic_options(topics, list(SL.values()), languages)
+    language_list = list(SL.values())
+    topics = filter_topics(all_topics, language_list, languages)
     out = {
         "filters": filters,
+        "language_options": language_options(filters),
         "topics": topics,
         "repos": repos,
         "kpi": kpi_report(repos, topics),
-        "topic_options": topic_opts,
+        "topic_options": topic_options(all_topics, language_list, languages),
+        "topic_cloud": topic_cloud(topics),
+        "licenses": licenses_by_repos(repos),
+        "corr": corr_matrix(repos),
     }
     if package is not None:
         out["packages"] = packages_data(package)

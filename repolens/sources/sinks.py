@@ -42,9 +42,10 @@ def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 
 def _write(df: DataFrame, path: str, partition_cols: list[str], date_col: str, mode: str) -> None:
-    # One shuffle on the partition keys: each (language, month) lands in one
-    # task, so it is written as few large files, sorted by day.
-    out = df.repartition(*partition_cols).sortWithinPartitions(*partition_cols, date_col)
+    # One shuffle on the partition keys, as a REBALANCE: AQE coalesces small
+    # (language, month) groups and splits a large one into advisory-sized
+    # tasks, so no single task writes a hot partition and files stay big.
+    out = df.hint("rebalance", *partition_cols).sortWithinPartitions(*partition_cols, date_col)
     writer = out.write.partitionBy(*partition_cols)
     if mode == "overwrite":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -69,7 +69,11 @@ def test_repo_info_flow(spark, landed):
     assert R.read_raw_repos(spark, f"{landed}/landed").count() == 4
     reports = P.dashboard_reports(out["repo_analytics"], out["topic_analytics"])
     kpi = reports["kpi"].first()
-    assert kpi.n_repos == 3 and kpi.topics == 3
+    # every language selected: topics below the frequency floor (10) drop out
+    assert kpi.n_repos == 3 and kpi.topics == 0
+    narrow = P.dashboard_reports(out["repo_analytics"], out["topic_analytics"], languages=["Python"])
+    kpi = narrow["kpi"].first()
+    assert kpi.n_repos == 2 and kpi.topics == 3  # data, ml, __NA__ of Python, no floor
 
 
 def test_file_metadata_and_stats(spark, landed):

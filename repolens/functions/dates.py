@@ -18,22 +18,57 @@ def _as_date(value) -> dt.date:
     return dt.date.fromisoformat(str(value)[:10])
 
 
+# Every timestamp expression here is independent of the session and JVM
+# time zones: wall-clock values are TIMESTAMP_NTZ, instants are turned into
+# UTC wall clock through their epoch microseconds, and literals are built
+# from ISO text.
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_lit(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a datetime, date or ISO text."""
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    if isinstance(value, dt.datetime):
+        text = value.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(value, dt.date):
+        text = value.isoformat()
+    else:
+        text = str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def _epoch() -> Column:
+    return F.lit(_EPOCH_NTZ).cast("timestamp_ntz")
+
+
 def parse_iso_timestamp(c: Column) -> Column:
-    """ISO-8601 text (``2021-05-04T13:00:00Z``) to an instant; junk -> NULL."""
-    return F.try_to_timestamp(c)
+    """ISO-8601 text (``2021-05-04T13:00:00Z``) to its UTC wall clock
+    (TIMESTAMP_NTZ); junk -> NULL."""
+    return instant_to_utc(F.try_to_timestamp(c))
+
+
+def instant_to_utc(c: Column) -> Column:
+    """An instant (TIMESTAMP) as UTC wall clock (TIMESTAMP_NTZ)."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch())
 
 
 def round_to_day(c: Column) -> Column:
-    """Round an instant to the nearest midnight, ties to the even day, and
-    drop the zone (result is TIMESTAMP_NTZ).
+    """Round a wall-clock timestamp (TIMESTAMP_NTZ) to the nearest midnight,
+    ties to the even day.
 
     Noon on an even epoch day rounds down and on an odd one up, exactly as
-    a half-even rounding of ``epoch_micros / micros_per_day``. NTZ input is
-    first read in the session zone (UTC).
+    a half-even rounding of ``epoch_micros / micros_per_day``.
     """
-    micros = F.unix_micros(c.cast("timestamp"))
-    days = F.bround(micros / F.lit(_MICROS_PER_DAY), 0)
-    return F.timestamp_seconds(days * F.lit(86400)).cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", _epoch(), c.cast("timestamp_ntz"))
+    days = F.bround(micros / F.lit(_MICROS_PER_DAY), 0).cast("long")
+    return F.timestamp_add("DAY", days, _epoch())
+
+
+def day_start(c: Column) -> Column:
+    return F.to_date(c).cast("timestamp_ntz")
 
 
 def days_since(c: Column, as_of) -> Column:
@@ -43,7 +78,7 @@ def days_since(c: Column, as_of) -> Column:
 
 
 def month_start(c: Column) -> Column:
-    return F.date_trunc("month", c).cast("timestamp_ntz")
+    return F.trunc(F.to_date(c), "month").cast("timestamp_ntz")
 
 
 def year_of(c: Column) -> Column:

@@ -21,7 +21,9 @@ def _c(name: str, table: str | None) -> Column:
 
 def _ts(value):
     """Range bounds are compared as timestamps (a bare date means midnight)."""
-    return F.lit(value).cast("timestamp_ntz")
+    from repolens.functions.dates import ntz_lit
+
+    return ntz_lit(value)
 
 
 def between(col: Column, start, end) -> Column:

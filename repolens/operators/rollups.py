@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repolens.functions.dates import month_start, year_of
+from repolens.functions.dates import ntz_lit, month_start, year_of
 from repolens.functions.numeric import ceil_avg
 from repolens.functions.predicates import between
 from repolens.schemas import NA, OTHER, TOP_K_VALUES_TO_KEEP
@@ -59,7 +59,7 @@ def repo_rollup(
         ceil_avg(F.col("days_since_last_commit")).alias("days_since_last_commit"),
     )
     if batch_ts is not None:
-        out = out.withColumn("updated_at", F.lit(batch_ts).cast("timestamp_ntz"))
+        out = out.withColumn("updated_at", ntz_lit(batch_ts))
     return out
 
 
@@ -85,7 +85,7 @@ def topic_rollup(
         F.col("__language").alias("language"), "topic", "creation_date", "last_commit_date"
     ).agg(F.countDistinct("repo_id").alias("n_repos"))
     if batch_ts is not None:
-        out = out.withColumn("updated_at", F.lit(batch_ts).cast("timestamp_ntz"))
+        out = out.withColumn("updated_at", ntz_lit(batch_ts))
     return out
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repolens.functions import normalize as N
-from repolens.functions.dates import days_since, parse_iso_timestamp, round_to_day
+from repolens.functions.dates import ntz_lit, days_since, parse_iso_timestamp, round_to_day
 from repolens.functions.text import has_topic, join_topics_capped
 from repolens.operators.dedupe import dedupe_first
 from repolens.schemas import NA, REPO_COLUMNS, TOPICS_MAX_LENGTH
@@ -86,7 +86,7 @@ def repo_table(
     out = norm.withColumn("topics", topics).withColumn("has_topic", has_topic(topics))
     out = out.select(*REPO_COLUMNS)
     if batch_ts is not None:
-        out = out.withColumn("updated_at", F.lit(batch_ts).cast("timestamp_ntz"))
+        out = out.withColumn("updated_at", ntz_lit(batch_ts))
     return out
 
 
@@ -100,7 +100,7 @@ def topic_table(norm: DataFrame, batch_ts: dt.datetime | None = None) -> DataFra
     ).withColumn("topic", F.coalesce(F.lower("topic"), F.lit(NA)))
     out = out.select("repo_id", "language", "topic")
     if batch_ts is not None:
-        out = out.withColumn("updated_at", F.lit(batch_ts).cast("timestamp_ntz"))
+        out = out.withColumn("updated_at", ntz_lit(batch_ts))
     return out
 
 
@@ -119,7 +119,7 @@ def owner_table(
         .agg(F.count(id_col).alias("n_repos"))
     )
     if batch_ts is not None:
-        out = out.withColumn("updated_at", F.lit(batch_ts).cast("timestamp_ntz"))
+        out = out.withColumn("updated_at", ntz_lit(batch_ts))
     return out
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from repolens.functions.dates import ntz_lit
+
 
 def upsert_merge(
     old: DataFrame,
@@ -50,6 +52,8 @@ def align_to(df: DataFrame, schema: T.StructType, defaults: dict | None = None)
     for f in schema.fields:
         if f.name in df.columns:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+        elif isinstance(f.dataType, T.TimestampNTZType):
+            cols.append(ntz_lit(defaults.get(f.name)).alias(f.name))
         else:
             cols.append(F.lit(defaults.get(f.name)).cast(f.dataType).alias(f.name))
     return df.select(*cols)

@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repolens.functions.dates import ntz_lit
+
 from repolens.functions import dates as D
 from repolens.functions.requirements import decode_base64_text, extract_version
 from repolens.functions.text import join_topics_capped, split_topics
@@ -247,7 +249,7 @@ WHERE NOT EXISTS (SELECT 1 FROM eb e2
 def q_keep_latest(spark, d):
     ev = _t(spark, d, "events").select(
         "event_id", "user_id", "event_type", "value",
-        F.date_trunc("day", "ts").cast("timestamp_ntz").alias("updated_at"),
+        D.day_start(F.col("ts")).alias("updated_at"),
     )
     return keep_latest(ev, ["user_id", "event_type"], "updated_at")
 
@@ -291,14 +293,14 @@ def q_upsert_merge(spark, d):
     o = _t(spark, d, "orders")
     old = o.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-        F.lit(dt.datetime(2002, 12, 31)).cast("timestamp_ntz").alias("updated_at"),
+        ntz_lit(dt.datetime(2002, 12, 31)).alias("updated_at"),
     )
     new = o.where(F.col("o_orderkey") % 3 == 0).select(
         (F.col("o_orderkey") + 2000).alias("o_orderkey"),
         (F.col("o_custkey") + 1).alias("o_custkey"),
         F.lit("N").alias("o_orderstatus"),
         (F.col("o_totalprice") * 2).alias("o_totalprice"),
-        F.lit(B.BATCH_TS).cast("timestamp_ntz").alias("updated_at"),
+        ntz_lit(B.BATCH_TS).alias("updated_at"),
     )
     return upsert_merge(old, new, ["o_orderkey"], ["o_orderstatus", "o_totalprice", "updated_at"])
 
@@ -319,7 +321,7 @@ def q_append_aligned(spark, d):
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
         F.col("c_nationkey").alias("nationkey"), F.col("c_acctbal").alias("acctbal"),
         F.col("c_mktsegment").alias("segment"),
-        F.lit(dt.datetime(2002, 12, 31)).cast("timestamp_ntz").alias("updated_at"),
+        ntz_lit(dt.datetime(2002, 12, 31)).alias("updated_at"),
     )
     s = _t(spark, d, "supplier").select(
         F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
@@ -984,13 +986,13 @@ def q_period_presets(spark, d):
     ranges = [(name, D.period_range(name, PERIOD_AS_OF)) for name in D.PERIODS]
     aggs = []
     for i, (name, rng) in enumerate(ranges):
-        cond = F.lit(True) if rng is None else F.col("ts").between(F.lit(rng[0]).cast("timestamp_ntz"), F.lit(rng[1]).cast("timestamp_ntz"))
+        cond = F.lit(True) if rng is None else F.col("ts").between(ntz_lit(rng[0]), ntz_lit(rng[1]))
         aggs.append(F.count(F.when(cond, F.lit(1))).alias(f"n{i}"))
     counts = ev.agg(*aggs)
     entries = []
     for i, (name, rng) in enumerate(ranges):
-        s = F.lit(rng[0] if rng else None).cast("timestamp_ntz")
-        e = F.lit(rng[1] if rng else None).cast("timestamp_ntz")
+        s = ntz_lit(rng[0] if rng else None)
+        e = ntz_lit(rng[1] if rng else None)
         entries.append(F.struct(F.lit(name).alias("period"), s.alias("start_ts"), e.alias("end_ts"), F.col(f"n{i}").alias("n_events")))
     return counts.select(F.inline(F.array(*entries)))
 

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.functions.dates import check_date_range, shift_date
+from repolens.functions.dates import ntz_lit, check_date_range, shift_date
 from repolens.operators.dedupe import keep_latest
 from repolens.operators.joins import (
     branch_fallback,
@@ -114,7 +114,7 @@ def package_job(content: DataFrame, batch_ts: dt.datetime | None = None, existin
     (repo_id, package)."""
     pk = package_table(content)
     if batch_ts is not None:
-        pk = pk.withColumn("updated_at", F.lit(batch_ts).cast("timestamp_ntz"))
+        pk = pk.withColumn("updated_at", ntz_lit(batch_ts))
     if existing is not None:
         pk = existing.unionByName(pk, allowMissingColumns=True)
     return keep_latest(pk, TABLE_KEYS["package"], "updated_at") if batch_ts is not None else pk

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.functions.dates import check_date_range
+from repolens.functions.dates import ntz_lit, check_date_range
 from pyspark.sql import types as T
 
 from repolens.schemas import (
@@ -135,7 +135,7 @@ def select_repos_to_crawl(
     then distinct."""
     cond = (F.col("lang_alias") == F.lit(language)) & (F.col("stars") >= F.lit(min_stars))
     if creation_date is not None:
-        cond = cond & (F.col("creation_date") == F.lit(creation_date).cast("timestamp_ntz"))
+        cond = cond & (F.col("creation_date") == ntz_lit(creation_date))
     df = repo.where(cond).select(
         "id", "owner", F.col("name").alias("repo"), F.col("default_branch").alias("branch")
     )

@@ -24,6 +24,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from repolens.functions.dates import ntz_lit
 from pyspark.sql import types as T
 
 from repolens.schemas import LANDING_PARTITIONS
@@ -121,7 +123,7 @@ def file_metadata(
         F.min(F.col("_metadata.file_path")).alias("file_path"),
     ).withColumn("elapsed_time_seconds", F.lit(None).cast("long"))
     if batch_ts is not None:
-        out = out.withColumn("updated_at", F.lit(batch_ts).cast("timestamp_ntz"))
+        out = out.withColumn("updated_at", ntz_lit(batch_ts))
     return out
 
 

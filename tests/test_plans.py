@@ -82,3 +82,13 @@ def test_matches_oracle(spark, duck, name):
     idx = [dcols.index(c) for c in cols]
     exp = sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()), key=repr)
     assert got == exp
+
+
+@pytest.mark.parametrize("name", ["round_to_day", "repo_normalize", "upsert_merge", "period_presets", "etl_marts"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_matches_oracle(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

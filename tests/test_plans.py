@@ -92,3 +92,30 @@ def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
         test_matches_oracle(spark, duck, name)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_rollup_and_report_invariants(spark):
+    from pyspark.sql import functions as F
+
+    from repolens.operators import reports as RP
+    from repolens.operators.rollups import repo_rollup
+    from repolens.plans import bindings as B
+
+    repo = B.repo_t(spark, SF_SMALL)
+    start, end = "1996-01-01", "2000-12-31"
+    rollup = repo_rollup(repo, start, end)
+    in_window = repo.where(F.col("creation_date").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")))
+    assert rollup.agg(F.sum("n_repos")).first()[0] == in_window.select("id").distinct().count()
+    non_na = rollup.where(F.col("license") != "__NA__").agg(F.sum("n_repos")).first()[0]
+    assert RP.categorical_top_n(rollup, "license", "n_repos", 3).agg(F.sum("n_repos")).first()[0] == non_na
+    topics = RP.topics_data(B.repo_topic_t(spark, SF_SMALL).withColumn("n_repos", F.lit(1)), 1)
+    hist = RP.topic_histogram(topics, 10)
+    assert hist.agg(F.sum("count")).first()[0] == topics.select("topic").distinct().count()
+    # column pruning reaches the scan of the materialised table
+    plan = rollup._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    import re
+
+    fields = re.findall(r"[<,]([a-z_]+):", scan.split("ReadSchema: ", 1)[1])
+    assert "description" not in fields and "url" not in fields and "topic_list" not in fields
+    assert "has_description" in fields and "stars" in fields

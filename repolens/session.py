@@ -18,6 +18,7 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -30,6 +31,9 @@ def build_session(
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    # Partition discovery of many directories: one listing task per few
+    # directories, not one per directory (the default allows 10000 tasks).
+    conf["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(max(8, 2 * shuffle_partitions))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -60,6 +64,7 @@ def scale_conf(input_bytes: int, executors_cores: int, partition_bytes: int = 25
         # Broadcast only what is provably small: the planner's estimate is
         # checked against this bound before a join is broadcast.
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(2 * executors_cores),
     }
 
 

@@ -153,3 +153,25 @@ def test_discovery_content_and_file_metadata_upsert(spark, landed):
     rows = {(r.repo_language, r.repo_creation_date.day): r for r in upsert_file_metadata(old, new).collect()}
     assert rows[("python", 2)].n_repos == 3 and rows[("python", 2)].file_path == "new-path"
     assert rows[("python", 2)].updated_at == ts1 and rows[("rust", 5)].n_repos == 7 and rows[("go", 3)].updated_at == ts0
+
+
+def test_daily_file_layout_and_stream_marts(spark, landed):
+    from repolens.streaming.incremental import marts_batch_writer, process_new_files
+
+    P.land_search_pages(spark, f"{landed}/pages", f"{landed}/landed", mode="skip")  # idempotent
+    # the crawler's own layout: language=<alias>/<YYYY-MM-DD>.parquet
+    raw = spark.read.parquet(f"{landed}/landed").drop("created_date", "created_month")
+    root = landed[len("file:"):] if landed.startswith("file:") else landed
+    for alias, day in (("python", "2024-01-02"), ("go", "2024-01-03")):
+        import pyarrow.parquet as pq
+
+        part = raw.where(F.col("language") == alias).drop("language").toArrow()
+        os.makedirs(f"{root}/daily/language={alias}", exist_ok=True)
+        pq.write_table(part, f"{root}/daily/language={alias}/{day}.parquet")
+    daily = R.read_daily_files(spark, f"{landed}/daily", start="2024-01-03", end="2024-01-03")
+    assert [(r.id, r.language, r.created_date) for r in daily.collect()] == [(4, "go", dt.date(2024, 1, 3))]
+    out = f"{landed}/stream-marts"
+    handler = marts_batch_writer(out, dt.date(2024, 2, 1), dt.datetime(2024, 2, 1))
+    process_new_files(spark, f"{landed}/landed", shared_scratch(spark, "test-stream-marts"), handler)
+    assert spark.read.parquet(f"{out}/repo").select("id").distinct().count() == 3
+    assert spark.read.parquet(f"{out}/owner").count() == 2

@@ -170,6 +170,22 @@ def has_property(data: DataFrame, col: str, label: str, metric: str = "n_repos")
     )
 
 
+def has_properties(data: DataFrame, specs: list[tuple[str, str]], metric: str = "n_repos") -> DataFrame:
+    """F11 for several flags at once: (property, answer, n_repos) rows from
+    a single aggregate pass (one sum per flag plus the total)."""
+    aggs = [F.coalesce(F.sum(metric), F.lit(0)).cast("long").alias("__n")]
+    aggs += [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(f"__y{i}") for i, (c, _) in enumerate(specs)]
+    totals = data.agg(*aggs)
+    entries = []
+    for i, (_, label) in enumerate(specs):
+        y = F.col(f"__y{i}")
+        entries.append(F.struct(F.lit(label).alias("property"), F.lit("Yes").alias("answer"), y.alias(metric)))
+        entries.append(
+            F.struct(F.lit(label).alias("property"), F.lit("No").alias("answer"), (F.col("__n") - y).alias(metric))
+        )
+    return totals.select(F.inline(F.array(*entries)))
+
+
 def topic_histogram(data: DataFrame, threshold: int = 10, metric: str = "n_repos") -> DataFrame:
     """how many topics reach each total; totals at or above
     ``threshold`` share one ``"<threshold>+"`` bucket. ``sort_key`` orders
@@ -196,6 +212,23 @@ def repos_by(data: DataFrame, col: str, metric: str = "n_repos", ascending_metri
     return out.orderBy(metric, col) if ascending_metric else out.orderBy(col)
 
 
+def repos_by_many(data: DataFrame, cols: list[str], metric: str = "n_repos") -> DataFrame:
+    """F13-F15 in one pass: total ``metric`` per value of each of ``cols``
+    as (dimension, key, metric) rows, using GROUPING SETS (a single
+    aggregation over an Expand instead of one scan per chart)."""
+    keyed = data.select(*[F.col(c).cast("string").alias(c) for c in cols], F.col(metric))
+    grouped = keyed.groupingSets([[c] for c in cols], *cols).agg(
+        F.sum(metric).cast("long").alias(metric), *[F.grouping(c).alias(f"__g_{c}") for c in cols]
+    )
+    dim = None
+    key = None
+    for c in cols:
+        hit = F.col(f"__g_{c}") == 0
+        dim = F.when(hit, F.lit(c)) if dim is None else dim.when(hit, F.lit(c))
+        key = F.when(hit, F.col(c)) if key is None else key.when(hit, F.col(c))
+    return grouped.select(dim.alias("dimension"), key.alias("key"), F.col(metric))
+
+
 def licenses_by_repos(data: DataFrame) -> DataFrame:
     """F16: licences, most repositories first."""
     return (

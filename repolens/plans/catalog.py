@@ -639,14 +639,8 @@ _HAS_PROP_SQL = (
 
 @register("has_property", _HAS_PROP_SQL)
 def q_has_property(spark, d):
-    f8 = _f8(spark, d)
-    out = None
-    for c, label in HAS_PROPS:
-        part = RP.has_property(f8, c, label).select(
-            F.lit(label).alias("property"), F.col(label).alias("answer"), "n_repos"
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    # The four pie charts from one aggregate pass over the roll-up.
+    return RP.has_properties(_f8(spark, d), HAS_PROPS)
 
 
 # F12 ------------------------------------------------------------------------
@@ -681,14 +675,8 @@ SELECT 'language', language, CAST(sum(n_repos) AS BIGINT) FROM f8 GROUP BY 1, 2
 
 @register("repos_by_year_language", _BY_YEAR_SQL)
 def q_repos_by_year_language(spark, d):
-    f8 = _f8(spark, d)
-    out = None
-    for col, asc_metric in (("creation_year", False), ("last_commit_year", False), ("language", True)):
-        part = RP.repos_by(f8, col, ascending_metric=asc_metric).select(
-            F.lit(col).alias("dimension"), F.col(col).cast("string").alias("key"), "n_repos"
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    # The three bar charts as one GROUPING SETS aggregation over the roll-up.
+    return RP.repos_by_many(_f8(spark, d), ["creation_year", "last_commit_year", "language"])
 
 
 # F17 ------------------------------------------------------------------------

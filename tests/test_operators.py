@@ -175,3 +175,17 @@ def test_paged_search_cap(spark):
     df = spark.range(2500).select(F.col("id"), (F.col("id") % 97).alias("stars"))
     assert paged_search(df, min_stars=None, page=10, per_page=100).count() == 100
     assert paged_search(df, min_stars=None, page=11, per_page=100).count() == 0
+
+
+def test_one_pass_reports_match_single_reports(spark):
+    df = spark.createDataFrame(
+        [("Python", 2001, 2002, 5, 2, 1), ("Go", 2001, 2003, 3, 0, 3), ("Python", 2002, 2003, 4, 4, 0)],
+        "language string, creation_year int, last_commit_year int, n_repos long, a long, b long",
+    )
+    many = {(r.dimension, r.key): r.n_repos for r in RP.repos_by_many(df, ["creation_year", "language"]).collect()}
+    single = {("creation_year", str(r.creation_year)): r.n_repos for r in RP.repos_by(df, "creation_year").collect()}
+    single.update({("language", r.language): r.n_repos for r in RP.repos_by(df, "language").collect()})
+    assert many == single
+    props = rows(RP.has_properties(df, [("a", "has_a"), ("b", "has_b")]), "property", "answer", "n_repos")
+    one = rows(RP.has_property(df, "a", "x"), "x", "n_repos") + rows(RP.has_property(df, "b", "x"), "x", "n_repos")
+    assert [(a, n) for _, a, n in props] == sorted(one[:2]) + sorted(one[2:])

@@ -194,7 +194,7 @@ j AS (
   SELECT c.c_custkey, coalesce(array_to_string(l.tl, '|'), '') AS joined
   FROM customer c LEFT JOIN lists l ON l.o_custkey = c.c_custkey),
 capped AS (
-  SELECT c_custkey, length(joined) AS full_length,
+  SELECT c_custkey, CAST(length(joined) AS INTEGER) AS full_length,
          CASE WHEN length(joined) > 255 THEN regexp_replace(substr(joined, 1, 255), '\\|?[^|]*$', '')
               ELSE joined END AS topics
   FROM j)
@@ -610,7 +610,7 @@ def q_categorical_topn(spark, d):
 @register(
     "licenses_by_repos",
     _with(B.REPO_SQL, rollup_cte(), F8_CTE)
-    + "SELECT license, sum(n_repos) AS n_repos FROM f8 GROUP BY license",
+    + "SELECT license, CAST(sum(n_repos) AS BIGINT) AS n_repos FROM f8 GROUP BY license",
 )
 def q_licenses_by_repos(spark, d):
     return RP.licenses_by_repos(_f8(spark, d))
@@ -882,7 +882,8 @@ def q_files_first_per_pattern(spark, d):
 _CONTENT_LOOKUP_SQL = _with(B.FILES_SQL) + """,
 m AS (SELECT repo_id, path, url, page_id, '/en/' AS key FROM files WHERE regexp_matches(lower(path), '/en/')),
 blobs AS (SELECT 'doc:' || CAST(doc_id AS VARCHAR) AS url, text AS content FROM documents)
-SELECT m.repo_id, m.path, m.key, m.page_id, md5(b.content) AS content_md5, length(b.content) AS content_chars
+SELECT m.repo_id, m.path, m.key, m.page_id, md5(b.content) AS content_md5,
+       CAST(length(b.content) AS INTEGER) AS content_chars
 FROM (SELECT *, 'doc:' || CAST(page_id * 7 % 1300 AS VARCHAR) AS doc_url FROM m) m
 LEFT JOIN blobs b ON b.url = m.doc_url
 """

@@ -71,6 +71,20 @@ def _norm(v):
     return v
 
 
+DUCK_TO_SPARK = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+    "TIMESTAMP": "timestamp_ntz", "DATE": "date", "BOOLEAN": "boolean",
+}
+
+
+@pytest.mark.parametrize("name", ORACLE_SUBSET)
+def test_types_match_oracle(spark, duck, name):
+    stypes = {f.name: f.dataType.simpleString() for f in E.queries()[name](spark, SF_SMALL).schema.fields}
+    rel = duck.sql(E.oracle_sql()[name])
+    dtypes = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert stypes == dtypes
+
+
 @pytest.mark.parametrize("name", ORACLE_SUBSET)
 def test_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)

@@ -106,6 +106,13 @@ def build_repo_marts(
     tables["repo"] = repo
     tables["topic_analytics"] = topic_rollup(tables["repo_topic"], repo, start, end, batch_ts)
     tables["repo_analytics"] = repo_rollup(repo, start, end, batch_ts)
+    if existing:
+        # Roll-up rows of months outside the window stay; a re-computed
+        # month replaces its older row (keep-latest by month key).
+        for name in ("topic_analytics", "repo_analytics"):
+            if name in existing:
+                merged = existing[name].unionByName(tables[name], allowMissingColumns=True)
+                tables[name] = keep_latest(merged, TABLE_KEYS[name], "updated_at")
     return tables
 
 
@@ -209,20 +216,43 @@ def run_repo_info(
     batch_ts: dt.datetime | None = None,
     languages=None,
     align: str | None = "month",
+    incremental: bool = True,
 ) -> dict[str, DataFrame]:
-    """J7 (transform side): read the window once, build the marts, write
-    them; roll-ups are refreshed by partition overwrite of whole months."""
+    """J7 (transform side): read the window once (widened to whole months),
+    merge it into the current modelled tables with keep-latest, and write
+    them back through a staging folder. ``incremental=False`` rebuilds the
+    tables from the window alone."""
     s, e = check_date_range(start, end)
     as_of = as_of or e
     batch_ts = batch_ts or dt.datetime.combine(as_of, dt.time())
-    raw = R.read_raw_repos(spark, landed_path, languages, s, e, with_file_order=True)
     ws, we = month_aligned(s, e) if align == "month" else (s, e)
-    marts = build_repo_marts(raw, as_of, batch_ts, ws, we, order_cols=["__file", "__row"])
+    # Month alignment: a refreshed month is rebuilt from all of its days.
+    raw = R.read_raw_repos(spark, landed_path, languages, ws, we, with_file_order=True)
+    existing = _read_tables(spark, out_path) if incremental else {}
+    marts = build_repo_marts(raw, as_of, batch_ts, ws, we, order_cols=["__file", "__row"], existing=existing)
+    # Write to staging first, then replace the tables: a lost job leaves
+    # the current tables intact, and no table is read while overwritten.
+    staging = shared_scratch(spark, "marts")
     for name, df in marts.items():
-        df.write.mode("overwrite").parquet(f"{out_path}/{name}")
+        df.write.mode("overwrite").parquet(f"{staging}/{name}")
+    for name in marts:
+        spark.read.parquet(f"{staging}/{name}").write.mode("overwrite").parquet(f"{out_path}/{name}")
     return {name: spark.read.parquet(f"{out_path}/{name}") for name in marts}
 
 
+MART_NAMES = ("repo", "repo_topic", "owner", "topic_analytics", "repo_analytics")
+
+
+def _read_tables(spark: SparkSession, out_path: str) -> dict[str, DataFrame]:
+    out = {}
+    for name in MART_NAMES:
+        try:
+            out[name] = spark.read.parquet(f"{out_path}/{name}")
+        except Exception:  # first run: nothing there yet
+            pass
+    return out
+
+
 def land_search_pages(
     spark: SparkSession, pages_path: str, landed_path: str, mode: str = "skip", languages=None
 ) -> DataFrame:

@@ -175,3 +175,26 @@ def test_daily_file_layout_and_stream_marts(spark, landed):
     process_new_files(spark, f"{landed}/landed", shared_scratch(spark, "test-stream-marts"), handler)
     assert spark.read.parquet(f"{out}/repo").select("id").distinct().count() == 3
     assert spark.read.parquet(f"{out}/owner").count() == 2
+
+
+def test_incremental_daily_run(spark, landed):
+    """A second daily run merges into the tables: a re-landed repository is
+    updated, older repositories and roll-up months are kept."""
+    root = landed[len("file:"):] if landed.startswith("file:") else landed
+    pages = os.path.join(root, "pages2")
+    os.makedirs(pages, exist_ok=True)
+    with open(os.path.join(pages, "p.json"), "w") as fh:
+        json.dump({"total_count": 2, "items": [
+            _item(2, "Python", "2024-01-02T13:00:00Z", topics=["new"], stars=50),
+            _item(5, "Python", "2024-02-10T08:00:00Z"),
+        ]}, fh)
+    out = f"{landed}/daily-marts"
+    first = P.run_repo_info_flow(spark, f"{landed}/pages", f"{landed}/landed-d", out, "2024-01-01", "2024-01-31",
+                                 as_of=dt.date(2024, 2, 1))
+    assert first["repo"].count() == 3
+    second = P.run_repo_info_flow(spark, f"{landed}/pages2", f"{landed}/landed-d", out, "2024-02-01", "2024-02-28",
+                                  as_of=dt.date(2024, 3, 1), overwrite_existed_files=True)
+    repo = {r.id: r for r in second["repo"].collect()}
+    assert sorted(repo) == [1, 2, 4, 5]
+    ra = {(r.creation_date.month, r.language): r.n_repos for r in second["repo_analytics"].collect()}
+    assert ra[(2, "Python")] == 1 and ra[(1, "Python")] == 2  # January kept from the first run

@@ -242,23 +242,44 @@ def licenses_by_repos(data: DataFrame) -> DataFrame:
 def corr_matrix(data: DataFrame, columns: list[str] | None = None, scale: float = 100.0) -> DataFrame:
     """pairwise-complete Pearson correlation x100, one decimal, in long
     form (row, col, corr). A constant column gives NULL instead of an error.
-    One global aggregate with partial stages; no driver work."""
+
+    Each input row becomes one (pair, x, y) row per column pair i <= j, with
+    x and y masked to the rows where both are present; a keyed aggregate of
+    three moments then runs map-side inside whole-stage codegen (a single
+    wide aggregate of every pair carries hundreds of buffer fields and
+    falls back to interpreted evaluation). The shuffle carries one row per
+    pair and input partition; no driver work."""
     columns = list(columns or CORR_COLUMNS)
-    aggs = []
     pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    for i, j in pairs:
+    entries = []
+    for p, (i, j) in enumerate(pairs):
         a, b = F.col(columns[i]).cast("double"), F.col(columns[j]).cast("double")
         both = a.isNotNull() & b.isNotNull()
-        am, bm = F.when(both, a), F.when(both, b)
-        r = F.try_divide(F.covar_pop(am, bm), F.stddev_pop(am) * F.stddev_pop(bm))
-        aggs.append(F.round(r * F.lit(scale), 1).alias(f"__c{i}_{j}"))
-    wide = data.agg(*aggs)
-    entries = []
-    for i, j in pairs:
-        entries.append(F.struct(F.lit(columns[i]).alias("row"), F.lit(columns[j]).alias("col"), F.col(f"__c{i}_{j}").alias("corr")))
-        if i != j:
-            entries.append(F.struct(F.lit(columns[j]).alias("row"), F.lit(columns[i]).alias("col"), F.col(f"__c{i}_{j}").alias("corr")))
-    return wide.select(F.inline(F.array(*entries)))
+        entries.append(F.struct(F.lit(p).alias("p"), F.when(both, a).alias("x"), F.when(both, b).alias("y")))
+    per_pair = (
+        data.select(F.inline(F.array(*entries)))
+        .groupBy("p")
+        .agg(
+            F.round(
+                F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")) * F.lit(scale), 1
+            ).alias("corr")
+        )
+    )
+    # Pair index -> column names; both orientations of an off-diagonal pair
+    # share one value.
+    first = F.array(*[F.lit(columns[i]) for i, _ in pairs])
+    second = F.array(*[F.lit(columns[j]) for _, j in pairs])
+    r, c = F.element_at(first, F.col("p") + 1), F.element_at(second, F.col("p") + 1)
+    return per_pair.select(
+        F.inline(
+            F.when(r == c, F.array(F.struct(r.alias("row"), c.alias("col"), "corr"))).otherwise(
+                F.array(
+                    F.struct(r.alias("row"), c.alias("col"), "corr"),
+                    F.struct(c.alias("row"), r.alias("col"), "corr"),
+                )
+            )
+        )
+    )
 
 
 def topic_cloud(topics: DataFrame, top_n: int = 100) -> DataFrame:

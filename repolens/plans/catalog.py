@@ -140,8 +140,21 @@ def _topic_rollup(spark, d):
     return topic_rollup(B.repo_topic_t(spark, d), B.repo_t(spark, d), ROLLUP_START, ROLLUP_END)
 
 
+# The dashboard's reports read the roll-up tables the ETL wrote
+# (repo_analytics, topic_analytics), not a recomputation of them per
+# report: both are derived once per session from the modelled tables and
+# read back with pruning. ``repo_rollup`` / ``topic_rollup`` (F1, F2)
+# themselves always compute from the repo tables.
+def _rollup_table(spark, d):
+    return B.materialized(spark, d, "repo_analytics", _rollup)
+
+
+def _topic_rollup_table(spark, d):
+    return B.materialized(spark, d, "topic_analytics", _topic_rollup)
+
+
 def _f8(spark, d):
-    return RP.rollup_filtered(_rollup(spark, d), F8_CREATION, F8_COMMIT, F8_LANGS)
+    return RP.rollup_filtered(_rollup_table(spark, d), F8_CREATION, F8_COMMIT, F8_LANGS)
 
 
 # ---------------------------------------------------------------------------
@@ -387,7 +400,7 @@ def q_owner_counts(spark, d):
 FROM rollup GROUP BY language ORDER BY n_repos DESC NULLS FIRST, language""",
 )
 def q_filters_info(spark, d):
-    return RP.filters_info(_rollup(spark, d))
+    return RP.filters_info(_rollup_table(spark, d))
 
 
 # D17 ------------------------------------------------------------------------
@@ -400,7 +413,7 @@ WHERE language IN ('Python', 'Jupyter Notebook', 'Markdown', 'HTML', 'Shell', 'J
 GROUP BY language""",
 )
 def q_language_options(spark, d):
-    return RP.language_options(RP.filters_info(_rollup(spark, d)))
+    return RP.language_options(RP.filters_info(_rollup_table(spark, d)))
 
 
 # F6, D14 --------------------------------------------------------------------
@@ -413,7 +426,7 @@ TOPICS_MIN = 40
     + "SELECT * FROM topics_data",
 )
 def q_topics_having(spark, d):
-    return RP.topics_data(_topic_rollup(spark, d), TOPICS_MIN)
+    return RP.topics_data(_topic_rollup_table(spark, d), TOPICS_MIN)
 
 
 # F7 -------------------------------------------------------------------------
@@ -463,7 +476,7 @@ def q_kpi_report(spark, d):
     from repolens.schemas import SUPPORTED_LANGUAGES
 
     # The page's topic rows: every language selected -> the frequency floor.
-    topics = RP.filter_topics(RP.topics_data(_topic_rollup(spark, d), 1), list(SUPPORTED_LANGUAGES.values()))
+    topics = RP.filter_topics(RP.topics_data(_topic_rollup_table(spark, d), 1), list(SUPPORTED_LANGUAGES.values()))
     return RP.kpi_report(_f8(spark, d), topics)
 
 
@@ -597,7 +610,7 @@ SELECT 'default_branch', CASE WHEN value IN (SELECT value FROM br_top) THEN valu
 
 @register("categorical_topn", _CATEGORICAL_SQL)
 def q_categorical_topn(spark, d):
-    lic = RP.categorical_top_n(_rollup(spark, d), "license", "n_repos", 5)
+    lic = RP.categorical_top_n(_rollup_table(spark, d), "license", "n_repos", 5)
     br = RP.categorical_top_n(
         B.repo_t(spark, d).withColumn("n_repos", F.lit(1)), "default_branch", "n_repos", 3
     )
@@ -732,7 +745,7 @@ head AS (SELECT * FROM topics_data ORDER BY n_repos DESC, topic, language LIMIT
 SELECT topic, min(n_repos) AS n_repos FROM head GROUP BY topic HAVING topic <> '__NA__'""",
 )
 def q_topic_cloud(spark, d):
-    return RP.topic_cloud(RP.topics_data(_topic_rollup(spark, d), 1), 100)
+    return RP.topic_cloud(RP.topics_data(_topic_rollup_table(spark, d), 1), 100)
 
 
 # D16 ------------------------------------------------------------------------
@@ -750,7 +763,7 @@ SELECT DISTINCT 'narrow', topic FROM topics_data WHERE language IN ('Python', 'G
 def q_topic_options(spark, d):
     from repolens.schemas import SUPPORTED_LANGUAGES
 
-    td = RP.topics_data(_topic_rollup(spark, d), 1)
+    td = RP.topics_data(_topic_rollup_table(spark, d), 1)
     all_langs = list(SUPPORTED_LANGUAGES.values())
     a = RP.topic_options(td, all_langs, None, TOPIC_FLOOR).select(F.lit("all").alias("branch"), "topic")
     n = RP.topic_options(td, all_langs, ["Python", "Go"], TOPIC_FLOOR, exclude_empty=True).select(

@@ -112,8 +112,15 @@ def raw_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed search results as the jobs read them: ``raw_repos``
+    written once per session (the extractor's output files), then read
+    back with pruning; every job downstream of landing starts here."""
+    return materialized(spark, sf_dir, "raw", raw_repos)
+
+
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize_repos(raw_repos(spark, sf_dir), AS_OF, pass_through_unknown=True)
+    return normalize_repos(landed_repos(spark, sf_dir), AS_OF, pass_through_unknown=True)
 
 
 def repo(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1018,7 +1018,7 @@ def q_partition_refresh(spark, d):
     # The landed responses (input of the sinks under test) come from a
     # one-off materialisation of the fixture rather than its recomputation
     # for each of the three writes.
-    return P.partition_refresh_demo(spark, B.materialized(spark, d, "raw", B.raw_repos), REFRESH_AS_OF)
+    return P.partition_refresh_demo(spark, B.landed_repos(spark, d), REFRESH_AS_OF)
 
 
 # B11, F20 -------------------------------------------------------------------
@@ -1058,7 +1058,7 @@ SELECT * FROM rollup
 @register("etl_marts", _ETL_SQL)
 def q_etl_marts(spark, d):
     marts = P.build_repo_marts(
-        B.raw_repos(spark, d), as_of=B.AS_OF, batch_ts=B.BATCH_TS, start=ETL_START, end=ETL_END
+        B.landed_repos(spark, d), as_of=B.AS_OF, batch_ts=B.BATCH_TS, start=ETL_START, end=ETL_END
     )
     return marts["repo_analytics"].drop("updated_at")
 

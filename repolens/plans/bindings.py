@@ -226,8 +226,14 @@ def content(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed file contents as the content job reads them: ``content``
+    written once per session, then read back."""
+    return materialized(spark, sf_dir, "content", content)
+
+
 def package(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return package_table(content(spark, sf_dir))
+    return package_table(landed_content(spark, sf_dir))
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:

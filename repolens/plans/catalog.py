@@ -782,7 +782,7 @@ def q_topic_options(spark, d):
 FROM content""",
 )
 def q_decode_content(spark, d):
-    c = B.content(spark, d)
+    c = B.landed_content(spark, d)
     return c.select("repo_id", decode_base64_text(F.col("content")).alias("text"))
 
 

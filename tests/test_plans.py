@@ -51,6 +51,20 @@ def test_explorer_pushes_filters(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
 
 
+def test_corr_matrix_aggregate_stays_compiled(spark):
+    """The correlation aggregate must stay small enough for whole-stage
+    codegen: one keyed aggregate of three moments, not one function per
+    pair (which exceeds the codegen field limit and runs interpreted)."""
+    df = E.queries()["corr_matrix"](spark, SF_SMALL)
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    partial = [ln for ln in final.splitlines() if "HashAggregate" in ln and "partial_" in ln]
+    assert partial, final
+    for ln in partial:
+        assert ln.count("partial_") == 3, ln
+        assert "*(" in ln, f"partial aggregate outside whole-stage codegen: {ln}"
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()

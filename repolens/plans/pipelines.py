@@ -87,7 +87,7 @@ def build_repo_marts(
     norm = normalize_repos(raw, as_of, order_cols=order_cols)
     if materialize:
         # Three tables are cut from the normalised batch: write it once.
-        norm = cut_lineage(norm)
+        norm = cut_lineage(norm, "norm")
     tables = {
         "repo": repo_table(norm, batch_ts),
         "repo_topic": topic_table(norm, batch_ts),
@@ -102,7 +102,7 @@ def build_repo_marts(
     repo = keep_top_k(tables["repo"], ["license", "default_branch"], top_k)
     if materialize:
         # Both roll-ups (and the caller's writes) read the cleaned repo table.
-        repo = cut_lineage(repo)
+        repo = cut_lineage(repo, "repo")
     tables["repo"] = repo
     tables["topic_analytics"] = topic_rollup(tables["repo_topic"], repo, start, end, batch_ts)
     tables["repo_analytics"] = repo_rollup(repo, start, end, batch_ts)

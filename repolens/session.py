@@ -97,14 +97,18 @@ def shared_scratch(spark: SparkSession, name: str) -> str:
     return f"{base}/repolens-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder
+    and return its read-back.
 
     Survives executor loss (unlike ``cache`` or a local checkpoint) and keeps
-    the plan of downstream consumers short.
+    the plan of downstream consumers short. Parquet rather than an RDD
+    checkpoint: compressed columnar files, and every consumer reads only its
+    columns, with its filters pushed into the scan.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = shared_scratch(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def default_sf_dir() -> str:

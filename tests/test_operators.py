@@ -153,6 +153,30 @@ def test_corr_constant_column(spark):
     assert 99.0 < got[("a", "b")] <= 100.0 and got[("a", "b")] == got[("b", "a")]
 
 
+def test_corr_pairwise_complete_matches_brute_force(spark):
+    """Each pair uses only the rows where both of its columns are present;
+    compared with a per-pair numpy computation over the same rows."""
+    import math
+
+    import numpy as np
+
+    data = [
+        (1.0, 2.0, None), (2.0, None, 1.0), (3.0, 7.5, 4.0), (4.0, 3.0, 2.0),
+        (None, 1.0, 8.0), (6.0, 9.0, 3.5), (7.0, 4.0, None), (8.0, 6.5, 6.0),
+    ]
+    cols = ["a", "b", "c"]
+    df = spark.createDataFrame(data, "a double, b double, c double")
+    got = {(r.row, r.col): r.corr for r in RP.corr_matrix(df, cols).collect()}
+    assert len(got) == len(cols) ** 2
+    for i, x in enumerate(cols):
+        for j, y in enumerate(cols):
+            pairs = [(r[i], r[j]) for r in data if r[i] is not None and r[j] is not None]
+            xs, ys = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
+            den = xs.std() * ys.std()
+            want = None if den == 0 else round(float(((xs - xs.mean()) * (ys - ys.mean())).mean() / den) * 100, 1)
+            assert got[(x, y)] is not None and math.isclose(got[(x, y)], want, abs_tol=1e-9), (x, y, got[(x, y)], want)
+
+
 def test_topic_histogram(spark):
     df = spark.createDataFrame([("t1", 1), ("t2", 1), ("t3", 12), ("t4", 10), ("t3", 1)], "topic string, n_repos long")
     got = rows(RP.topic_histogram(df, 10), "sort_key", "freq", "count")

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.llm import bpe
+from repolens.llm import bpe, simple8b
 from repolens.llm.common import ship
+from repolens.session import shared_scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +39,15 @@ def bpe_digests(docs: DataFrame, ranks: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_bpe": op1_bpe}
+def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_scratch(spark, "simple8b")
+    simple8b.write_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), path)
+    return simple8b.index(spark, path)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op10_simple8b": op10_simple8b,
+}
 
 ORACLES: dict[str, str] = {}

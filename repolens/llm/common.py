@@ -166,15 +166,16 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
 
 
 def order_buckets(df: DataFrame, key: str, n: int) -> Column:
-    """Number of the range of ``key`` that a row is in, for about ``n`` ranges of
-    equal counts; a null key is in range -1. The n cut points come from an
-    approximate quantile summary of the key alone."""
-    cuts = df.approxQuantile(key, [i / n for i in range(1, n)], 1 / (4 * n)) if n > 1 else []
-    cuts = np.unique(np.asarray(cuts, float))
+    """Number of the range of the integer ``key`` that a row is in, for about ``n`` ranges of
+    equal counts; a null key is in range -1. The cut points, one a range, come from
+    Spark's own range partitioning of the key alone."""
+    keys = df.select(F.col(key).cast("long").alias("k")).filter("k is not null").repartitionByRange(n, "k")
+    found = keys.groupBy(F.spark_partition_id().alias("p")).agg(F.max("k").alias("top")).collect()
+    cuts = np.array(sorted(r["top"] for r in found)[:-1], np.int64)
 
     @F.pandas_udf("int")
     def bucket(ids: pd.Series) -> pd.Series:
-        at = np.searchsorted(cuts, ids.to_numpy(float, na_value=np.nan), "left").astype(np.int32)
+        at = np.searchsorted(cuts, ids.fillna(0).to_numpy(np.int64), "left")
         return pd.Series(np.where(ids.isna(), -1, at).astype(np.int32))
 
     return bucket(F.col(key).cast("long"))

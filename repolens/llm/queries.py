@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.llm import bpe, simple8b
-from repolens.llm.common import ship
+from repolens.llm import bpe, simple8b, winnow
+from repolens.llm.common import ship, text_bytes
 from repolens.session import shared_scratch
 
 
@@ -39,6 +39,31 @@ def bpe_digests(docs: DataFrame, ranks: str) -> DataFrame:
     )
 
 
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_likeness(_table(spark, sf_dir, "documents"))
+
+
+def edited_likeness(docs: DataFrame) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and their likeness."""
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    n = max(2, text_bytes(docs, "text") // (4 << 20))
+    half = "cast(char_length(text) div 2 as int)"
+    pairs = winnow.with_next(docs, "doc_id", ["text"], n).withColumn(
+        "edited", F.expr(f"concat(substring(text, 1, char_length(text) - {half}), substring(next_text, 1, {half}))")
+    )
+    prints = winnow.fingerprint(pairs, {"text": "own", "edited": "edited", "next_text": "next"})
+    own, edited, following = (F.col(f"{p}_hashes") for p in ("own", "edited", "next"))
+    return prints.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnow.as_text(own).alias("fingerprint"),
+        winnow.as_text(edited).alias("edited_fingerprint"),
+        winnow.likeness(own, edited).alias("near_edited"),
+        winnow.likeness(own, following).alias("near_next"),
+    )
+
+
 def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_scratch(spark, "simple8b")
     simple8b.write_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), path)
@@ -47,6 +72,7 @@ def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op5_winnowing": op5_winnowing,
     "op10_simple8b": op10_simple8b,
 }
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.llm import bpe, simple8b, winnow
+from repolens.llm import bpe, lines, simple8b, winnow
 from repolens.llm.common import ship, text_bytes
 from repolens.session import shared_scratch
 
@@ -64,6 +64,11 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_scratch(spark, "simple8b")
     simple8b.write_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), path)
@@ -73,7 +78,26 @@ def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op5_winnowing": op5_winnowing,
+    "op6_line_dedup": op6_line_dedup,
     "op10_simple8b": op10_simple8b,
 }
 
-ORACLES: dict[str, str] = {}
+OP6_SQL = r"""
+WITH l AS (
+  SELECT doc_id, u.pos, u.line,
+         translate(trim(u.line, E' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM documents, LATERAL (
+    SELECT unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos) u
+), shared AS (
+  SELECT k, min(doc_id) AS first FROM l WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) >= 2
+), marked AS (
+  SELECT l.doc_id, l.pos, l.line, s.k IS NOT NULL AND l.doc_id <> s.first AS gone
+  FROM l LEFT JOIN shared s ON l.k = s.k
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+ORACLES: dict[str, str] = {"op6_line_dedup": OP6_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.llm import bpe, lines, simple8b, winnow
+from repolens.llm import bpe, lines, minhash, simple8b, winnow
 from repolens.llm.common import ship, text_bytes
 from repolens.session import shared_scratch
 
@@ -69,6 +69,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = minhash.link(_table(spark, sf_dir, "documents").select("doc_id", "text"), words=4, percent=80)
+    return linked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
 def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_scratch(spark, "simple8b")
     simple8b.write_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), path)
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op5_winnowing": op5_winnowing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_minhash": op7_minhash,
     "op10_simple8b": op10_simple8b,
 }
 
@@ -100,4 +106,24 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op6_line_dedup": OP6_SQL}
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))) END AS s FROM w
+), n AS (SELECT doc_id, len(s) AS n FROM s),
+e AS (SELECT doc_id, unnest(s) AS h FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+g AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a, b FROM g UNION SELECT r.a, g.b FROM r JOIN g ON r.b = g.a)
+SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(m.low, n.doc_id)) AS component_id,
+       n.doc_id = least(n.doc_id, coalesce(m.low, n.doc_id)) AS kept
+FROM n LEFT JOIN (SELECT a, min(b) AS low FROM r GROUP BY a) m ON n.doc_id = m.a
+"""
+
+ORACLES: dict[str, str] = {
+    "op7_minhash": OP7_SQL,
+    "op6_line_dedup": OP6_SQL}

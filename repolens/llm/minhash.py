@@ -38,7 +38,7 @@ SHARED = 20 / 48
 SMALL = 8
 #: Standard deviations by which an estimate may fall short.
 SLACK = 5.0
-_NO_ID = (1 << 63) - 1
+NO_ID = (1 << 63) - 1
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +96,7 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
                     names=["id", "n_shingles", "whole", "sketch"],
                 )
 
-    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)), text).mapInArrow(sketched, "id long, n_shingles long, whole binary, sketch array<long>")
+    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), text).mapInArrow(sketched, "id long, n_shingles long, whole binary, sketch array<long>")
 
 
 def _lists(reps: DataFrame, name: str) -> DataFrame:
@@ -167,7 +167,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     reps = cut_lineage(reps.select("id", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["id", "sketch"]), "classes-sketches")
     lists = _lists(reps, "lists")
     involved = lists.select("id").distinct()
-    whole = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("id"), F.col(text).alias("text"))
+    whole = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
     texts = cut_lineage(whole.join(involved, "id", "left_semi"), "listed-texts")
 
     small = lists.filter(F.col("holders") <= SMALL).groupBy("value").agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("m"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.llm import bpe, lines, minhash, simple8b, winnow
+from repolens.llm import bpe, langid, lines, minhash, mixing, simple8b, winnow
 from repolens.llm.common import ship, text_bytes
 from repolens.session import shared_scratch
 
@@ -39,6 +39,12 @@ def bpe_digests(docs: DataFrame, ranks: str) -> DataFrame:
     )
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs)
+    return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(_table(spark, sf_dir, "documents"))
 
@@ -74,6 +80,12 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.report(mixing.plan(_table(spark, sf_dir, "documents")))
+    first = F.get("positions", F.lit(0)).alias("position")
+    return planned.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", first).orderBy("position", "doc_id")
+
+
 def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_scratch(spark, "simple8b")
     simple8b.write_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), path)
@@ -82,9 +94,11 @@ def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_language": op3_language,
     "op5_winnowing": op5_winnowing,
     "op6_line_dedup": op6_line_dedup,
     "op7_minhash": op7_minhash,
+    "op9_mixing": op9_mixing,
     "op10_simple8b": op10_simple8b,
 }
 
@@ -124,6 +138,37 @@ SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(m.low, n.doc_id)) A
 FROM n LEFT JOIN (SELECT a, min(b) AS low FROM r GROUP BY a) m ON n.doc_id = m.a
 """
 
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS o,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM d GROUP BY source
+), w AS (
+  SELECT *, CAST(rank % 3 + 1 AS DOUBLE) AS weight, source_size * 3.0::DOUBLE AS bound, CAST(sum(source_size) OVER () AS DOUBLE) AS total, count(*) OVER () AS n FROM s
+), v AS (
+  SELECT *, (total - coalesce(sum(bound) OVER (ORDER BY bound / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY bound / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w
+), t AS (
+  SELECT source, source_size, CASE WHEN n > 1 THEN (rank * 2 / (n - 1) - 1) * 0.8::DOUBLE ELSE 0.0::DOUBLE END AS tilt, least(bound, weight * coalesce(
+    (SELECT arg_min(level, bound / weight) FROM v WHERE level * weight <= bound), bound / weight)) AS target FROM v
+), b AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.tilt,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY o, d.doc_id ROWS UNBOUNDED PRECEDING) - d.size AS before,
+         CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS passes
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), c AS (
+  SELECT *, CASE WHEN size > 0 THEN passes + CASE WHEN before + size / 2 <= target - passes * source_size THEN 1 ELSE 0 END ELSE 0 END AS copies,
+         least(1.0::DOUBLE, (before + size / 2) / target) AS done
+  FROM b
+)
+SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken,
+       CASE WHEN copies = 0 THEN NULL WHEN abs(tilt) < 1e-9 THEN done
+            ELSE 2 * done / ((1 - tilt) + sqrt(greatest(0.0::DOUBLE, (1 - tilt) * (1 - tilt) + 4 * tilt * done))) END AS position
+FROM c
+"""
+
 ORACLES: dict[str, str] = {
+    "op9_mixing": OP9_SQL,
     "op7_minhash": OP7_SQL,
     "op6_line_dedup": OP6_SQL}

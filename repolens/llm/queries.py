@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.llm import bpe, langid, lines, minhash, mixing, simple8b, winnow
+from repolens.llm import bpe, langid, lines, minhash, mixing, simple8b, warc, winnow
 from repolens.llm.common import ship, text_bytes
 from repolens.session import shared_scratch
 
@@ -45,6 +45,18 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_scratch(spark, "warc")
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select(
+        warc.page_number(F.col("id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        warc.page_number(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(_table(spark, sf_dir, "documents"))
 
@@ -95,6 +107,7 @@ def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_language": op3_language,
+    "op4_warc": op4_warc,
     "op5_winnowing": op5_winnowing,
     "op6_line_dedup": op6_line_dedup,
     "op7_minhash": op7_minhash,
@@ -168,7 +181,17 @@ SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken
 FROM c
 """
 
+OP4_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest AS d, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1 HAVING count(*) > 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON payload_digest = d
+"""
+
 ORACLES: dict[str, str] = {
+    "op4_warc": OP4_SQL,
     "op9_mixing": OP9_SQL,
     "op7_minhash": OP7_SQL,
     "op6_line_dedup": OP6_SQL}

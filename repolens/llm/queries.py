@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.llm import bpe, langid, lines, minhash, mixing, simple8b, warc, winnow
+from repolens.llm import bpe, langid, lines, minhash, mixing, pq, simple8b, warc, winnow
 from repolens.llm.common import ship, text_bytes
 from repolens.session import shared_scratch
 
@@ -39,6 +39,11 @@ def bpe_digests(docs: DataFrame, ranks: str) -> DataFrame:
     )
 
 
+def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = pq.link(_table(spark, sf_dir, "embeddings"))
+    return linked.select(F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs)
@@ -106,6 +111,7 @@ def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_vectors": op2_vectors,
     "op3_language": op3_language,
     "op4_warc": op4_warc,
     "op5_winnowing": op5_winnowing,
@@ -190,7 +196,23 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM p LEFT JOIN f ON payload_digest = d
 """
 
+OP2_SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), g AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), r AS (SELECT a, b FROM g UNION SELECT r.a, g.b FROM r JOIN g ON r.b = g.a),
+n AS (SELECT a, count(*) AS n FROM g GROUP BY a), m AS (SELECT a, min(b) AS low FROM r GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON vec_id = n.a LEFT JOIN m ON vec_id = m.a
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_vectors": OP2_SQL,
     "op4_warc": OP4_SQL,
     "op9_mixing": OP9_SQL,
     "op7_minhash": OP7_SQL,

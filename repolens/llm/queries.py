@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.llm import bpe, langid, lines, minhash, mixing, pq, simple8b, warc, winnow
+from repolens.llm import bpe, langid, lines, minhash, mixing, pii, pq, simple8b, warc, winnow
 from repolens.llm.common import ship, text_bytes
 from repolens.session import shared_scratch
 
@@ -97,6 +97,11 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
 
 
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace(docs).select("doc_id", "n_entities", "text")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.report(mixing.plan(_table(spark, sf_dir, "documents")))
     first = F.get("positions", F.lit(0)).alias("position")
@@ -117,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_winnowing": op5_winnowing,
     "op6_line_dedup": op6_line_dedup,
     "op7_minhash": op7_minhash,
+    "op8_surrogates": op8_surrogates,
     "op9_mixing": op9_mixing,
     "op10_simple8b": op10_simple8b,
 }

@@ -20,18 +20,17 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repolens.llm import pretokens as P
-from repolens.llm.common import list_array, row_groups, take_slices, text_bytes, text_parts
+from repolens.llm.common import list_array, row_groups, take_slices, text_bytes, tidy
 
 #: Bytes of text in a chunk, and chunks for each bucket of words.
-CHUNK_BYTES = 16 << 20
-CHUNKS_A_BUCKET = 4
+CHUNK_BYTES = 8 << 20
+CHUNKS_A_BUCKET = 2
 _ENCODER: dict = {}
 
 
@@ -60,11 +59,13 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, bytes]:
     return np.frombuffer(raw, "<u4", n, 4), raw[4 + 4 * n :]
 
 
-def _inflated(column) -> pa.Array:
+def _inflated(column) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of compressed texts, and their bounds."""
     import zstandard
 
     unpack = zstandard.ZstdDecompressor().decompress
-    return pa.array([unpack(x.as_py()) if x.is_valid else b"" for x in column], pa.large_binary())
+    texts = [unpack(x.as_buffer()) if x.is_valid else b"" for x in column]
+    return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
 
 
 def encode(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids", chunk_bytes: int = CHUNK_BYTES, keep_text: bool = True) -> DataFrame:
@@ -92,13 +93,15 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids",
     dealt = inner.select(deal.alias("chunk"), "*").mapInArrow(deflate, kept).repartition("chunk")
 
     def words(table: pa.Table) -> pa.Table:
-        data, offsets = text_parts(_inflated(table["body"]))
+        data, offsets = _inflated(table["body"])
         start, hashes = P.pre_tokens(data, offsets, P.classes())
         end = np.append(start[1:], len(data))
         unique, first, _ = P.distinct(hashes)
         cut = np.searchsorted(unique >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
         chunk = table["chunk"][0].as_py()
+        del hashes
         blobs = [(b, _packed(data, start[first[i:j]], (end - start)[first[i:j]])) for b, (i, j) in enumerate(zip(cut[:-1], cut[1:])) if j > i]
+        tidy()
         return pa.table({"chunk": pa.array([chunk] * len(blobs), pa.int64()), "bucket": pa.array([b for b, _ in blobs], pa.int32()), "words": pa.array([x for _, x in blobs], pa.binary())})
 
     def encoded(table: pa.Table) -> pa.Table:
@@ -116,10 +119,12 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids",
                 got.append(x)
             counts = np.array([len(x) // 4 for x in got], "<u4")
             out.append(zstandard.compress(len(got).to_bytes(4, "little") + counts.tobytes() + b"".join(got), 3))
+        known.clear()
+        tidy()
         return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "ids": pa.array(out, pa.binary())})
 
     def reassembled(texts: pa.Table, parts: pa.Table) -> pa.Table:
-        data, offsets = text_parts(_inflated(texts["body"]))
+        data, offsets = _inflated(texts["body"])
         start, hashes = P.pre_tokens(data, offsets, P.classes())
         bounds = np.searchsorted(start, offsets)
         _, _, place = P.distinct(hashes)
@@ -135,6 +140,8 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids",
             p = place[a : a + (1 << 18)]
             out[total[a] : total[a + len(p)]] = take_slices(flat, first[p], length[p])
         columns = [texts[f.name].combine_chunks() for f in fields]
+        del got, flat, place
+        tidy()
         return pa.Table.from_arrays([*columns, list_array(out, total[bounds], pa.int32())], names=[*(f.name for f in fields), "ids"])
 
     parts = dealt.groupBy("chunk").applyInArrow(words, "chunk long, bucket int, words binary")
@@ -153,13 +160,15 @@ def token_bytes(ranks_path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(tokens), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
 
 
-def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``df`` with the column ``decoded``: the bytes of the tokens of ``ids``.
-    A null list gives null, an empty one no bytes; an id outside the table
+def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "decoded", digest: str | None = None) -> DataFrame:
+    """``df`` with the column ``decoded``: the bytes of the tokens of ``ids``; and, if it is named,
+    the column ``digest``: lower-case hex SHA-256 of the ids as little-endian unsigned
+    32-bit integers. A null list gives null, an empty one no bytes; an id outside the table
     fails the job."""
     table = df.sparkSession.sparkContext.broadcast(token_bytes(ranks_path))
     at = df.columns.index(ids)
-    schema = T.StructType([*df.schema.fields, T.StructField(decoded, T.BinaryType())])
+    added = [T.StructField(decoded, T.BinaryType())] + ([T.StructField(digest, T.StringType())] if digest else [])
+    schema = T.StructType([*df.schema.fields, *added])
 
     def joined(batches):
         data, bounds = table.value
@@ -167,7 +176,7 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "dec
         for b in batches:
             lists = b.column(at)
             values, offsets = _flat(lists)
-            out = []
+            out, digests = [], []
             for i, j in row_groups(offsets, 1 << 18):
                 v = values[offsets[i] : offsets[j]]
                 if len(v) and (v.min() < 0 or v.max() >= len(size)):
@@ -175,8 +184,14 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "dec
                 text = take_slices(data, bounds[v], size[v]).tobytes()
                 ends = np.concatenate([[0], np.cumsum(size[v])])[offsets[i : j + 1] - offsets[i]]
                 out += [text[x:y] for x, y in zip(ends[:-1], ends[1:])]
+                if digest:
+                    raw, at_ = memoryview(v.astype("<u4").tobytes()), (offsets[i : j + 1] - offsets[i]) * 4
+                    digests += [hashlib.sha256(raw[x:y]).hexdigest() for x, y in zip(at_[:-1].tolist(), at_[1:].tolist())]
             nulls = lists.is_null().to_pylist() if lists.null_count else [False] * len(lists)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([None if n else x for n, x in zip(nulls, out)], pa.binary())], names=[*b.schema.names, decoded])
+            found = [(out, pa.binary()), (digests, pa.string())][: len(added)]
+            columns = [pa.array([None if n else x for n, x in zip(nulls, c)], t) for c, t in found]
+            yield pa.RecordBatch.from_arrays([*b.columns, *columns], names=[f.name for f in schema])
+            tidy()
 
     return df.mapInArrow(joined, schema)
 
@@ -186,13 +201,3 @@ def _flat(lists) -> tuple[np.ndarray, np.ndarray]:
     lists = lists.fill_null([]) if lists.null_count else lists
     offsets = lists.offsets.to_numpy().astype(np.int64)
     return lists.flatten().to_numpy(zero_copy_only=False), offsets - offsets[0]
-
-
-def ids_sha256(ids):
-    """Lower-case hex SHA-256 of lists of ids as little-endian unsigned 32-bit integers."""
-
-    @F.pandas_udf("string")
-    def digest(column: pd.Series) -> pd.Series:
-        return column.map(lambda x: None if x is None else hashlib.sha256(np.asarray(x).astype("<u4").tobytes()).hexdigest())
-
-    return digest(ids)

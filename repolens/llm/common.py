@@ -3,6 +3,7 @@ connected components and ordered buckets across tasks."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -101,6 +102,26 @@ def take_slices(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np
     return values[np.repeat(start - (ends - length), length) + np.arange(total)]
 
 
+def tidy() -> None:
+    """Give memory of a finished group back to the system: idle Python workers keep theirs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidied(batches_to_batches):
+    """The same function on batches, tidying up after each."""
+
+    def run(batches):
+        for b in batches_to_batches(batches):
+            yield b
+            tidy()
+
+    return run
+
+
 def list_array(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values, kind))
 

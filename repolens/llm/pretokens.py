@@ -16,13 +16,12 @@ from repolens.llm.common import Stretches, code_points
 
 PIECE = 1 << 19
 OTHER, LETTER, NUMBER, SPACE = range(4)
-_EVERY = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
 
 
 def _table(found) -> np.ndarray:
     table = np.zeros(0x110000, np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
-        table[np.array([ord(c) for c in found(pattern)], int)] = kind
+        table[np.frombuffer(found(pattern).encode("utf-32-le"), np.uint32)] = kind
     return table
 
 
@@ -32,7 +31,7 @@ def classes() -> np.ndarray:
     tokenizers library sees the same (a test compares them)."""
     import tiktoken
 
-    every = "".join(map(chr, _EVERY))
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
 
     def found(pattern):
         one = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})

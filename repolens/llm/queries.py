@@ -31,10 +31,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame, ranks: str) -> DataFrame:
     ids = bpe.encode(docs, ranks, keep_text=False)
-    return bpe.decode(ids, ranks).select(
+    return bpe.decode(ids, ranks, digest="ids_sha256").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
+        "ids_sha256",
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolens.llm.common import text_parts
+from repolens.llm.common import text_parts, tidied
 
 WINDOW = 96
 HIDDEN = 12
@@ -225,5 +225,5 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(langs, pa.string()), pa.array(score)], names=[f.name for f in schema])
 
     schema = T.StructType([*inner.schema.fields[: len(names)], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    out = inner.mapInArrow(predicted, schema)
+    out = inner.mapInArrow(tidied(predicted), schema)
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "lang_pred", "score")

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repolens.llm import cuckoo
+from repolens.llm.common import tidied
 from repolens.session import cut_lineage
 
 MIN_CHARS = 10
@@ -69,7 +70,7 @@ def postings(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars
             docs_ = np.repeat(np.array(ids, np.int64), [len(f) for f in found])
             yield pa.RecordBatch.from_arrays([pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), pa.array(docs_)], names=["hi", "lo", "doc"])
 
-    return docs.select(doc_key(key).alias("doc"), F.col(text).cast("binary")).mapInArrow(held, "hi long, lo long, doc long")
+    return docs.select(doc_key(key).alias("doc"), F.col(text).cast("binary")).mapInArrow(tidied(held), "hi long, lo long, doc long")
 
 
 @dataclass
@@ -232,7 +233,7 @@ def apply(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "te
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=[f.name for f in schema])
 
     schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    out = both.mapInArrow(kept, schema)
+    out = both.mapInArrow(tidied(kept), schema)
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "n_lines", "n_dropped")
 
 

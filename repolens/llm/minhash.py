@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repolens.llm.common import Stretches, connected_components, list_array, mix64, row_groups, text_parts
+from repolens.llm.common import Stretches, connected_components, list_array, mix64, row_groups, text_parts, tidied
 from repolens.session import cut_lineage
 
 K = 48
@@ -96,7 +96,7 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
                     names=["id", "n_shingles", "whole", "sketch"],
                 )
 
-    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), text).mapInArrow(sketched, "id long, n_shingles long, whole binary, sketch array<long>")
+    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), text).mapInArrow(tidied(sketched), "id long, n_shingles long, whole binary, sketch array<long>")
 
 
 def _lists(reps: DataFrame, name: str) -> DataFrame:
@@ -148,7 +148,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                     keep.append(100 * both_ >= percent * (len(p) + len(q) - both_))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(checked, "a long, b long")
+    return both.mapInArrow(tidied(checked), "a long, b long")
 
 
 def _pivots(round_: int) -> int:

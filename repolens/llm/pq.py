@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repolens.llm.common import connected_components
+from repolens.llm.common import connected_components, tidied
 from repolens.session import cut_lineage
 
 SAMPLE = 8192
@@ -130,7 +130,7 @@ def _linked(classes: DataFrame, model: Quantiser, cosine: float, probes: int, bl
                 names=["list", "id", "unit", "copies", "codes", "left_out"],
             )
 
-    index = cut_lineage(classes.mapInArrow(indexed, "list int, id long, unit array<double>, copies long, codes binary, left_out double"), "pq-index")
+    index = cut_lineage(classes.mapInArrow(tidied(indexed), "list int, id long, unit array<double>, copies long, codes binary, left_out double"), "pq-index")
     blocks = {r["list"]: -(-r["count"] // block) for r in index.groupBy("list").count().collect()}  # at most LISTS rows
     parts = np.ones(len(model.centroids), np.int32)
     for i, n in blocks.items():
@@ -195,8 +195,8 @@ def _linked(classes: DataFrame, model: Quantiser, cosine: float, probes: int, bl
         return pa.table({"a": pa.array(a.astype(np.int64)), "b": pa.array(b.astype(np.int64), mask=n >= 0), "n": pa.array(n.astype(np.int64), mask=n < 0)})
 
     key = ["list", "member", "query"]
-    queries = classes.select("id", "unit").mapInArrow(asked, "list int, member int, query int, id long, unit array<double>")
-    members = index.mapInArrow(told, "list int, member int, query int, id long, unit array<double>, copies long, codes binary, left_out double")
+    queries = classes.select("id", "unit").mapInArrow(tidied(asked), "list int, member int, query int, id long, unit array<double>")
+    members = index.mapInArrow(tidied(told), "list int, member int, query int, id long, unit array<double>, copies long, codes binary, left_out double")
     return queries.groupBy(*key).cogroup(members.groupBy(*key)).applyInArrow(met, "a long, b long, n long")
 
 

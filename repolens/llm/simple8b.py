@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from repolens.llm import pretokens as P
 from repolens.llm.bpe import _flat
-from repolens.llm.common import list_array, row_groups, take_slices, text_bytes, text_parts
+from repolens.llm.common import list_array, row_groups, take_slices, text_bytes, text_parts, tidied
 from repolens.session import cut_lineage
 
 MAGIC = 0x0031303842504D53
@@ -163,7 +163,7 @@ def write(df: DataFrame, path: str, ids: str = "ids", key: str = "doc_id") -> No
                 body = group_bytes(keys[i:j], np.diff(offsets[i : j + 1]), values[offsets[i] : offsets[j]])
                 yield pa.RecordBatch.from_arrays([pa.array([body], pa.binary())], names=["value"])
 
-    rows = df.select(F.col(key).cast("long"), F.col(ids)).mapInArrow(groups, "value binary")
+    rows = df.select(F.col(key).cast("long"), F.col(ids)).mapInArrow(tidied(groups), "value binary")
     rows.select(F.col("value").cast("string")).write.mode("overwrite").option("lineSep", MARKER).text(path)
 
 
@@ -187,7 +187,7 @@ def read(spark, path: str) -> DataFrame:
                     )
                     place += len(keys)
 
-    return _files(spark, path).mapInArrow(documents, "shard string, place long, doc_id long, ids array<long>")
+    return _files(spark, path).mapInArrow(tidied(documents), "shard string, place long, doc_id long, ids array<long>")
 
 
 def index(spark, path: str) -> DataFrame:
@@ -211,7 +211,7 @@ def index(spark, path: str) -> DataFrame:
                     )
                     before, place = before + len(ids), place + len(keys)
 
-    found = cut_lineage(_files(spark, path).mapInArrow(entries, "shard string, place long, doc_id long, inner long, n_tokens long, ids_crc32 long"), "simple8b-index")
+    found = cut_lineage(_files(spark, path).mapInArrow(tidied(entries), "shard string, place long, doc_id long, inner long, n_tokens long, ids_crc32 long"), "simple8b-index")
     shards = found.groupBy("shard").agg(F.sum("n_tokens").alias("total"), F.min_by("doc_id", "place").alias("first"))
     before = Window.orderBy(F.col("first").asc_nulls_first(), "shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = shards.select("shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
@@ -281,7 +281,7 @@ def tokenise(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str =
                 lists = pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(out))
                 yield pa.RecordBatch.from_arrays([*(b.column(k) for k in others), lists], names=[f.name for f in schema])
 
-    return df.mapInArrow(encoded, schema)
+    return df.mapInArrow(tidied(encoded), schema)
 
 
 def write_documents(docs: DataFrame, tokenizer_path: str, path: str, key: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES) -> None:

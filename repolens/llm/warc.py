@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from repolens.llm.common import tidied
 from repolens.session import cut_lineage
 
 MAGIC = "WARC/1.0\r\n"
@@ -148,7 +149,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
         names = ["file", "block", "place", "size", "head", "length", "whole", "sha", "type", "id", "uri", "digest", "refers_to", "stated"]
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip([*c[:8], *f[:5], stated], kinds)], names=names)
 
-    return _pieces(spark, path).mapInArrow(found, f"file string, block long, place long, size long, head long, length long, whole boolean, sha string, {_FIELDS}")
+    return _pieces(spark, path).mapInArrow(tidied(found), f"file string, block long, place long, size long, head long, length long, whole boolean, sha string, {_FIELDS}")
 
 
 def _placed(found: DataFrame) -> DataFrame:
@@ -238,7 +239,7 @@ def _joined(spark: SparkSession, path: str, found: DataFrame, cut: DataFrame) ->
         for file, block, place, piece in _walk(batches):
             yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([block], pa.int64()), pa.array([place], pa.int64()), pa.array([piece], pa.binary())], names=["file", "block", "place", "piece"])
 
-    pieces = _pieces(spark, path).mapInArrow(raw, "file string, block long, place long, piece binary").join(covered, ["file", "block", "place"])
+    pieces = _pieces(spark, path).mapInArrow(tidied(raw), "file string, block long, place long, piece binary").join(covered, ["file", "block", "place"])
 
     def together(rows: pa.Table) -> pa.Table:
         order = np.argsort(rows["at"].to_numpy())

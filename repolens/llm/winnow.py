@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolens.llm.common import Stretches, code_points, list_array, order_buckets, row_groups, text_parts
+from repolens.llm.common import Stretches, code_points, list_array, order_buckets, row_groups, text_parts, tidied
 from repolens.session import cut_lineage
 
 K, W = 24, 64
@@ -76,7 +76,7 @@ def fingerprint(df: DataFrame, texts: dict[str, str], k: int = K, w: int = W) ->
                     columns += [list_array(hashes, bounds, pa.int64()), list_array(positions, bounds, pa.int32())]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return df.mapInArrow(prints, T.StructType([*df.schema.fields, *added]))
+    return df.mapInArrow(tidied(prints), T.StructType([*df.schema.fields, *added]))
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -157,33 +157,28 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     """(id, component) of every id in ``edges`` (columns a, b, integers);
     component is the smallest id reachable.
 
-    Each round hooks every vertex to its smallest neighbour, follows the
-    hooks four steps and contracts the edges; edges within one vertex go.
-    Rounds grow with the logarithm of the longest path. Every round's tables
-    are written to the shared checkpoint folder. A hub is pre-aggregated by
-    the partial minimum, its join is split by AQE.
+    Each round hooks every vertex to its smallest neighbour and contracts the edges by the
+    hooks; edges within one vertex go, and of what is left only local minima remain, at most
+    half of the vertices. The hooks of all rounds are followed at the end. A round writes
+    two tables to the shared checkpoint folder. A hub is pre-aggregated by the partial
+    minimum, its join is split by AQE.
     """
-    e = cut_lineage(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), f"{name}-edges")
-    labels = None
-    while True:
+    e = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
+    e = cut_lineage(e, f"{name}-edges")
+    hooks = []
+    while not hooks or not e.isEmpty():
         both = e.union(e.select("b", "a"))
-        parent = both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.min("a")).alias("p"))
-        parent = cut_lineage(parent, f"{name}-parents")
-        if labels is None:
-            labels = parent.select(F.col("v").alias("id"), F.col("v").alias("component"))
-        if parent.isEmpty():
-            return labels
-        for _ in range(2):
-            up = parent.select(F.col("v").alias("p"), F.col("p").alias("pp"))
-            parent = parent.join(up, "p").select("v", F.col("pp").alias("p"))
-        parent = cut_lineage(parent, f"{name}-jumps")
-        labels = labels.join(parent, labels["component"] == parent["v"], "left").select("id", F.coalesce("p", "component").alias("component"))
-        labels = cut_lineage(labels, f"{name}-labels")
-        pa_, pb = parent.select(F.col("v").alias("a"), F.col("p").alias("pa")), parent.select(F.col("v").alias("b"), F.col("p").alias("pb"))
+        hook = cut_lineage(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.min("a")).alias("p")), f"{name}-hooks")
+        hooks.append(hook)
+        pa_, pb = hook.select(F.col("v").alias("a"), F.col("p").alias("pa")), hook.select(F.col("v").alias("b"), F.col("p").alias("pb"))
         e = e.join(pa_, "a").join(pb, "b").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).filter("a < b").distinct()
         e = cut_lineage(e, f"{name}-edges")
-        if e.isEmpty():
-            return labels
+    labels = hooks[0].select(F.col("v").alias("id"), F.col("p").alias("component"))
+    for i, hook in enumerate(hooks[1:]):
+        labels = labels.join(hook, labels["component"] == hook["v"], "left").select("id", F.coalesce("p", "component").alias("component"))
+        if i % 4 == 3:
+            labels = cut_lineage(labels, f"{name}-labels")
+    return cut_lineage(labels, f"{name}-labels")
 
 
 def order_buckets(df: DataFrame, key: str, n: int) -> Column:

@@ -24,6 +24,7 @@ links if the whole sets of shingles, built again from the texts, are similar eno
 from __future__ import annotations
 
 import hashlib
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ from repolens.session import cut_lineage
 K = 48
 SHARED = 20 / 48
 SMALL = 8
+#: Members of a long list that a round compares with all others, after the first round.
+PIVOTS = 192
 #: Standard deviations by which an estimate may fall short.
 SLACK = 5.0
 NO_ID = (1 << 63) - 1
@@ -151,8 +154,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return both.mapInArrow(tidied(checked), "a long, b long")
 
 
-def _pivots(round_: int) -> int:
-    return min(64, 2 * 4**round_)
+def _merged(found: DataFrame, new: DataFrame) -> DataFrame:
+    """Components (id, component) after the links ``new`` (a, b): only those that they join change."""
+    a, b = (found.select(F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
+    between = new.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    fresh = new.select(F.col("a").alias("id")).union(new.select("b")).distinct().join(found, "id", "left_anti")
+    everyone = found.union(fresh.select("id", F.col("id").alias("component")))
+    joined = connected_components(between, "joined").select(F.col("id").alias("component"), F.col("component").alias("low"))
+    return cut_lineage(everyone.join(joined, "component", "left").select("id", F.coalesce("low", "component").alias("component")), "linked")
 
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -177,28 +186,27 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     pairs = paired.select("p.*").filter(_near("n", "o", percent)).filter("a != b").select("a", "b").distinct()
     links = cut_lineage(_verified(_estimated(pairs, reps, percent), texts, words, percent), "links")
 
+    found = connected_components(links, "linked")
     long = lists.filter(F.col("holders") > SMALL).select("value", "id", "n")
-    round_ = 0
-    while True:
-        found = cut_lineage(connected_components(links), "linked")
-        if round_ == 0:
-            long = cut_lineage(long, "long-lists")
+    for round_ in count():
         labelled = long.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        open_ = labelled.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("value")
-        labelled = cut_lineage(labelled.join(open_, "value", "left_semi"), "open-lists")
+        sizes = labelled.groupBy("value", "component").agg(F.count(F.lit(1)).alias("size"))
+        open_ = sizes.groupBy("value").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("size", "component")).alias("main")).filter("parts > 1")
+        labelled = cut_lineage(labelled.join(open_.select("value", "main"), "value"), "open-lists")
         if labelled.isEmpty():
             break
-        # The same documents come first in every list of a round, so that lists of the same
-        # members ask for the same pairs.
-        chosen = _first_members(labelled, round_, _pivots(round_))
-        with_pivots = labelled.join(chosen, "value").select("value", "id", "n", "component", F.explode("pivots").alias("p"))
-        asked = with_pivots.filter("component != p.component").filter(_near("n", "p.n", percent))
+        # At first a few pivots, the same in all lists of the same members; then those that are
+        # not in the list's largest component: once they are gone, the list is done.
+        heads = labelled if round_ == 0 else labelled.filter("component != main")
+        chosen = cut_lineage(_first_members(heads, round_, 4 if round_ == 0 else PIVOTS), "pivots")
+        asked = labelled.join(chosen, "value").select("id", "n", "component", F.explode("pivots").alias("p"))
+        asked = asked.filter("component != p.component").filter(_near("n", "p.n", percent))
         pairs = asked.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
         new = cut_lineage(_verified(_estimated(pairs, reps, percent), texts, words, percent), "links")
         done = chosen.select("value", F.explode("pivots").alias("p")).select("value", F.col("p.id").alias("id"))
         long = cut_lineage(labelled.select("value", "id", "n").join(done, ["value", "id"], "left_anti"), "long-lists")
-        links = cut_lineage(links.union(new), "links")
-        round_ += 1
+        if not new.isEmpty():
+            found = _merged(found, new)
     joined = members.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
     # A class of equal sets is one component with its representative.
     same = joined.withColumn("component_id", F.coalesce("component", "rep", "id"))

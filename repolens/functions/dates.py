@@ -94,7 +94,7 @@ def check_date_range(start, end=None) -> tuple[dt.date, dt.date]:
     start_d = _as_date(start)
     end_d = _as_date(end) if end is not None else start_d
     if end_d < start_d:
-        raise ValueError("'end_date' must be >= than 'start_date'")
+        raise ValueError(f"the window ends ({end_d}) before it starts ({start_d})")
     return start_d, end_d
 
 

@@ -16,6 +16,8 @@ from repolens.schemas import NA, OTHER, TOP_K_VALUES_TO_KEEP
 def _window(df: DataFrame, start, end, col: str = "creation_date") -> DataFrame:
     if start is None and end is None:
         return df
+    if start is None:  # open at the start
+        return df.where(F.col(col) <= ntz_lit(end))
     return df.where(between(F.col(col), start, end if end is not None else start))
 
 

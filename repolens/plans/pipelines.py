@@ -46,7 +46,7 @@ from repolens.schemas import (
     TABLE_KEYS,
     TOP_K_VALUES_TO_KEEP,
 )
-from repolens.session import cut_lineage, shared_scratch
+from repolens.session import path_exists, replace_folder, cut_lineage, shared_scratch
 from repolens.sources import readers as R
 from repolens.sources.sinks import write_partitioned
 
@@ -118,7 +118,9 @@ def build_repo_marts(
 
 def package_job(content: DataFrame, batch_ts: dt.datetime | None = None, existing: DataFrame | None = None) -> DataFrame:
     """Content -> package rows -> append -> keep latest by
-    (repo_id, package)."""
+    (repo_id, package). ``existing`` rows can only be merged under a ``batch_ts``."""
+    if existing is not None and batch_ts is None:
+        raise ValueError("batch_ts is needed to merge with existing packages")
     pk = package_table(content)
     if batch_ts is not None:
         pk = pk.withColumn("updated_at", ntz_lit(batch_ts))
@@ -230,13 +232,12 @@ def run_repo_info(
     raw = R.read_raw_repos(spark, landed_path, languages, ws, we, with_file_order=True)
     existing = _read_tables(spark, out_path) if incremental else {}
     marts = build_repo_marts(raw, as_of, batch_ts, ws, we, order_cols=["__file", "__row"], existing=existing)
-    # Write to staging first, then replace the tables: a lost job leaves
-    # the current tables intact, and no table is read while overwritten.
-    staging = shared_scratch(spark, "marts")
+    # All tables are written beside the current ones before any is replaced, by a rename:
+    # a lost job leaves the current tables as they are, and no table is read while written.
     for name, df in marts.items():
-        df.write.mode("overwrite").parquet(f"{staging}/{name}")
+        df.write.mode("overwrite").parquet(f"{out_path}/{name}.new")
     for name in marts:
-        spark.read.parquet(f"{staging}/{name}").write.mode("overwrite").parquet(f"{out_path}/{name}")
+        replace_folder(spark, f"{out_path}/{name}.new", f"{out_path}/{name}")
     return {name: spark.read.parquet(f"{out_path}/{name}") for name in marts}
 
 
@@ -244,13 +245,12 @@ MART_NAMES = ("repo", "repo_topic", "owner", "topic_analytics", "repo_analytics"
 
 
 def _read_tables(spark: SparkSession, out_path: str) -> dict[str, DataFrame]:
-    out = {}
-    for name in MART_NAMES:
-        try:
-            out[name] = spark.read.parquet(f"{out_path}/{name}")
-        except Exception:  # first run: nothing there yet
-            pass
-    return out
+    """The current tables; empty on a first run. A table that alone is missing, or that can't
+    be read, is an error: its history must not be replaced by a window."""
+    there = [name for name in MART_NAMES if path_exists(spark, f"{out_path}/{name}")]
+    if there and len(there) < len(MART_NAMES):
+        raise ValueError(f"{out_path} lacks {sorted(set(MART_NAMES) - set(there))}; a .replaced folder may hold it")
+    return {name: spark.read.parquet(f"{out_path}/{name}") for name in there}
 
 
 def land_search_pages(
@@ -270,7 +270,7 @@ def land_search_pages(
         F.col("language").isNotNull()
     )
     if languages:
-        landed = landed.where(F.col("language").isin(list(languages)))
+        landed = landed.where(F.col("language").isin(R.parse_languages(languages)))
     landed = landed.withColumn("created_date", F.to_date(parse_iso_timestamp(F.col("created_at"))))
     landed = landed.select(*[f.name for f in RAW_REPO.fields if f.name != "created_month"])
     write_partitioned(landed, landed_path, mode=mode, schema=RAW_REPO)
@@ -315,21 +315,27 @@ def run_repo_content_flow(
     min_stars: int = 10,
     batch_ts: dt.datetime | None = None,
     package_key: str = REQUIREMENTS_KEY,
+    landed_structure: DataFrame | None = None,
+    landed_content: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Structure -> content -> packages, each stage switchable. Stages
-    that are switched off are skipped together with everything after them
-    that depends on their output."""
+    """Structure -> content -> packages, each stage switchable. A stage whose
+    predecessor is switched off works on what that one landed before (``landed_structure``,
+    ``landed_content``: what ``read_structure`` and ``read_content`` give)."""
     out: dict[str, DataFrame] = {}
-    if not structure:
-        return out
-    out["structure"] = structure_job(repo, trees, language, creation_date, structure_path_pattern, min_stars)
-    if not content:
-        return out
-    out["content"] = content_job(out["structure"].where(F.col("path").isNotNull()), blobs, content_path_pattern)
+    if structure:
+        out["structure"] = structure_job(repo, trees, language, creation_date, structure_path_pattern, min_stars)
+    if content:
+        found = out.get("structure", landed_structure)
+        if found is None:
+            raise ValueError("the content stage needs the structure stage or landed_structure")
+        out["content"] = content_job(found.where(F.col("path").isNotNull()), blobs, content_path_pattern)
     if not packages:
         return out
+    files = out.get("content", landed_content)
+    if files is None:
+        raise ValueError("the package stage needs the content stage or landed_content")
     # The package stage reads only the requirements-file partition (A5).
-    req = out["content"].where(F.col("key") == F.lit(package_key))
+    req = files.where(F.col("key") == F.lit(package_key))
     out["package"] = package_job(req.withColumn("language", F.lit(language)), batch_ts)
     return out
 

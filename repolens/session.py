@@ -81,12 +81,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None
     )
+    if not configured and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="repolens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its own file system; any failure to ask is raised."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished folder ``new`` in the place of ``path`` by renames. The old one is
+    moved aside first and deleted last, so its data exist at every moment."""
+    jvm = spark.sparkContext._jvm
+    target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(new)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path}.replaced")
+    had = fs.exists(target)
+    if had:
+        fs.delete(aside, True)
+        if not fs.rename(target, aside):
+            raise OSError(f"{path} can't be moved aside")
+    if not fs.rename(source, target):
+        raise OSError(f"{new} can't be moved to {path}")
+    if had:
+        fs.delete(aside, True)
+
+
 def shared_scratch(spark: SparkSession, name: str) -> str:
     """A unique folder under the shared checkpoint location for written
     intermediates (never a machine-local temp folder)."""

@@ -26,6 +26,18 @@ from repolens.schemas import (
 )
 
 
+def parse_languages(languages=None) -> list[str]:
+    """Supported language aliases out of a list or a comma-separated string; all of
+    them for None. Naming none that is supported is an error, not "no filter"."""
+    if languages is None:
+        return list(SUPPORTED_LANGUAGES)
+    names = languages.split(",") if isinstance(languages, str) else list(languages)
+    found = [n.strip().lower() for n in names if n.strip().lower() in SUPPORTED_LANGUAGES]
+    if not found:
+        raise ValueError(f"no supported language in {languages!r}")
+    return list(dict.fromkeys(found))
+
+
 def partition_filter(
     df: DataFrame,
     languages=None,
@@ -63,8 +75,7 @@ def read_raw_repos(
     supported languages (A3). ``with_file_order`` adds the landed file path
     and row index for first-in-file de-duplication (G1)."""
     df = spark.read.schema(RAW_REPO).parquet(path)
-    langs = languages or list(SUPPORTED_LANGUAGES)
-    df = partition_filter(df, [l for l in ([langs] if isinstance(langs, str) else langs) if l in SUPPORTED_LANGUAGES], start, end)
+    df = partition_filter(df, parse_languages(languages), start, end)
     cols = [F.col(c) for c in RAW_REPO_COLUMNS] + [F.col("language"), F.col("created_date")]
     if with_file_order:
         cols += [
@@ -83,8 +94,7 @@ def read_daily_files(spark: SparkSession, path: str, languages=None, start=None,
         "created_date",
         F.to_date(F.regexp_extract(F.col("_metadata.file_name"), r"^(\d{4}-\d{2}-\d{2})", 1)),
     )
-    langs = languages or list(SUPPORTED_LANGUAGES)
-    return partition_filter(df, [l for l in ([langs] if isinstance(langs, str) else langs) if l in SUPPORTED_LANGUAGES], start, end)
+    return partition_filter(df, parse_languages(languages), start, end)
 
 
 def discover_languages(df: DataFrame, language_col: str = "language") -> DataFrame:

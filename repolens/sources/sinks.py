@@ -29,7 +29,7 @@ from repolens.functions.dates import ntz_lit
 from pyspark.sql import types as T
 
 from repolens.schemas import LANDING_PARTITIONS
-from repolens.session import shared_scratch
+from repolens.session import path_exists, shared_scratch
 
 
 def with_month(df: DataFrame, date_col: str = "created_date", month_col: str = "created_month") -> DataFrame:
@@ -37,10 +37,7 @@ def with_month(df: DataFrame, date_col: str = "created_date", month_col: str = "
 
 
 def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # nothing landed yet
-        return None
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
 
 
 def _write(df: DataFrame, path: str, partition_cols: list[str], date_col: str, mode: str) -> None:

@@ -27,7 +27,7 @@ def process_new_files(
     max_files_per_trigger: int | None = None,
 ) -> None:
     """Run ``handle_batch(batch_df, batch_id)`` over every file landed since
-    the last run, then stop. Exactly-once per file through the checkpoint;
+    the last run, then stop. A lost batch is handled again under its id;
     ``handle_batch`` must be idempotent per ``batch_id`` (e.g. write with a
     dynamic partition overwrite)."""
     stream = landed_repo_stream(spark, landed_path, max_files_per_trigger)
@@ -41,13 +41,14 @@ def process_new_files(
 
 
 def marts_batch_writer(out_path: str, as_of: dt.date, batch_ts: dt.datetime) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` handler that normalises a micro-batch and appends
-    the three modelled tables (keep-latest is applied when they are read)."""
+    """A ``foreachBatch`` handler that normalises a micro-batch and writes the
+    three modelled tables, each batch to its own partition ``batch_id``: a batch that is
+    handled again replaces its own rows (keep-latest is applied when they are read)."""
     from repolens.operators.tables import build_tables, normalize_repos
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         norm = normalize_repos(batch, as_of)
         for name, df in build_tables(norm, batch_ts).items():
-            df.write.mode("append").parquet(f"{out_path}/{name}")
+            df.write.mode("overwrite").parquet(f"{out_path}/{name}/batch_id={batch_id}")
 
     return handle

@@ -198,3 +198,42 @@ def test_incremental_daily_run(spark, landed):
     assert sorted(repo) == [1, 2, 4, 5]
     ra = {(r.creation_date.month, r.language): r.n_repos for r in second["repo_analytics"].collect()}
     assert ra[(2, "Python")] == 1 and ra[(1, "Python")] == 2  # January kept from the first run
+
+
+def test_languages_are_parsed_strictly():
+    from repolens.sources.readers import parse_languages
+
+    assert parse_languages("python, java") == ["python", "java"]
+    with pytest.raises(ValueError):
+        parse_languages(["kotlin"])
+
+
+def test_missing_table_is_not_a_first_run(spark, tmp_path):
+    from repolens.plans.pipelines import _read_tables
+
+    assert _read_tables(spark, str(tmp_path)) == {}
+    spark.range(1).write.parquet(str(tmp_path / "repo"))
+    with pytest.raises(ValueError):
+        _read_tables(spark, str(tmp_path))
+
+
+def test_streamed_batch_can_be_handled_again(spark, landed, tmp_path):
+    import datetime as dt
+
+    from repolens.schemas import RAW_REPO
+    from repolens.streaming.incremental import marts_batch_writer
+
+    handle = marts_batch_writer(str(tmp_path), dt.date(2001, 1, 1), dt.datetime(2001, 1, 1))
+    batch = spark.createDataFrame([], RAW_REPO).limit(0)
+    handle(batch, 1)
+    handle(batch, 1)
+    assert len(list((tmp_path / "repo").glob("batch_id=*"))) == 1
+
+
+def test_package_stage_alone_needs_landed_content():
+    from repolens.plans.pipelines import package_job, run_repo_content_flow
+
+    with pytest.raises(ValueError):
+        run_repo_content_flow(None, None, None, structure=False, content=False)
+    with pytest.raises(ValueError):
+        package_job(None, existing=object())

@@ -10,6 +10,7 @@ from conftest import SF_SMALL
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as E  # noqa: E402
+from repolens.plans import catalog  # noqa: E402
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -33,10 +34,11 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_python_udf_or_cartesian(spark, name):
     if name == "partition_refresh":
         pytest.skip("writes data; covered by the oracle run")

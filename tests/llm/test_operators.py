@@ -1,0 +1,247 @@
+"""Operators on small tables: nulls, empty and odd texts, ties, repeated rows, empty tables, clashing names."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers as PT
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from repolens.llm import bpe, langid, lines, minhash, mixing, pii, pq, pretokens, simple8b, warc, winnow
+from repolens.llm.common import connected_components
+
+RANKS = PT.path("byte_bpe_50k.tiktoken")
+TEXTS = ["Hello  world's\n\nend ", None, "", "日本語 and '", "a" * 3000, "x\ny\nlonger than ten\nlonger than ten", "  Longer than TEN  ", "don't we'll <|endoftext|>", "x\ny\nlonger than ten\nlonger than ten"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en" if i % 2 else None, ["b", None, "a"][i % 3], 5, "c") for i, t in enumerate(TEXTS)]
+    return spark.createDataFrame(rows + [(None, "no id at all", None, None, None, "c")], "doc_id long, text string, lang string, source string, n_chars long, ids string")
+
+
+def test_bpe_is_tiktoken_and_decodes(docs):
+    enc = tiktoken.Encoding("own", pat_str=PT.PATTERN, mergeable_ranks=pretokens.read_ranks(RANKS), special_tokens={})
+    got = bpe.decode(bpe.encode(docs, RANKS, chunk_bytes=1000), RANKS, digest="sha").collect()
+    assert len(got) == docs.count()
+    for r in got:
+        assert list(r["ids"]) == enc.encode_ordinary(r["text"] or "")
+        assert bytes(r["decoded"]).decode() == (r["text"] or "")
+        assert r["sha"] == hashlib.sha256(np.array(r["ids"], "<u4").tobytes()).hexdigest()
+    assert bpe.encode(docs.limit(0), RANKS).count() == 0
+
+
+def test_simple8b_files_hold_the_library_ids(spark, docs, tmp_path):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(PT.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    path = str(tmp_path / "shards")
+    simple8b.write_documents(docs, PT.path("byte_bpe_50k.json"), path, shard_bytes=1000)
+    want, start = {}, 0
+    for i, text in [(None, "no id at all"), *enumerate(TEXTS)]:
+        ids = t.encode(text or "", add_special_tokens=False).ids + [0]
+        want[i] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in simple8b.index(spark, path).collect()} == want
+    assert {r["doc_id"]: len(r["ids"]) for r in simple8b.read(spark, path).collect()} == {i: n for i, (_, n, _) in want.items()}
+
+
+def test_next_row_and_likeness(docs):
+    rows = docs.filter("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    for n in (2, 5):
+        got = {r["doc_id"]: r["next_text"] for r in winnow.with_next(rows, "doc_id", ["text"], n).collect()}
+        assert got == {i: TEXTS[i - 1] or "" for i in range(len(TEXTS))}
+    prints = winnow.fingerprint(rows, {"text": "a"})
+    assert prints.filter(F.size("a_hashes") == 0).count() == 2
+    one = prints.select(winnow.likeness(F.col("a_hashes"), F.col("a_hashes")).alias("x")).distinct().collect()
+    assert [r["x"] for r in one] == [1.0]
+
+
+def test_line_dedup_and_its_reversal(spark, docs):
+    some = docs.filter("doc_id in (5, 6, 8)").select("doc_id", "text")
+    out = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["text"]) for r in lines.dedup(docs).collect()}
+    assert out[5] == (4, 0, TEXTS[5]) and out[6] == (1, 1, "") and out[8] == (4, 2, "x\ny") and out[1] == (1, 0, "") and out[2] == (1, 0, "")
+    index = lines.insert(lines.empty(spark), some.filter("doc_id != 5"))
+    before = sorted(index.counts.collect())
+    both = lines.insert(index, some.filter("doc_id = 5"))
+    assert sorted((r["docs"], r["first"]) for r in both.counts.collect()) == [(3, 5)]
+    back = lines.delete(both, some.filter("doc_id = 5"))
+    assert sorted(back.counts.collect()) == before
+    none = lines.delete(back, some)
+    assert none.counts.count() == 0
+    assert lines.probe(both.counts, both.filters, both.bits).filter("known").count() == 1
+    assert lines.probe(both.counts, none.filters, none.bits).filter("known").count() == 0
+    assert lines.dedup(docs.limit(0)).count() == 0
+
+
+def _components(texts, k=4):
+    def shingled(t):
+        w = (t or "").lower().split()
+        return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
+
+    sets, low = [shingled(t) for t in texts], list(range(len(texts)))
+
+    def root(x):
+        while low[x] != x:
+            x = low[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = root(i), root(j)
+                low[max(x, y)] = min(x, y)
+    return [root(i) for i in range(len(texts))], [len(s) for s in sets]
+
+
+def test_minhash_links_families_chains_and_passages(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(2000)]
+    base, passage = [rng.choice(words) for _ in range(150)], " ".join(rng.choice(words) for _ in range(60))
+    texts = []
+    for _ in range(40):
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 2, 4, 5])):
+            copy[rng.randrange(150)] = rng.choice(words)
+        texts.append(" ".join(copy))
+    texts += [passage + " " + " ".join(rng.choice(words) for _ in range(rng.choice([8, 12, 15, 60]))) for _ in range(40)]
+    texts += ["", None, "a b", "A  B\n", " "] + texts[:3]
+    rng.shuffle(texts)
+    component, size = _components(texts)
+    got = sorted(minhash.link(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), words=4).collect())
+    assert [r["component_id"] for r in got] == component and [r["n_shingles"] for r in got] == size
+    assert minhash.link(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(30)] + [(200, 100 + i) for i in range(20)]
+    got = {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(31)}, **{i: 100 for i in range(100, 120)}, 200: 100}
+
+
+def test_vectors_against_all_pairs(spark):
+    rng = np.random.default_rng(1)
+    base = rng.standard_normal((30, 16))
+    x = np.concatenate([base, base[:10] + rng.standard_normal((10, 16)) * 0.1, base[:3] * 2, np.repeat(base[:1], 5, 0) + rng.standard_normal((5, 16)) * 0.3, base[5:6]])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    odd = [(900, None), (901, []), (902, [0.0] * 16), (903, [float("nan")] * 16), (904, [None] * 16), (905, [1.0, 2.0])]
+    got = {r["id"]: (r["n_links"], r["component_id"]) for r in pq.link(spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>"), block=8).collect()}
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    near = unit @ unit.T >= 0.9
+    found = sum(got[i][0] for i in range(len(x))) / (near.sum() - len(x))
+    assert 0.9 <= found <= 1.0
+    assert all(got[i] == (0, i) for i, _ in odd)
+    assert pq.link(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+
+
+def test_language_on_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    extra = spark.createDataFrame([(10**6, None, "en"), (10**6 + 1, "", None), (10**6 + 2, "12 !?", None)], docs.schema)
+    out = langid.predict(docs.union(extra), langid.fit(docs)).cache()
+    test = out.filter(langid.held_out(F.col("doc_id")) & (F.col("doc_id") < 10**6))
+    assert test.filter("lang = lang_pred").count() >= 0.95 * test.count()
+    assert {(r["lang_pred"], r["score"]) for r in out.filter("doc_id >= 1000000").collect()} == {("und", 0.0)}
+    assert out.filter("score < 0 or score > 1").count() == 0
+
+
+def test_language_gradients():
+    rng = np.random.default_rng(0)
+    w = langid.train([b"ab", b"cd"], ["x", "y"], hidden=3, window=4, steps=1, batch=2).weights
+    w = {n: a.astype(float) for n, a in w.items()}
+    x, y, valid = rng.integers(97, 101, (5, 6)), np.array([0, 1, 0, 1, 1, 0]), np.ones((5, 6))
+    _, g = langid._gradients(w, x, y, valid)
+    for name in ("Uf", "Vb", "Eb", "c"):
+        at = np.unravel_index(np.abs(g[name]).argmax(), g[name].shape)
+        value, h = w[name][at], 1e-4
+        w[name][at] = value + h
+        up = langid._gradients(w, x, y, valid)[0]
+        w[name][at] = value - h
+        down = langid._gradients(w, x, y, valid)[0]
+        w[name][at] = value
+        assert abs((up - down) / (2 * h) - g[name][at]) < 1e-3
+
+
+def test_mixing_meets_targets(spark, docs):
+    rows = [(i, "w " * (1 + i % 50), "big" if i % 3 else "small") for i in range(900)]
+    planned = mixing.report(mixing.plan(spark.createDataFrame(rows, "doc_id long, text string, source string")))
+    for r in planned.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect():
+        assert abs(r["taken"] - r["target"]) <= 50
+    assert planned.filter("taken > 3 * size").count() == 0
+    mixed = [r["doc_id"] for r in mixing.mix(docs).collect()]
+    assert mixed == [r["doc_id"] for r in mixing.mix(docs).collect()]
+    assert mixing.mix(docs).columns == docs.columns and mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_warc_rejects_magic_in_payloads(spark, tmp_path):
+    def record(p):
+        return f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:77>\r\nContent-Length: {len(p.encode())}\r\n\r\n{p}\r\n\r\n"
+
+    rows = []
+    for i in range(60):
+        b = "é" * (i % 90) + "x" * (i * 7 % 400)
+        b = f"pre WARC/1.0\r\n mid {b} WARC/1.0\r\nContent-Length: 5\r\n\r\nabc" if i % 5 == 0 else b
+        b = b + record("inner " + b) + "tail" if i % 7 == 0 else b
+        b = "same" * 40 if i % 11 == 0 else b
+        rows.append((i, f"http://x/{i}\r\nWARC-Type: bad" if i % 3 else None, None if i % 13 == 0 else b))
+    path = str(tmp_path / "warc")
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2), path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        got = {r["page"]: r for r in warc.read(spark, path).withColumn("page", warc.page_number(F.col("id"))).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == len(rows)
+    firsts = {}
+    for i, _, body in rows:
+        raw = (body or "").encode()
+        digest = hashlib.sha256(raw).hexdigest()
+        first = firsts.setdefault(digest, i) if len(raw) >= 100 else i
+        r = got[i]
+        assert (r["payload_bytes"], r["payload_digest"], r["type"]) == (len(raw), digest, "response" if first == i else "revisit")
+        assert r["refers_to"] == (None if first == i else f"<urn:page:{first}>")
+
+
+def test_surrogates_are_consistent_and_keep_their_format(spark):
+    texts = [
+        "Mail Und.34@mail7.example.com or und.34@MAIL7.example.com, call +1 (017) 555-7713.",
+        "4111 1111 1111 1111 and 4111111111111111, ip 8.196.197.208 and 10.0.0.1; Frau Schmidt met г-н Петров.",
+        'token = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b" und.34@mail7.example.com',
+        None,
+        "",
+        "nothing here, version 3.0",
+    ]
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n_entities int")
+    got = {r["doc_id"]: r for r in pii.replace(df).collect()}
+    assert [got[i]["n_entities"] for i in range(6)] == [3, 6, 2, 0, 0, 0]
+    assert got[3]["text"] is None and got[4]["text"] == "" and got[5]["text"] == texts[5]
+    mail = re.findall(r"\S+@\S+\w", got[0]["text"])
+    assert mail[0].lower() == mail[1].lower() == re.findall(r"\S+@\S+\w", got[2]["text"])[0] and mail[0][0].isupper()
+    cards = re.findall(r"\d{4} \d{4} \d{4} \d{4}|\d{16}", got[1]["text"])
+    digits = [int(c) for c in cards[1]]
+    assert cards[0].replace(" ", "") == cards[1] != "4111111111111111"
+    assert sum(sum(divmod(d * 2, 10)) if i % 2 == 0 else d for i, d in enumerate(digits)) % 10 == 0
+    assert "Schmidt" not in got[1]["text"] and re.search(r"Frau [A-Z][a-z]+", got[1]["text"]) and re.search(r"г-н [А-ЯЁ][а-яё]+", got[1]["text"])
+    many = spark.createDataFrame([(i, f"1.2.{i // 250 % 9}.{i % 9} and u{i}@a.b.example.com") for i in range(400)], "doc_id long, text string")
+    names = many.select(F.explode(pii.entities(F.col("text"))).alias("entity")).distinct()
+    pairs = pii.surrogates(names).collect()
+    assert len({r["surrogate"] for r in pairs}) == len(pairs) == names.count()
+
+
+def test_pipeline_on_a_small_table(spark, docs):
+    table = docs.drop("ids")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, table, None)
+        assert out.columns == table.columns, name
+        table = spark.createDataFrame(out.collect(), out.schema)
+        if name == "language":
+            assert table.filter("text is null or text = ''").count() == 0 and table.count() == 8
+        if name == "near_dedup":
+            assert table.filter("doc_id in (5, 8)").count() == 2  # their lines differ by now
+    last = corpus_pipeline.STAGES[-1][1](spark, table, None)
+    assert last.count() == table.count()

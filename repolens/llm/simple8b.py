@@ -41,6 +41,8 @@ MARKER = "S8B-END\n"
 BLOCK = 4096
 SHARD_BYTES = 16 << 20
 NO_KEY = -(1 << 63)
+#: Words whose ids a Python worker remembers.
+KNOWN_WORDS = 400_000
 #: Ids in a word and bits of an id, by selector. Fixed values of Simple-8b (60 payload bits).
 COUNT = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTH = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
@@ -229,7 +231,7 @@ def _word_ids(path: str, content: str):
 
         tokenizer = Tokenizer.from_str(content)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _TOKENIZER[path] = tokenizer
+        _TOKENIZER[path] = tokenizer, {}
     return _TOKENIZER[path]
 
 
@@ -245,7 +247,7 @@ def tokenise(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str =
 
     def encoded(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = _word_ids(tokenizer_path, shared.value)
+        tokenizer, known = _word_ids(tokenizer_path, shared.value)
         for batch in batches:
             _, bounds = text_parts(batch.column(at))
             for i, j in row_groups(bounds, 8 << 20):
@@ -256,12 +258,16 @@ def tokenise(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str =
                 _, first, place = P.distinct(hashes)
                 whole = data.tobytes()
                 words = [whole[x:y].decode() for x, y in zip(start[first].tolist(), end[first].tolist())]
-                length, flat = np.zeros(len(words), np.int64), []
-                for a in range(0, len(words), 20000):
-                    got = [e.ids for e in tokenizer.encode_batch_fast(words[a : a + 20000], add_special_tokens=False)]
-                    length[a : a + len(got)] = [len(x) for x in got]
-                    flat.append(np.fromiter((y for x in got for y in x), np.int32))
-                flat = np.concatenate(flat) if flat else np.zeros(0, np.int32)
+                fresh = [w for w in words if w not in known]
+                if len(known) + len(fresh) > KNOWN_WORDS:
+                    known.clear()
+                    fresh = words
+                for a in range(0, len(fresh), 20000):
+                    part = fresh[a : a + 20000]
+                    known.update(zip(part, (np.array(e.ids, "<i4").tobytes() for e in tokenizer.encode_batch_fast(part, add_special_tokens=False))))
+                got = [known[w] for w in words]
+                length = np.array([len(x) // 4 for x in got], np.int64)
+                flat = np.frombuffer(b"".join(got), "<i4")
                 begin = np.cumsum(length) - length
                 bound = np.searchsorted(start, offsets)
                 total = np.concatenate([[0], np.cumsum(length[place])])

@@ -41,7 +41,11 @@ SMALL = 8
 PIVOTS = 192
 #: Standard deviations by which an estimate may fall short.
 SLACK = 5.0
+#: Bytes of shingles that a task keeps while it confirms links.
+KEPT = 64 << 20
 NO_ID = (1 << 63) - 1
+#: Stands behind the values of a short sketch; no shingle has it as its hash.
+FILL = np.uint64((1 << 64) - 1)
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -72,6 +76,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndar
     for j in range(words):
         some = left > j
         h[some] = mix64(h[some] * np.uint64(0x9FB21C651E98DF25) + word[at[some] + j] + np.uint64(j + 1))
+    h[h == FILL] -= np.uint64(1)  # FILL is no hash
     order = np.lexsort((h, text))
     h, text = h[order], text[order]
     new = np.ones(len(h), bool)
@@ -120,17 +125,62 @@ def _near(n: str, m: str, percent: int) -> Column:
     return (F.least(n, m) * 100) >= (F.greatest(n, m) * percent)
 
 
+def _shared_of_union(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(shared, size) per row of two matrices of ascending sketches: the size of the union's sketch, and how
+    many of its values both hold. The largest number fills short rows."""
+    both = np.sort(np.concatenate([x, y], axis=1), axis=1)
+    fill = both == FILL
+    again = np.zeros(both.shape, bool)
+    again[:, 1:] = both[:, 1:] == both[:, :-1]
+    rank = np.cumsum(~again, axis=1)  # of each value among the distinct ones
+    inside = (rank <= K) & ~fill
+    return (again & inside).sum(1), (~again & inside).sum(1)
+
+
+def _matrix(sketches: pa.Array) -> np.ndarray:
+    """One row of K unsigned hashes per sketch, filled up with FILL."""
+    size = np.diff(sketches.offsets.to_numpy())
+    out = np.full((len(size), K), FILL)
+    out[np.arange(K)[None] < size[:, None]] = sketches.flatten().to_numpy().view(np.uint64)
+    return out
+
+
 def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that the sketch of the union does not rule out."""
     a, b = (reps.select(F.col("id").alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")
-    both = pairs.join(a, "a").join(b, "b")
-    # Hashes are unsigned: the sign bit turned makes signed order the same.
-    turned = [F.transform(f"s{x}", lambda v: v.bitwiseXOR(F.lit(-(1 << 63)))) for x in "ab"]
-    union = F.slice(F.array_sort(F.array_union(*turned)), 1, K)
-    shared = F.size(F.array_intersect(F.array_intersect(*turned), union))
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
     limit = percent / 100
-    low = F.lit(limit) - SLACK * F.sqrt(F.lit(limit * (1 - limit)) / F.size(union))
-    return both.filter(shared / F.size(union) >= low).select("a", "b")
+
+    def likely(batches):
+        for batch in batches:
+            shared, size = _shared_of_union(_matrix(batch.column(2)), _matrix(batch.column(3)))
+            low = limit - SLACK * np.sqrt(limit * (1 - limit) / np.maximum(size, 1))
+            yield batch.select(["a", "b"]).filter(pa.array(shared >= low * size))
+
+    return both.mapInArrow(likely, "a long, b long")
+
+
+class _Sets:
+    """The shingles of texts; those of the last ones are kept, up to ``KEPT`` bytes: pairs that were
+    joined on one side bring the same texts again and again."""
+
+    def __init__(self, words: int):
+        self.words, self.kept, self.bytes = words, {}, 0
+
+    def of(self, texts: pa.Array) -> list[np.ndarray]:
+        coded = texts.fill_null("").dictionary_encode()
+        data, at = text_parts(coded.dictionary)
+        raw = memoryview(data)
+        keys = [hashlib.blake2b(raw[x:y], digest_size=16).digest() for x, y in zip(at[:-1], at[1:])]
+        new = [i for i, key in enumerate(keys) if key not in self.kept]
+        h, bounds = shingles(*text_parts(coded.dictionary.take(pa.array(new, pa.int64()))), self.words)
+        for i, x, y in zip(new, bounds[:-1], bounds[1:]):
+            self.kept[keys[i]] = h[x:y].copy()
+            self.bytes += 8 * int(y - x)
+        found = [self.kept[key] for key in keys]
+        while self.bytes > KEPT:
+            self.bytes -= self.kept.pop(next(iter(self.kept))).nbytes
+        return [found[i] for i in coded.indices.to_numpy()]
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -139,15 +189,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb")
 
     def checked(batches):
+        sets = _Sets(words)
         for batch in batches:
             sizes = text_parts(batch.column(2))[1] + text_parts(batch.column(3))[1]
             for i, j in row_groups(sizes, 2 << 20):
                 part = batch.slice(i, j - i)
-                (h, at), (g, bt) = (shingles(*text_parts(part.column(c)), words) for c in (2, 3))
                 keep = []
-                for x in range(j - i):
-                    p, q = h[at[x] : at[x + 1]], g[bt[x] : bt[x + 1]]
-                    both_ = len(np.intersect1d(p, q, assume_unique=True))
+                for p, q in zip(sets.of(part.column(2)), sets.of(part.column(3))):
+                    both_ = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum()) if len(q) else 0
                     keep.append(100 * both_ >= percent * (len(p) + len(q) - both_))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 

@@ -49,8 +49,9 @@ def repo_report(
 
     Package restriction (E4) and topic restriction (E3) are left-semi
     joins on the repository id; the repository filters are plain
-    predicates that Catalyst pushes into the scan. The result is cut with
-    ``orderBy(...).limit(n)`` (a bounded ``TakeOrderedAndProject``).
+    predicates that Catalyst pushes into the scan. The ``limit`` ids of the
+    head come from a narrow ``TakeOrderedAndProject``; the broadcast of them
+    is bounded by ``limit``.
     """
     if sort_by not in SORT_OPTIONS:
         raise ValueError(f"sort_by must be one of {SORT_OPTIONS}")
@@ -82,7 +83,13 @@ def repo_report(
             )
         ).select("repo_id")
         r = semi_join(r, ft)
-    out = r.select(*REPORT_COLUMNS).distinct().orderBy(*order_desc(sort_by))
+    out = r.select(*REPORT_COLUMNS)
+    if limit:
+        # The head is found on two columns; only its rows are made distinct in full width.
+        head = out.select("id", F.col(sort_by).alias("by")).distinct().orderBy(F.col("by").desc_nulls_first(), "id").limit(limit)
+        ids = head.select(F.col("id").alias("head_id")).distinct()
+        out = out.join(F.broadcast(ids), out["id"].eqNullSafe(ids["head_id"]), "left_semi")
+    out = out.distinct().orderBy(*order_desc(sort_by))
     if limit:
         out = out.limit(limit)
     if split:

@@ -237,14 +237,19 @@ def package(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(repo_id = page_id % 100, path = lower(url), url) from pages."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return pages.select(
-        (F.col("page_id") % 100).alias("repo_id"),
-        F.lower("url").alias("path"),
-        F.col("url"),
-        F.col("page_id"),
+    """(repo_id, path = lower(url), url, page_id): two files for every repository but each fourth one,
+    which has none; the key picks the pages among all pages."""
+    n = table(spark, sf_dir, "pages").agg(F.nullif(F.count(F.lit(1)), F.lit(0)).alias("n")).scalar()
+    k = F.col("repo_id")
+    picks = (
+        table(spark, sf_dir, "orders")
+        .select(F.col("o_orderkey").alias("repo_id"))
+        .where(k % 4 != 0)
+        .withColumn("n", n)
+        .select("repo_id", F.explode(F.array(k % F.col("n"), (k * 7 + 3) % F.col("n"))).alias("page"))
     )
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return picks.join(pages, picks["page"] == pages["page_id"]).select("repo_id", F.lower("url").alias("path"), "url", "page_id")
 
 
 FILE_PATTERNS = ["/en/", "/fr/[0-9]+", "^https"]
@@ -406,4 +411,7 @@ package AS (
 
 FILES_SQL = """
 files AS (
-  SELECT page_id % 100 AS repo_id, lower(url) AS path, url, page_id FROM pages)"""
+  SELECT k.repo_id, lower(p.url) AS path, p.url, p.page_id
+  FROM (SELECT o_orderkey AS repo_id, unnest([o_orderkey % n, (o_orderkey * 7 + 3) % n]) AS page
+        FROM orders, (SELECT nullif(count(*), 0) AS n FROM pages) WHERE o_orderkey % 4 <> 0) k
+  JOIN pages p ON p.page_id = k.page)"""

@@ -36,6 +36,7 @@ from repolens.operators.upsert import align_to, append_aligned, upsert_merge
 from repolens.plans import bindings as B
 from repolens.plans import pipelines as P
 from repolens.sources.readers import select_repos_to_crawl
+from repolens.sources.sinks import table_stats
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -498,7 +499,7 @@ def q_repos_all_packages(spark, d):
 # J1, D0-D9, E2, E3, I2, H1, C16 ---------------------------------------------
 EXPLORER_LANGS = ["Python", "Java", "Go", "C", "Rust", "HTML", "Shell"]
 EXPLORER_TOPICS = ["small widget", "old rod", "hot ring", "large rod"]
-EXPLORER_PACKAGES = ["red-plate"]
+EXPLORER_PACKAGES = ["red-plate", "small-widget"]
 EXPLORER_LICENSES = [f"NATION_{i}" for i in (2, 3, 10, 11, 12, 13, 19, 21, 23, 24)]
 
 _REPORT_COLS = """name, url, language, stars, forks, open_issues, archived, has_wiki, description, license,
@@ -821,29 +822,34 @@ def q_extract_version(spark, d):
 TREE_PATTERN = r"^en/[0-9]+|\.html$"
 
 _TREE_SQL = f"""
-WITH entries AS (
-  SELECT page_id % 100 AS repo_id,
-         CASE WHEN page_id % 5 = 0 THEN upper(regexp_extract(url, '^[a-z]+://[^/]+/(.*)$', 1))
-              ELSE regexp_extract(url, '^[a-z]+://[^/]+/(.*)$', 1) END AS path,
-         CASE WHEN page_id % 3 = 0 THEN 'tree' ELSE 'blob' END AS type, url
-  FROM pages)
+WITH pp AS (
+  SELECT page_id, url, CASE WHEN page_id % 5 = 0 THEN upper(p) ELSE p END AS p
+  FROM (SELECT page_id, url, regexp_extract(url, '^[a-z]+://[^/]+/(.*)$', 1) AS p FROM pages)),
+entries AS (
+  SELECT page_id AS repo_id, p AS path, CASE WHEN page_id % 3 = 0 THEN 'tree' ELSE 'blob' END AS type, url FROM pp
+  UNION ALL SELECT page_id, p || '/index.html', 'blob', url || '/index.html' FROM pp
+  UNION ALL SELECT page_id, p || '/notes.html', 'tree', url || '/notes.html' FROM pp
+  UNION ALL SELECT page_id, 'setup.py', 'blob', url || '/setup.py' FROM pp)
 SELECT repo_id, lower(path) AS path, url FROM entries
 WHERE type = 'blob' AND regexp_matches(lower(path), '{TREE_PATTERN}')
 """
 
 
 def _tree_pages(spark, d):
+    """One landed tree response of four entries per page (no regrouping of pages)."""
     pages = _t(spark, d, "pages")
     path = F.regexp_extract("url", r"^[a-z]+://[^/]+/(.*)$", 1)
-    entry = F.struct(
-        F.when(F.col("page_id") % 5 == 0, F.upper(path)).otherwise(path).alias("path"),
-        F.when(F.col("page_id") % 3 == 0, F.lit("tree")).otherwise(F.lit("blob")).alias("type"),
-        F.col("url").alias("url"),
-    )
-    # One landed tree response per page (no regrouping of pages).
-    return pages.select(
-        (F.col("page_id") % 100).alias("repo_id"), F.lit("main").alias("branch"), F.array(entry).alias("tree")
-    )
+    path = F.when(F.col("page_id") % 5 == 0, F.upper(path)).otherwise(path)
+    kind = F.when(F.col("page_id") % 3 == 0, F.lit("tree")).otherwise(F.lit("blob"))
+
+    def entry(path, kind, url):
+        return F.struct(path.alias("path"), kind.alias("type"), url.alias("url"))
+
+    below = [("/index.html", "blob"), ("/notes.html", "tree")]
+    tree = [entry(path, kind, F.col("url"))]
+    tree += [entry(F.concat(path, F.lit(x)), F.lit(t), F.concat("url", F.lit(x))) for x, t in below]
+    tree.append(entry(F.lit("setup.py"), F.lit("blob"), F.concat("url", F.lit("/setup.py"))))
+    return pages.select(F.col("page_id").alias("repo_id"), F.lit("main").alias("branch"), F.array(*tree).alias("tree"))
 
 
 @register("tree_blobs", _TREE_SQL)
@@ -877,7 +883,7 @@ def _files_pattern_sql(limit: int | None = None) -> str:
         return _with(B.FILES_SQL) + body
     return _with(B.FILES_SQL) + f""",
 m AS ({body}),
-r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY path, page_id) AS rn FROM m)
+r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY path, page_id, repo_id) AS rn FROM m)
 SELECT repo_id, path, url, page_id, key FROM r WHERE rn <= {limit}"""
 
 
@@ -888,7 +894,7 @@ def q_files_by_pattern(spark, d):
 
 @register("files_first_per_pattern", _files_pattern_sql(20))
 def q_files_first_per_pattern(spark, d):
-    return files_by_pattern(B.files(spark, d), B.FILE_PATTERNS, limit=20, order_cols=["path", "page_id"])
+    return files_by_pattern(B.files(spark, d), B.FILE_PATTERNS, limit=20, order_cols=["path", "page_id", "repo_id"])
 
 
 # A4, A5, E8, J6 -------------------------------------------------------------
@@ -897,15 +903,18 @@ m AS (SELECT repo_id, path, url, page_id, '/en/' AS key FROM files WHERE regexp_
 blobs AS (SELECT 'doc:' || CAST(doc_id AS VARCHAR) AS url, text AS content FROM documents)
 SELECT m.repo_id, m.path, m.key, m.page_id, md5(b.content) AS content_md5,
        CAST(length(b.content) AS INTEGER) AS content_chars
-FROM (SELECT *, 'doc:' || CAST(page_id * 7 % 1300 AS VARCHAR) AS doc_url FROM m) m
+FROM (SELECT m.*, 'doc:' || CAST((repo_id * 3 + page_id) % ids AS VARCHAR) AS doc_url
+      FROM m, (SELECT count(*) + count(*) // 10 + 1 AS ids FROM documents)) m
 LEFT JOIN blobs b ON b.url = m.doc_url
 """
 
 
 @register("content_lookup", _CONTENT_LOOKUP_SQL)
 def q_content_lookup(spark, d):
+    # Files name all documents, and some that do not exist: a tenth more ids than documents.
+    ids = _t(spark, d, "documents").agg(F.expr("count(1) + count(1) div 10 + 1").alias("ids")).scalar()
     m = files_by_pattern(B.files(spark, d), ["/en/"]).withColumn(
-        "doc_url", F.concat(F.lit("doc:"), (F.col("page_id") * 7 % 1300).cast("string"))
+        "doc_url", F.concat(F.lit("doc:"), ((F.col("repo_id") * 3 + F.col("page_id")) % ids).cast("string"))
     )
     blobs = _t(spark, d, "documents").select(
         F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("url"), F.col("text").alias("content")
@@ -1022,7 +1031,10 @@ def q_partition_refresh(spark, d):
 
 
 # B11, F20 -------------------------------------------------------------------
-STAT_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+STAT_TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+]
 
 
 @register(
@@ -1030,11 +1042,8 @@ STAT_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "li
     "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in STAT_TABLES),
 )
 def q_table_stats(spark, d):
-    out = None
-    for t in STAT_TABLES:
-        part = RP.record_count(_t(spark, d, t)).select(F.lit(t).alias("table_name"), F.col("n_records").alias("row_count"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    # Bytes differ from engine to engine; tests check them.
+    return table_stats(spark, {t: f"{d}/{t}.parquet" for t in STAT_TABLES}).drop("total_bytes")
 
 
 # J2, J3, J7-J9, J11 ---------------------------------------------------------

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from repolens.functions.dates import ntz_lit
 from pyspark.sql import types as T
 
+from repolens.operators.reports import record_count
 from repolens.schemas import LANDING_PARTITIONS
 from repolens.session import path_exists, shared_scratch
 
@@ -152,7 +153,7 @@ def table_stats(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     frames = []
     for name, path in tables.items():
         df = spark.read.parquet(path)
-        rows = df.agg(F.count(F.lit(1)).alias("row_count"))
+        rows = record_count(df).withColumnRenamed("n_records", "row_count")
         size = (
             df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
             .distinct()

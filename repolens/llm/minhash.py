@@ -14,8 +14,8 @@ document alone retains make none either.
 A list of at most ``SMALL`` members is paired up. A longer one is worked off by pivots: in each
 round every list that still holds two or more components compares all members with some
 pivots, which leave the list; components that the links unite shrink the list's
-work to nothing where the members are near copies. No list is cut, no pair skipped
-that could join two components.
+work to nothing where the members are near copies. Pivots are compared in blocks, as postings of
+their whole sets. No list is cut, no pair skipped that could join two components.
 
 A pair goes on if the sketch of the union estimates a similarity near enough the limit, and
 links if the whole sets of shingles, built again from the texts, are similar enough.
@@ -31,14 +31,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repolens.llm.common import Stretches, connected_components, list_array, mix64, row_groups, text_parts, tidied
+from repolens.llm.common import Stretches, connected_components, list_array, mix64, row_groups, take_slices, text_parts, tidied
 from repolens.session import cut_lineage
 
 K = 48
 SHARED = 20 / 48
 SMALL = 8
-#: Members of a long list that a round compares with all others, after the first round.
-PIVOTS = 192
+#: Members of a long list that the first round, and each later one, compares with all others.
+FIRST, PIVOTS = 32, 1024
+#: Shingles of the pivots of one block, and members that a block is compared with in one task.
+BLOCK, SALTED = 4 << 20, 1024
 #: Standard deviations by which an estimate may fall short.
 SLACK = 5.0
 #: Bytes of shingles that a task keeps while it confirms links.
@@ -137,6 +139,13 @@ def _shared_of_union(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (again & inside).sum(1), (~again & inside).sum(1)
 
 
+def _likely(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Rows whose union's sketch estimates a similarity near enough the limit."""
+    shared, size = _shared_of_union(x, y)
+    limit = percent / 100
+    return shared >= (limit - SLACK * np.sqrt(limit * (1 - limit) / np.maximum(size, 1))) * size
+
+
 def _matrix(sketches: pa.Array) -> np.ndarray:
     """One row of K unsigned hashes per sketch, filled up with FILL."""
     size = np.diff(sketches.offsets.to_numpy())
@@ -149,17 +158,137 @@ def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that the sketch of the union does not rule out."""
     a, b = (reps.select(F.col("id").alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
-    limit = percent / 100
 
     def likely(batches):
         for batch in batches:
-            shared, size = _shared_of_union(_matrix(batch.column(2)), _matrix(batch.column(3)))
-            low = limit - SLACK * np.sqrt(limit * (1 - limit) / np.maximum(size, 1))
-            yield batch.select(["a", "b"]).filter(pa.array(shared >= low * size))
+            yield batch.select(["a", "b"]).filter(pa.array(_likely(_matrix(batch.column(2)), _matrix(batch.column(3)), percent)))
 
     return both.mapInArrow(likely, "a long, b long")
 
 
+class _Pivots:
+    """The pivots of one room: whole sets as postings, sketches, and which pivots are known to hang together."""
+
+    def __init__(self, words: int, percent: int):
+        self.words, self.percent = words, percent
+        self.parts: list[tuple] = []
+
+    def add(self, ids: np.ndarray, components: np.ndarray, texts: pa.Array) -> None:
+        for i, j in row_groups(text_parts(texts)[1], 2 << 20):
+            h, at = shingles(*text_parts(texts.slice(i, j - i)), self.words)
+            self.parts.append((ids[i:j], components[i:j], h, np.diff(at)))
+
+    def close(self) -> None:
+        ids, components, h, sizes = (np.concatenate(x) for x in zip(*self.parts))
+        self.parts, self.ids, self.components, self.sizes = [], ids, components, sizes
+        self.sketches = _bottom(h, np.concatenate([[0], np.cumsum(sizes)]))
+        order = np.argsort(h, kind="stable")
+        self.hashes, self.owners = h[order], np.repeat(np.arange(len(ids)), sizes)[order]
+        self.root = list(range(len(ids)))
+
+    def top(self, p: int) -> int:
+        while self.root[p] != p:
+            self.root[p] = p = self.root[self.root[p]]
+        return p
+
+    def links(self, ids: np.ndarray, components: np.ndarray, h: np.ndarray, at: np.ndarray):
+        """Pairs of ids that hang together: each member and a pivot that it links to, and the pivots that
+        it joins unless an earlier member did."""
+        sizes = np.diff(at)
+        small, large = np.minimum(sizes[:, None], self.sizes[None]), np.maximum(sizes[:, None], self.sizes[None])
+        open_ = (small * 100 >= large * self.percent) & (small > 0)
+        open_ &= (ids[:, None] != self.ids[None]) & (components[:, None] != self.components[None])
+        m, p = np.nonzero(open_)
+        sketch = _bottom(h, at)
+        likely = [_likely(sketch[m[x : x + 8192]], self.sketches[p[x : x + 8192]], self.percent) for x in range(0, len(m), 8192)]
+        if not likely:
+            return
+        likely = np.concatenate(likely)
+        m, p = m[likely], p[likely]
+        first = np.searchsorted(self.hashes, h, "left")
+        shared = np.searchsorted(self.hashes, h, "right") - first
+        upto = np.concatenate([[0], np.cumsum(shared)])[at]
+        for i, j in row_groups(upto, 4 << 20):
+            x, y = np.searchsorted(m, [i, j])
+            if x == y:
+                continue
+            some, pivot = m[x:y], p[x:y]
+            owner = take_slices(self.owners, first[at[i] : at[j]], shared[at[i] : at[j]])
+            member = np.repeat(np.arange(j - i), np.diff(upto)[i:j])
+            both = np.bincount(member * len(self.ids) + owner, minlength=(j - i) * len(self.ids))[(some - i) * len(self.ids) + pivot]
+            near = 100 * both >= self.percent * (sizes[some] + self.sizes[pivot] - both)
+            last = -1
+            for one, q in zip(some[near].tolist(), pivot[near].tolist()):
+                if one != last:
+                    last, head = one, q
+                    yield int(ids[one]), int(self.ids[q])
+                elif self.top(head) != self.top(q):
+                    self.root[self.top(q)] = self.top(head)
+                    yield int(self.ids[head]), int(self.ids[q])
+
+
+def _bottom(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One row of the K smallest hashes of each ascending set, filled up with FILL."""
+    kept = np.minimum(np.diff(at), K)
+    out = np.full((len(kept), K), FILL)
+    out[np.arange(K)[None] < kept[:, None]] = take_slices(h, at[:-1], kept)
+    return out
+
+
+def _compared(labelled: DataFrame, chosen: DataFrame, round_: int, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) that hang together, from comparing all members of each list with its pivots.
+
+    Lists of near copies have nearly the same pivots. So each pivot is in one block, named by the first
+    pivot of any of its lists, and a member goes once to each block with pivots of its lists: no pair
+    travels, and a text once a block instead of once a pair. A block has rooms of about ``PIVOTS``
+    pivots, or ``BLOCK`` shingles; a room is salted by its number of members."""
+    lead = F.xxhash64(F.col("pivots")[0]["id"], F.lit(round_))
+    each = chosen.select("value", lead.alias("home"), F.explode("pivots").alias("p")).select("value", "home", "p.*")
+    at_home = cut_lineage(
+        each.groupBy("id").agg(F.min("home").alias("home"), F.max("n").alias("n"), F.max("component").alias("component"), F.collect_set("value").alias("values")),
+        "block-pivots",
+    )
+    room = at_home.groupBy("home").agg(F.greatest(F.ceil(F.sum("n") / F.lit(BLOCK)), F.ceil(F.count(F.lit(1)) / F.lit(PIVOTS)), F.lit(1)).alias("rooms"))
+    pivots = at_home.join(room, "home").select("home", F.pmod(F.xxhash64("id"), "rooms").alias("room"), "id", "component", "values")
+    asked = pivots.select(F.explode("values").alias("value"), "home", "room").distinct()
+    members = cut_lineage(labelled.select("value", "id", "component").join(asked, "value").select("home", "room", "id", "component").distinct(), "block-members")
+    salts = members.groupBy("home", "room").agg(F.ceil(F.count(F.lit(1)) / F.lit(SALTED)).alias("salts"))
+    salted = members.join(salts, ["home", "room"]).select("home", "room", F.pmod(F.xxhash64("id", F.lit("salt")), "salts").alias("salt"), F.lit(1).alias("kind"), "id", "component")
+    copied = pivots.join(salts, ["home", "room"]).select(
+        "home", "room", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), "id", "component"
+    )
+    rows = salted.union(copied.select(*salted.columns)).join(texts, "id").select("home", "room", "salt", "kind", "id", "component", "text")
+    blocks = rows.repartition("home", "room", "salt").sortWithinPartitions("home", "room", "salt", "kind")
+
+    def compared(batches):
+        block, pivots_ = None, None
+        for batch in batches:
+            home, room_, salt, kind, ids, components = (batch.column(c).to_numpy() for c in range(6))
+            change = (np.diff(home) != 0) | (np.diff(room_) != 0) | (np.diff(salt) != 0) | (np.diff(kind) != 0)
+            edges = np.concatenate([[0], np.flatnonzero(change) + 1, [len(home)]])
+            found = []
+            for x, y in zip(edges[:-1], edges[1:]):
+                if x == y:
+                    continue
+                here, text = (home[x], room_[x], salt[x]), batch.column(6).slice(x, y - x)
+                if kind[x] == 0:
+                    if here != block:
+                        block, pivots_ = here, _Pivots(words, percent)
+                    pivots_.add(ids[x:y], components[x:y], text)
+                    continue
+                if pivots_.parts:
+                    pivots_.close()
+                for i, j in row_groups(text_parts(text)[1], 1 << 20):
+                    for k in range(i, j, 512):  # very short texts
+                        last = min(j, k + 512)
+                        h, at = shingles(*text_parts(text.slice(k, last - k)), words)
+                        found += pivots_.links(ids[x + k : x + last], components[x + k : x + last], h, at)
+            a, b = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return blocks.mapInArrow(tidied(compared), "a long, b long")
+
+
 class _Sets:
     """The shingles of texts; those of the last ones are kept, up to ``KEPT`` bytes: pairs that were
     joined on one side bring the same texts again and again."""
@@ -236,24 +365,26 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     links = cut_lineage(_verified(_estimated(pairs, reps, percent), texts, words, percent), "links")
 
     found = connected_components(links, "linked")
-    long = lists.filter(F.col("holders") > SMALL).select("value", "id", "n")
+    # A document with its long lists, at most K, is one row where it gets its component.
+    long = lists.filter(F.col("holders") > SMALL).groupBy("id", "n").agg(F.collect_set("value").alias("values"))
     for round_ in count():
-        labelled = long.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        labelled = long.join(found, "id", "left").select("id", "n", F.coalesce("component", "id").alias("component"), F.explode("values").alias("value"))
         sizes = labelled.groupBy("value", "component").agg(F.count(F.lit(1)).alias("size"))
-        open_ = sizes.groupBy("value").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("size", "component")).alias("main")).filter("parts > 1")
-        labelled = cut_lineage(labelled.join(open_.select("value", "main"), "value"), "open-lists")
+        heads_ = F.sum("size") if round_ == 0 else F.sum("size") - F.max("size")
+        open_ = sizes.groupBy("value").agg(
+            F.count(F.lit(1)).alias("parts"), heads_.alias("heads"), F.max_by("component", F.struct("size", "component")).alias("main")
+        )
+        labelled = cut_lineage(labelled.join(open_.filter("parts > 1").select("value", "main", "heads"), "value"), "open-lists")
         if labelled.isEmpty():
             break
         # At first a few pivots, the same in all lists of the same members; then those that are
         # not in the list's largest component: once they are gone, the list is done.
         heads = labelled if round_ == 0 else labelled.filter("component != main")
-        chosen = cut_lineage(_first_members(heads, round_, 4 if round_ == 0 else PIVOTS), "pivots")
-        asked = labelled.join(chosen, "value").select("id", "n", "component", F.explode("pivots").alias("p"))
-        asked = asked.filter("component != p.component").filter(_near("n", "p.n", percent))
-        pairs = asked.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
-        new = cut_lineage(_verified(_estimated(pairs, reps, percent), texts, words, percent), "links")
+        chosen = cut_lineage(_first_members(heads, round_, FIRST if round_ == 0 else PIVOTS), "pivots")
+        new = cut_lineage(_compared(labelled, chosen, round_, texts, words, percent), "links")
         done = chosen.select("value", F.explode("pivots").alias("p")).select("value", F.col("p.id").alias("id"))
-        long = cut_lineage(labelled.select("value", "id", "n").join(done, ["value", "id"], "left_anti"), "long-lists")
+        left = labelled.select("value", "id", "n").join(done, ["value", "id"], "left_anti")
+        long = cut_lineage(left.groupBy("id", "n").agg(F.collect_set("value").alias("values")), "long-lists")
         if not new.isEmpty():
             found = _merged(found, new)
     joined = members.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
@@ -264,8 +395,10 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
 
 def _first_members(labelled: DataFrame, round_: int, n: int) -> DataFrame:
     """(value, pivots): the first n members of each list in the order of the round's hash. Each of
-    4n parts of a list gives its first member, so no list is sorted as a whole."""
+    4n parts of a list gives its first member, so no list is sorted as a whole; a list of at most n
+    members (``heads``) gives them all."""
     order = F.struct(F.xxhash64("id", F.lit(round_)).alias("h"), F.col("id"))
-    part = F.pmod(F.xxhash64("id", F.lit(round_), F.lit("part")), F.lit(4 * n))
+    apart = F.xxhash64("id", F.lit(round_), F.lit("part"))
+    part = F.when(F.col("heads") <= n, apart).otherwise(F.pmod(apart, F.lit(4 * n)))
     heads = labelled.groupBy("value", part.alias("part")).agg(F.min(F.struct(order.alias("o"), F.struct("id", "n", "component").alias("m"))).alias("head"))
     return heads.groupBy("value").agg(F.slice(F.sort_array(F.collect_list("head")), 1, n).alias("heads")).select("value", F.col("heads.m").alias("pivots"))

@@ -100,7 +100,11 @@ def _components(texts, k=4):
     return [root(i) for i in range(len(texts))], [len(s) for s in sets]
 
 
-def test_minhash_links_families_chains_and_passages(spark):
+@pytest.mark.parametrize("few", [False, True])
+def test_minhash_links_families_chains_and_passages(spark, monkeypatch, few):
+    if few:  # several rounds of pivots, rooms and salts
+        for name, value in {"FIRST": 2, "PIVOTS": 3, "BLOCK": 400, "SALTED": 4}.items():
+            monkeypatch.setattr(minhash, name, value)
     rng = random.Random(5)
     words = [f"w{i}" for i in range(2000)]
     base, passage = [rng.choice(words) for _ in range(150)], " ".join(rng.choice(words) for _ in range(60))

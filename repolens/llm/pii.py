@@ -11,8 +11,9 @@ mail goes to example.com.
 
 Collision checks keep different entities different: canonical forms whose surrogates meet, or that would
 get a form which itself occurs in the corpus, are drawn again, all but the smallest of
-each meeting, until none is left. After ``STRICT`` rounds a format may widen (a narrow
-one may have fewer values than the corpus has entities).
+each meeting, until none is left. After ``STRICT`` rounds a format widens (a narrow
+one may have fewer values than the corpus has entities): octets take any width, all else
+gets more characters, in each round two more.
 
 DataFrame functions only. The entities of a document are few; entities, not documents, are shuffled by
 their canonical form, distinct ones first; the join of a frequent entity with its one
@@ -152,11 +153,21 @@ def drawn(df: DataFrame, key: str) -> DataFrame:
     name = F.when(rest.rlike("[ -]"), F.concat_ws(" ", name, last)).otherwise(F.when(F.col("attempt") < 2, name).otherwise(F.concat(name, F.lower(last))))
     body = F.when(F.col("kind") == "ip", ip).when(F.col("kind") == "card", card).when(F.col("kind") == "name", name)
     body = body.when(F.col("kind").isin("email", "secret"), F.array_join("plain", "")).otherwise(number)
+    # Drawn characters behind the format, of no bounded number: no format runs out.
+    more = F.substring(F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("more"), F.col("kind"), F.col("canon"), F.col("attempt").cast("string")).cast("binary"), 256), F.lit(1), (F.col("attempt") - STRICT + 1) * 2)
+    digits, letters = F.translate(more, "abcdef", "012345"), F.translate(more, "0123456789", "ghijklmnop")
+    long_card = F.concat(F.array_join(front, ""), digits)
+    long_luhn = _luhn(F.filter(F.split(long_card, ""), lambda x: x != ""))
+    long_check = F.when(valid, long_luhn).otherwise((long_luhn + 1 + F.get("r", F.lit(0)) % 9) % 10)
+    wider = F.when(F.col("kind") == "ip", body).when(F.col("kind") == "card", F.concat(long_card, long_check.cast("string")))
+    wider = wider.when(F.col("kind") == "name", F.concat(body, letters)).when(F.col("kind").isin("email", "secret"), F.concat(body, more))
+    body = F.when(wide, wider.otherwise(F.concat(body, digits))).otherwise(body)
     return df.withColumn("body", body).drop("chars", "r", "plain")
 
 
 def dressed(surface: Column, k: Column, body: Column) -> Column:
-    """The surrogate's letters and digits in the format of a surface form."""
+    """The surrogate's letters and digits in the format of a surface form. What a widened one has more
+    stands behind the format, or behind the local part of an address."""
     start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
 
     def put(s: Column, c: Column) -> Column:
@@ -165,11 +176,14 @@ def dressed(surface: Column, k: Column, body: Column) -> Column:
         own = c.rlike(r"^[\p{L}\p{N}]$")
         return F.struct((s["at"] + own.cast("int")).alias("at"), F.concat(s["out"], F.when(own, cased).otherwise(c)).alias("out"))
 
-    folded = F.aggregate(F.filter(F.split(surface, ""), lambda x: x != ""), start, put)["out"]
+    put_in = F.aggregate(F.filter(F.split(surface, ""), lambda x: x != ""), start, put)
+    folded, more = put_in["out"], F.substring(body, put_in["at"], F.length(body))
+    more = F.when(surface == F.upper(surface), F.upper(more)).otherwise(more)
     home = F.when(surface == F.upper(surface), "EXAMPLE.COM").otherwise("example.com")
-    mail = F.concat(F.regexp_replace(folded, r"(?<=[.@])[^.@]+\.[^.@]+$", ""), home)
+    mail = F.regexp_replace(folded, r"(?<=[.@])[^.@]+\.[^.@]+$", "")
+    mail = F.concat(F.substring_index(mail, "@", 1), more, F.lit("@"), F.substring_index(mail, "@", -1), home)
     title = F.regexp_extract(surface, r"^(\S+ )", 1)
-    return F.when(k == "email", mail).when(k == "ip", body).when(k == "name", F.concat(title, body)).otherwise(folded)
+    return F.when(k == "email", mail).when(k == "ip", body).when(k == "name", F.concat(title, body)).otherwise(F.concat(folded, more))
 
 
 def surrogates(found: DataFrame, key: str = KEY) -> DataFrame:

@@ -237,6 +237,17 @@ def test_surrogates_are_consistent_and_keep_their_format(spark):
     assert len({r["surrogate"] for r in pairs}) == len(pairs) == names.count()
 
 
+def test_surrogates_of_formats_with_few_values(spark):
+    mails = [f"{chr(97 + i % 26)}@host{i}.com" for i in range(1000)]
+    phones = [f"+1 {i // 100 + 10} {i % 100:02d}" for i in range(100, 8000, 2)]
+    found = spark.createDataFrame([(e,) for e in mails + [m.upper() for m in mails[:50]] + phones], "entity string")
+    got = {r["entity"]: r["surrogate"] for r in pii.surrogates(found).collect()}
+    assert len(got) == 1000 + 50 + len(phones)
+    assert len({got[m] for m in mails}) == 1000 and len({got[p] for p in phones}) == len(phones)
+    assert all(re.fullmatch(r"[a-z][0-9a-f]*@example\.com", got[m]) for m in mails) and not set(got.values()) & set(got)
+    assert all(got[m.upper()] == got[m].upper() for m in mails[:50])
+
+
 def test_pipeline_on_a_small_table(spark, docs):
     table = docs.drop("ids")
     for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -2,7 +2,7 @@
 
 A document's set is that of its distinct shingles of ``words`` consecutive words; its sketch
 the ``K`` smallest hashes of the set under one hash function. Documents of equal sets
-are one class, compared once.
+are one class, compared once, under an id of its own.
 
 Candidates come from inverted lists of the retained values. Two sets of similarity 0.8 share
 about 0.8 K retained values, fewer than ``K * SHARED`` with a probability below 1e-7. So it is
@@ -87,26 +87,31 @@ def shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndar
 
 
 def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, k: int = K) -> DataFrame:
-    """(id, n_shingles, whole, sketch): whole is a digest of the full set, null for an empty set;
-    sketch its k smallest hashes, ascending as unsigned numbers."""
+    """(id, h, g, n_shingles, whole, sketch): h and g are hashes of the text; whole is a digest of the full
+    set, null for an empty set; sketch its k smallest hashes, ascending as unsigned numbers."""
 
     def sketched(batches):
         for batch in batches:
-            _, bounds = text_parts(batch.column(1))
+            _, bounds = text_parts(batch.column(3))
             for i, j in row_groups(bounds, 1 << 20):
                 b = batch.slice(i, j - i)
-                h, at = shingles(*text_parts(b.column(1)), words)
+                h, at = shingles(*text_parts(b.column(3)), words)
                 size = np.diff(at)
                 raw = memoryview(h.tobytes())
                 whole = [hashlib.blake2b(raw[8 * x : 8 * y], digest_size=16).digest() if y > x else None for x, y in zip(at[:-1], at[1:])]
                 place = np.arange(len(h)) - np.repeat(at[:-1], size)
                 kept = np.minimum(size, k)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(size), pa.array(whole, pa.binary()), list_array(h[place < k].view(np.int64), np.concatenate([[0], np.cumsum(kept)]), pa.int64())],
-                    names=["id", "n_shingles", "whole", "sketch"],
+                    [*b.columns[:3], pa.array(size), pa.array(whole, pa.binary()), list_array(h[place < k].view(np.int64), np.concatenate([[0], np.cumsum(kept)]), pa.int64())],
+                    names=["id", "h", "g", "n_shingles", "whole", "sketch"],
                 )
 
-    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), text).mapInArrow(tidied(sketched), "id long, n_shingles long, whole binary, sketch array<long>")
+    return docs.select(*_named(key, text), text).mapInArrow(tidied(sketched), "id long, h long, g int, n_shingles long, whole binary, sketch array<long>")
+
+
+def _named(key: str, text: str) -> list[Column]:
+    """id, h, g: the id of a row, and hashes that tell texts of one id apart."""
+    return [F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("h"), F.hash(text).alias("g")]
 
 
 def _lists(reps: DataFrame, name: str) -> DataFrame:
@@ -343,19 +348,36 @@ def _merged(found: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """(id, n_shingles, component_id) of every row of ``docs``: component_id is the smallest id
-    that links of at least ``percent`` similarity reach. Rows without words are alone.
-    Rows with one id are one document if their sets are equal, else the id is linked through
-    each. A null id counts as the largest integer."""
-    rows = cut_lineage(sketches(docs, key, text, words), "sketches")
-    classes = rows.filter("whole is not null").groupBy("whole").agg(F.min("id").alias("rep"))
-    members = cut_lineage(rows.select("id", "n_shingles", "whole").join(classes, "whole", "left"), "classes")
-    reps = rows.join(classes, (rows["whole"] == classes["whole"]) & (rows["id"] == classes["rep"]), "left_semi")
-    reps = cut_lineage(reps.select("id", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["id", "sketch"]), "classes-sketches")
+    """(id, n_shingles, component_id, kept) of every row of ``docs``: component_id is the smallest id
+    that links of at least ``percent`` similarity reach. Each row is a document of its own, whatever
+    its id; a null id counts as the largest integer. One row of each component is kept, of
+    those with its smallest id one. Rows without words are alone, and kept."""
+    return _linked(docs, key, text, words, percent).select("id", "n_shingles", "component_id", "kept")
+
+
+def kept(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that ``link`` keeps. Of rows of one id and text any is kept."""
+    all_ = docs.select(F.struct("*").alias("row"), *_named(key, text), F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("words"))
+    first = _linked(docs, key, text, words, percent).filter("kept and n_shingles > 0").select("id", "h", "g")
+    one = all_.filter("words").join(first, ["id", "h", "g"], "left_semi").dropDuplicates(["id", "h", "g"])
+    return one.select("row.*").union(all_.filter("not words").select("row.*"))
+
+
+def _linked(docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
+    """``link`` with the texts' hashes h and g."""
+    rows = cut_lineage(sketches(docs, key, text, words).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    # Classes of equal sets have ids of their own: ids of rows may repeat or be null.
+    classes = rows.filter("whole is not null").groupBy("whole").agg(
+        F.min(F.struct("id", "h", "g", "row")).alias("low"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
+    )
+    classes = cut_lineage(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
+    reps = classes.select(F.col("class").alias("id"), "n", "sketch")
     lists = _lists(reps, "lists")
     involved = lists.select("id").distinct()
-    whole = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
-    texts = cut_lineage(whole.join(involved, "id", "left_semi"), "listed-texts")
+    low = classes.join(involved, classes["class"] == involved["id"], "left_semi").select("class", "low.id", "low.h", "low.g")
+    listed = docs.select(*_named(key, text), F.col(text).alias("text")).join(low, ["id", "h", "g"])
+    # One row a class, also where rows of one id have one text.
+    texts = cut_lineage(listed.groupBy(F.col("class").alias("id")).agg(F.first("text").alias("text")), "listed-texts")
 
     small = lists.filter(F.col("holders") <= SMALL).groupBy("value").agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("m"))
     paired = small.filter("size(m) >= 2").select(
@@ -387,10 +409,12 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
         long = cut_lineage(left.groupBy("id", "n").agg(F.collect_set("value").alias("values")), "long-lists")
         if not new.isEmpty():
             found = _merged(found, new)
-    joined = members.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    # A class of equal sets is one component with its representative.
-    same = joined.withColumn("component_id", F.coalesce("component", "rep", "id"))
-    return same.select("id", "n_shingles", "component_id")
+    parts = classes.select("class", "whole", "low").join(found.select(F.col("id").alias("class"), "component"), "class", "left")
+    parts = parts.select("whole", "low", F.coalesce("component", "class").alias("component"))
+    first = parts.groupBy("component").agg(F.min("low").alias("first"))
+    named = parts.join(first, "component").select("whole", F.col("first.id").alias("component_id"), F.col("first.row").alias("first"))
+    out = rows.drop("sketch").join(named, "whole", "left")
+    return out.select("id", "h", "g", "n_shingles", F.coalesce("component_id", "id").alias("component_id"), F.coalesce(F.col("first") == F.col("row"), F.lit(True)).alias("kept"))
 
 
 def _first_members(labelled: DataFrame, round_: int, n: int) -> DataFrame:

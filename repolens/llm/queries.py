@@ -94,7 +94,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = minhash.link(_table(spark, sf_dir, "documents").select("doc_id", "text"), words=4, percent=80)
-    return linked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    return linked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

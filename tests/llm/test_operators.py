@@ -123,6 +123,26 @@ def test_minhash_links_families_chains_and_passages(spark, monkeypatch, few):
     assert minhash.link(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_rows_of_null_and_repeated_ids_are_documents_of_their_own(spark):
+    rng = random.Random(8)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    bases = [text(rng.choice([8, 30, 200])) for _ in range(20)]
+    near = [" ".join(b.split()[:-1] + ["other"]) for b in bases[:10] if len(b.split()) > 29]
+    texts = bases + near + bases[:5] + ["", " ", None]
+    ids = [None if i % 3 == 0 else i % 4 for i in range(len(texts))]
+    order = sorted(range(len(texts)), key=lambda i: (ids[i] is None, ids[i] or 0, i))
+    texts, ids = [texts[i] for i in order], [ids[i] for i in order]
+    component, size = _components(texts, 5)
+    table = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    id_ = lambda i: minhash.NO_ID if ids[i] is None else ids[i]
+    got = minhash.link(table).collect()
+    assert sorted((r["id"], r["n_shingles"], r["component_id"]) for r in got) == sorted((id_(i), size[i], id_(component[i])) for i in range(len(texts)))
+    assert sum(r["kept"] for r in got) == len(set(component)) < len(texts)
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, table, None).collect()]
+    groups = {frozenset(texts[j] for j in range(len(texts)) if component[j] == c): ids[c] for c in set(component) if size[c]}
+    assert len(left) == len(set(component)) and all(sum(t in g and i == first for i, t in left) == 1 for g, first in groups.items())
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(30)] + [(200, 100 + i) for i in range(20)]
     got = {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -110,7 +110,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_scratch(spark, "simple8b")
-    simple8b.write_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), path)
+    simple8b.write_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), path, added=True)
     return simple8b.index(spark, path)
 
 

@@ -22,7 +22,10 @@ the writer bounds a shard by the number of ranges of the key.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
+import re
 import zlib
 
 import numpy as np
@@ -223,40 +226,72 @@ def index(spark, path: str) -> DataFrame:
 _TOKENIZER: dict = {}
 
 
-def _word_ids(path: str, content: str):
+def _word_ids(path: str, content: str, added: bool):
     """Ids of single words by the tokenizers library, and what is known already;
     kept for the life of a Python worker."""
-    if path not in _TOKENIZER:
+    if (path, added) not in _TOKENIZER:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(content)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _TOKENIZER[path] = tokenizer, {}
-    return _TOKENIZER[path]
+        tokenizer.encode_special_tokens = not added  # their strings in a text are ordinary text
+        _TOKENIZER[path, added] = tokenizer, {}
+    return _TOKENIZER[path, added]
 
 
-def tokenise(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids", end_id: int | None = 0) -> DataFrame:
+def _added(content: str) -> list[bytes]:
+    """The strings of a tokenizer's added tokens, longest first."""
+    tokens = json.loads(content)["added_tokens"]
+    if any(t[flag] for t in tokens for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that take other text with them")
+    return sorted((t["content"].encode() for t in tokens), key=len, reverse=True)
+
+
+def _words(data: np.ndarray, offsets: np.ndarray, whole: bytes, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of each word: an added token, leftmost and longest first, or a pre-token of the text between."""
+    if not any(t in whole for t in tokens):
+        return P.pre_tokens(data, offsets, P.classes())
+    either = re.compile(b"|".join(map(re.escape, tokens)))
+    found = [m for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist()) for m in either.finditer(whole, x, y)]
+    if not found:  # a string over the edge of two texts
+        return P.pre_tokens(data, offsets, P.classes())
+    first, last = (np.array(x) for x in zip(*(m.span() for m in found)))
+    start, hashes = P.pre_tokens(data, np.unique(np.concatenate([offsets, first, last])), P.classes())
+    at = np.searchsorted(first, start, "right") - 1
+    own = (at >= 0) & (start < last[at])
+    head = own & (start == first[at])
+    hashes[head] = np.array([_hash_of(m[0]) for m in found], np.uint64)[at[head]]
+    return start[head | ~own], hashes[head | ~own]
+
+
+def _hash_of(token: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(token, digest_size=8).digest(), "little")
+
+
+def tokenise(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids", end_id: int | None = 0, added: bool = False) -> DataFrame:
     """``df`` without ``text``, with the ids that the tokenizers library gives each whole
-    text without special tokens, and ``end_id`` after them. The library encodes
-    each distinct word of a batch once. Null: an empty text."""
+    text without special tokens around it, and ``end_id`` after them. The library encodes
+    each distinct word of a batch once. The string of an added token in a text is that token
+    if ``added`` (the library's default), else ordinary text. Null: an empty text."""
     with open(tokenizer_path, encoding="utf-8") as f:
-        shared = df.sparkSession.sparkContext.broadcast(f.read())
+        content = f.read()
+    tokens = _added(content) if added else []
+    shared = df.sparkSession.sparkContext.broadcast(content)
     at = df.columns.index(text)
     others = [i for i, c in enumerate(df.columns) if c not in (text, ids)]
     schema = T.StructType([*(df.schema.fields[i] for i in others), T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def encoded(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer, known = _word_ids(tokenizer_path, shared.value)
+        tokenizer, known = _word_ids(tokenizer_path, shared.value, added)
         for batch in batches:
             _, bounds = text_parts(batch.column(at))
             for i, j in row_groups(bounds, 8 << 20):
                 b = batch.slice(i, j - i)
                 data, offsets = text_parts(b.column(at))
-                start, hashes = P.pre_tokens(data, offsets, P.classes())
+                whole = data.tobytes()
+                start, hashes = _words(data, offsets, whole, tokens)
                 end = np.append(start[1:], len(data))
                 _, first, place = P.distinct(hashes)
-                whole = data.tobytes()
                 words = [whole[x:y].decode() for x, y in zip(start[first].tolist(), end[first].tolist())]
                 fresh = [w for w in words if w not in known]
                 if len(known) + len(fresh) > KNOWN_WORDS:
@@ -290,10 +325,10 @@ def tokenise(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str =
     return df.mapInArrow(tidied(encoded), schema)
 
 
-def write_documents(docs: DataFrame, tokenizer_path: str, path: str, key: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES) -> None:
+def write_documents(docs: DataFrame, tokenizer_path: str, path: str, key: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES, added: bool = False) -> None:
     """Tokenise whole texts and write their ids as shards in ascending order of ``key``.
     Spark deals the texts into ranges of the key; each range is sorted, tokenised and
     written by one task. Rows of one key are sorted by a hash of the text; null keys come first."""
     n = max(1, -(-text_bytes(docs, text) // shard_bytes))
     dealt = docs.select(F.col(key).cast("long").alias(key), text).repartitionByRange(n, key).sortWithinPartitions(key, F.xxhash64(text))
-    write(tokenise(dealt, tokenizer_path, text), path, key=key)
+    write(tokenise(dealt, tokenizer_path, text, added=added), path, key=key)

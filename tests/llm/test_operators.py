@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from repolens.llm import bpe, langid, lines, minhash, mixing, pii, pq, pretokens, simple8b, warc, winnow
+from repolens.llm import bpe, langid, lines, minhash, mixing, pii, pq, pretokens, queries, simple8b, warc, winnow
 from repolens.llm.common import connected_components
 
 RANKS = PT.path("byte_bpe_50k.tiktoken")
@@ -52,6 +52,21 @@ def test_simple8b_files_hold_the_library_ids(spark, docs, tmp_path):
     assert {r["doc_id"]: len(r["ids"]) for r in simple8b.read(spark, path).collect()} == {i: n for i, (_, n, _) in want.items()}
 
 
+def test_simple8b_query_gives_the_ids_of_the_untouched_library(spark, docs, tmp_path):
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [*TEXTS, f"a {end} b", end, end * 2, f"x{end} don't{end}", "<|endof", "text|>", f"é{end}日本 {end[:-1]}", "last <|endoftext"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    t, want, start = Tokenizer.from_file(PT.path("byte_bpe_50k.json")), {}, 0
+    for i, text in enumerate(texts):
+        ids = t.encode(text or "", add_special_tokens=False).ids + [0]
+        want[i] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    got = queries.op10_simple8b(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in got} == want
+
+
 def test_next_row_and_likeness(docs):
     rows = docs.filter("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     for n in (2, 5):

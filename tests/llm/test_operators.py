@@ -295,3 +295,22 @@ def test_pipeline_on_a_small_table(spark, docs):
             assert table.filter("doc_id in (5, 8)").count() == 2  # their lines differ by now
     last = corpus_pipeline.STAGES[-1][1](spark, table, None)
     assert last.count() == table.count()
+
+
+def test_pipeline_language_rejects_what_the_network_does_not_know(spark):
+    clean = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(1)
+    noise = ["".join(rng.choice("0123456789abcdef") for _ in range(400)), "if (x==0) { return y[i]; } " * 20, "საქართველო არის ქვეყანა " * 10]
+    rows = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(noise)], "doc_id long, text string")
+    both = clean.unionByName(rows.withColumn("doc_id", F.col("doc_id").cast(clean.schema["doc_id"].dataType)), allowMissingColumns=True)
+    left = [r["doc_id"] for r in corpus_pipeline.language(spark, both, None).select("doc_id").collect()]
+    assert not [i for i in left if i >= 10**6]
+    assert len(left) >= 0.995 * clean.count()
+
+
+def test_pipeline_run_without_labels_against_plain_python(spark, tmp_path):
+    enc = tiktoken.Encoding("own", pat_str=PT.PATTERN, mergeable_ranks=pretokens.read_ranks(RANKS), special_tokens={})
+    texts = ["one clean text", "another of them", "日本語", "", None, "12 !?", "one  Clean text"]
+    spark.createDataFrame([(i, t, None, "s", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == {i: len(enc.encode_ordinary(texts[i])) for i in (0, 1, 2)} and len(got) == 3

@@ -1,12 +1,12 @@
 """Surrogates for personal data: keyed, type-consistent and collision-checked.
 
-Entities (mail addresses, phone, card, account and social security numbers, IPv4 addresses, secrets,
+Entities (mail addresses, phone, card, account and social security numbers, IP addresses, secrets,
 names behind a form of address) are found by one pattern. Equal entities, in whatever
 case or punctuation, share one canonical form, and so one surrogate wherever they occur.
 A surrogate is drawn from a keyed digest of the canonical form and keeps type and
 format: digits stay digits, letters letters of their script and case, punctuation
-stays; a card number is valid by its check digit if the original was; an address
-keeps the widths of its octets; a name keeps gender (by the form of address) and script;
+stays; a card number is valid by its check digit if the original was; an IPv4 address
+keeps the widths of its octets, an IPv6 address becomes one of 2001:db8::/32; a name keeps gender (by the form of address) and script;
 mail goes to example.com.
 
 Collision checks keep different entities different: canonical forms whose surrogates meet, or that would
@@ -34,9 +34,9 @@ STRICT = 8
 ROUNDS = 40
 
 # Forms of address by gender, and names by gender and script.
-MALE = ["Mr", "Sir", "Herr", "Señor", "Sr", "Monsieur", "M", "г-н", "господин", "κύριος", "κ"]
-FEMALE = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Señora", "Señorita", "Sra", "Madame", "Mme", "Mlle", "г-жа", "госпожа", "κυρία", "κα"]
-NEUTRAL = ["Dr", "Prof", "Mx"]
+MALE = ["Mr", "Sir", "Herr", "Señor", "Sr", "Monsieur", "M", "г-н", "господин", "κύριος", "κ", "السيد", "מר"]
+FEMALE = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Señora", "Señorita", "Sra", "Madame", "Mme", "Mlle", "г-жа", "госпожа", "κυρία", "κα", "السيدة", "الآنسة", "גברת"]
+NEUTRAL = ["Dr", "Prof", "Mx", "الدكتور", "الدكتورة"]
 FIRST = {
     ("latin", "male"): "Adam Alan Bruno Carl Daniel Emil Felix Georg Henry Ivan Jonas Karl Leon Martin Nils Oscar Paul Robert Simon Thomas".split(),
     ("latin", "female"): "Alice Anna Berta Clara Diana Emma Frida Greta Helen Irene Julia Karla Laura Maria Nora Olga Paula Rosa Sarah Tina".split(),
@@ -44,6 +44,12 @@ FIRST = {
     ("cyrillic", "female"): "Алла Анна Вера Галина Дарья Елена Жанна Зоя Ирина Лидия Мария Нина Ольга Раиса Софья Юлия".split(),
     ("greek", "male"): "Ανδρέας Γιώργος Δημήτρης Ηλίας Θωμάς Ιάσων Κώστας Λουκάς Μάρκος Νίκος Πέτρος Στέφανος".split(),
     ("greek", "female"): "Άννα Βασιλική Δάφνη Ελένη Ζωή Ιωάννα Κατερίνα Μαρία Νίκη Ουρανία Σοφία Χριστίνα".split(),
+    ("hebrew", "male"): "אברהם בנימין גדעון דוד יוסף יעקב משה נתן עמוס שמעון".split(),
+    ("hebrew", "female"): "אסתר דבורה חנה יעל לאה מרים נעמי רבקה רחל תמר".split(),
+    ("arabic", "male"): "أحمد حسن خالد سالم طارق عمر كريم محمود ناصر يوسف".split(),
+    ("arabic", "female"): "أمينة خديجة زينب سلمى عائشة فاطمة ليلى مريم نادية هدى".split(),
+    ("han", "male"): "王伟 李强 张军 刘勇 陈杰 杨涛 赵明 黄磊 周鹏 吴刚".split(),
+    ("han", "female"): "王芳 李娜 张敏 刘静 陈丽 杨艳 赵娟 黄霞 周玲 吴燕".split(),
 }
 #: Letters of which a surrogate's letters are drawn, by script.
 LETTERS = {
@@ -59,16 +65,24 @@ _SCRIPT = [("latin", r"^[a-z]$"), ("accented", r"^\p{IsLatin}$"), ("greek", r"^\
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _LOCAL = r"[\p{L}\p{N}._%+\-]"
+_GROUP = "[0-9A-Fa-f]{1,4}"
 _TITLE = "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True))
+_TITLED = rf"(?:{_TITLE})(?:\.? |\.)"
+# Words of a name: O'Neil, McDonald, SMITH; initials; particles; words of scripts without case.
+_WORD = r"(?:\p{Lu}['’](?=\p{L}{3})\p{L}|\p{Lu})[\p{L}\p{M}]++(?:['’]\p{Lu}[\p{L}\p{M}]++)*+"
+_BEFORE = r"(?:\p{Lu}\.[ \-]?|\p{Lu} |(?:van|von|der|den|de|del|della|di|da|dos|du|la|le|el|al|bin|ibn|ben|zu|zur|ter|y)[ \-]|d['’])"
+_EAST = r"\p{IsHan}\p{IsHangul}\p{IsHiragana}\p{IsKatakana}"
+_UNCASED = rf"[{_EAST}]{{1,4}}+|(?![{_EAST}])\p{{Lo}}[\p{{Lo}}\p{{M}}]++(?:[ \-]\p{{Lo}}[\p{{Lo}}\p{{M}}]++)?"
 PATTERNS = {
     "email": rf"(?<!{_LOCAL}){_LOCAL}++@[\p{{L}}\p{{N}}\-]++(?:\.[\p{{L}}\p{{N}}\-]++)+",
     "secret": r"(?<![A-Za-z0-9])(?:[A-Fa-f0-9]{32,}+|AKIA[A-Z0-9]{16}|gh[opusr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}+)(?![A-Za-z0-9])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    "ip6": rf"(?<![\p{{L}}\p{{N}}:.])(?:(?:{_GROUP}:){{7}}{_GROUP}|(?=[A-Fa-f:]*[0-9])(?:{_GROUP}(?::{_GROUP}){{0,6}})?::(?:{_GROUP}(?::{_GROUP}){{0,6}})?)(?![\p{{L}}\p{{N}}:])(?!\.[0-9])",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[0-9])",
     "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
-    "phone": r"(?<![\p{L}\p{N}])(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9]{2,4}(?:[ .\-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}|[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4})(?![\p{L}\p{N}])",
-    "card": r"(?<![\p{L}\p{N}.\-])[0-9]{4}(?:[ \-]?[0-9]{4}){2}[ \-]?[0-9]{1,7}(?![\p{L}\p{N}\-])",
-    "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}\p{{Ll}}++(?:[ \-]\p{{Lu}}\p{{Ll}}++)?",
+    "phone": r"(?<![\p{L}\p{N}])(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9]{2,4}(?:[ .\-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}|[0-9]{3}[ .\-][0-9]{3}[ .\-][0-9]{4})(?![\p{L}\p{N}])",
+    "card": r"(?<![\p{L}\p{N}.\-])(?:[0-9]{4}(?:[ \-]?[0-9]{4}){2}[ \-]?[0-9]{1,7}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{4,5})(?![\p{L}\p{N}\-])",
+    "name": rf"(?<!\p{{L}}){_TITLED}(?:{_BEFORE}{{0,4}}{_WORD}(?:[ \-]{_BEFORE}{{0,4}}{_WORD})*+|{_UNCASED})",
 }
 PATTERN = "|".join(PATTERNS.values())
 
@@ -90,7 +104,14 @@ def kind(e: Column) -> Column:
 def canonical(e: Column, k: Column) -> Column:
     """What all forms of one entity share."""
     bare = F.lower(F.regexp_replace(e, r"[^\p{L}\p{N}]", ""))
-    return F.when(k.isin("email", "name"), F.lower(e)).when(k.isin("ip", "secret"), e).otherwise(bare)
+    # Of a name the title, and the words without punctuation; of an IPv6 address all eight groups.
+    words = F.regexp_replace(F.regexp_extract(e, rf"^{_TITLED}(.*)$", 1), "['’]", "")
+    name = F.lower(F.concat_ws(" ", F.regexp_extract(e, f"^({_TITLE})", 1), F.trim(F.regexp_replace(words, r"[.\s\-]+", " "))))
+    groups = lambda part: F.filter(F.split(part, ":"), lambda x: x != "")
+    left, right = groups(F.substring_index(F.lower(e), "::", 1)), F.when(F.contains(e, F.lit("::")), groups(F.substring_index(F.lower(e), "::", -1))).otherwise(F.array().cast("array<string>"))
+    all_ = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(F.lit(0), F.lit(8) - F.size(left) - F.size(right))), right)
+    ip6 = F.array_join(F.transform(all_, lambda g: F.regexp_replace(g, "^0+(?=.)", "")), ":")
+    return F.when(k == "email", F.lower(e)).when(k == "name", name).when(k == "ip6", ip6).when(k.isin("ip", "secret"), e).otherwise(bare)
 
 
 def _stream(key: str, k: Column, c: Column, attempt: Column, n: Column) -> Column:
@@ -144,14 +165,18 @@ def drawn(df: DataFrame, key: str) -> DataFrame:
     title = F.regexp_extract("canon", r"^(\S+?)\.? ", 1)
     gender = F.when(title.isin([x.lower() for x in MALE]), "male").when(title.isin([x.lower() for x in FEMALE]), "female").otherwise(F.when(F.get("r", F.lit(0)) % 2 == 0, "male").otherwise("female"))
     rest = F.regexp_extract("canon", r"^\S+ (.*)$", 1)
-    script = F.when(rest.rlike(r"\p{IsCyrillic}"), "cyrillic").when(rest.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+    script = F.when(rest.rlike(r"\p{IsCyrillic}"), "cyrillic").when(rest.rlike(r"\p{IsGreek}"), "greek")
+    for s, letter in (("hebrew", "Hebrew"), ("arabic", "Arabic"), ("han", "Han")):
+        script = script.when(rest.rlike(rf"\p{{Is{letter}}}"), s)
+    script = script.otherwise("latin")
     name = None
     for (s, g), names in FIRST.items():
         picked = _pick(names, F.get("r", F.lit(1)))
         name = F.when((script == s) & (gender == g), picked) if name is None else name.when((script == s) & (gender == g), picked)
     last = F.initcap(F.array_join(F.slice("plain", F.greatest(F.lit(1), F.size("plain") - 5), 6), ""))
     name = F.when(rest.rlike("[ -]"), F.concat_ws(" ", name, last)).otherwise(F.when(F.col("attempt") < 2, name).otherwise(F.concat(name, F.lower(last))))
-    body = F.when(F.col("kind") == "ip", ip).when(F.col("kind") == "card", card).when(F.col("kind") == "name", name)
+    ip6 = F.concat_ws(":", F.lit("2001"), F.lit("db8"), *[F.lower(F.hex(F.get("r", F.lit(i)) % 65535 + 1)) for i in range(6)])
+    body = F.when(F.col("kind") == "ip", ip).when(F.col("kind") == "ip6", ip6).when(F.col("kind") == "card", card).when(F.col("kind") == "name", name)
     body = body.when(F.col("kind").isin("email", "secret"), F.array_join("plain", "")).otherwise(number)
     # Drawn characters behind the format, of no bounded number: no format runs out.
     more = F.substring(F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("more"), F.col("kind"), F.col("canon"), F.col("attempt").cast("string")).cast("binary"), 256), F.lit(1), (F.col("attempt") - STRICT + 1) * 2)
@@ -159,7 +184,7 @@ def drawn(df: DataFrame, key: str) -> DataFrame:
     long_card = F.concat(F.array_join(front, ""), digits)
     long_luhn = _luhn(F.filter(F.split(long_card, ""), lambda x: x != ""))
     long_check = F.when(valid, long_luhn).otherwise((long_luhn + 1 + F.get("r", F.lit(0)) % 9) % 10)
-    wider = F.when(F.col("kind") == "ip", body).when(F.col("kind") == "card", F.concat(long_card, long_check.cast("string")))
+    wider = F.when(F.col("kind").isin("ip", "ip6"), body).when(F.col("kind") == "card", F.concat(long_card, long_check.cast("string")))
     wider = wider.when(F.col("kind") == "name", F.concat(body, letters)).when(F.col("kind").isin("email", "secret"), F.concat(body, more))
     body = F.when(wide, wider.otherwise(F.concat(body, digits))).otherwise(body)
     return df.withColumn("body", body).drop("chars", "r", "plain")
@@ -182,8 +207,8 @@ def dressed(surface: Column, k: Column, body: Column) -> Column:
     home = F.when(surface == F.upper(surface), "EXAMPLE.COM").otherwise("example.com")
     mail = F.regexp_replace(folded, r"(?<=[.@])[^.@]+\.[^.@]+$", "")
     mail = F.concat(F.substring_index(mail, "@", 1), more, F.lit("@"), F.substring_index(mail, "@", -1), home)
-    title = F.regexp_extract(surface, r"^(\S+ )", 1)
-    return F.when(k == "email", mail).when(k == "ip", body).when(k == "name", F.concat(title, body)).otherwise(F.concat(folded, more))
+    title = F.regexp_extract(surface, f"^({_TITLED})", 1)
+    return F.when(k == "email", mail).when(k.isin("ip", "ip6"), body).when(k == "name", F.concat(title, body)).otherwise(F.concat(folded, more))
 
 
 def surrogates(found: DataFrame, key: str = KEY) -> DataFrame:

@@ -272,6 +272,24 @@ def test_surrogates_are_consistent_and_keep_their_format(spark):
     assert len({r["surrogate"] for r in pairs}) == len(pairs) == names.count()
 
 
+def test_surrogates_find_names_and_numbers_of_many_forms(spark):
+    one = ["Mr John Fitzgerald Kennedy", "Mr John F. Kennedy", "Dr. J. Smith", "Mr. O'Neil", "Mrs McDonald", "Frau von der Leyen", "Dr. 李明", "السيد محمد علي", "מר כהן", "Ms SMITH"]
+    one += ["555 123 4567", "3782 822463 10005", "2001:db8::8a2e:370:7334", "fe80::1", "2001:0db8:85a3:0000:0000:8a2e:0370:7334"]
+    plain = ["at 12:30:45 std::vector a::b", "Mr and Dr", "version 1.2.3", "00:1a:2b:3c:4d:5e"]
+    table = spark.createDataFrame([(i, f"x ({e}), y") for i, e in enumerate(one)] + [(100 + i, t) for i, t in enumerate(plain)], "doc_id long, text string")
+    found = {r["doc_id"]: r["e"] for r in table.select("doc_id", pii.entities(F.col("text")).alias("e")).collect()}
+    assert found == {**{i: [e] for i, e in enumerate(one)}, **{100 + i: [] for i in range(len(plain))}}
+    same = [("Mr. Smith", "Mr Smith"), ("Dr. Anna Weber", "Dr Anna Weber"), ("Mr O'Neil", "Mr. O’NEIL"), ("Dr J.R. Smith", "Dr. J. R. Smith"), ("2001:DB8::1", "2001:db8:0:0:0:0:0:0001")]
+    forms = spark.createDataFrame([(e,) for e in [*one, *(x for pair in same for x in pair)]], "entity string").distinct()
+    got = {r["entity"]: r["surrogate"] for r in pii.surrogates(forms).collect()}
+    for a, b in same:
+        assert got[a].lower().replace(".", "") == got[b].lower().replace(".", "") and got[a] != a, (a, b)
+    assert re.fullmatch(r"\d{3} \d{3} \d{4}", got["555 123 4567"]) and re.fullmatch(r"3\d{3} \d{6} \d{5}", got["3782 822463 10005"])
+    assert re.fullmatch(r"2001:db8(:[0-9a-f]{1,4}){6}", got["fe80::1"]) and re.match(r"السيد [\u0600-\u06ff]+", got["السيد محمد علي"]) and re.match(r"Dr\. [\u4e00-\u9fff]+$", got["Dr. 李明"])
+    for e in one[:6]:
+        assert not set(re.findall(r"[A-Z]\w+", e)[1:]) & set(re.findall(r"\w+", got[e]))
+
+
 def test_surrogates_of_formats_with_few_values(spark):
     mails = [f"{chr(97 + i % 26)}@host{i}.com" for i in range(1000)]
     phones = [f"+1 {i // 100 + 10} {i % 100:02d}" for i in range(100, 8000, 2)]

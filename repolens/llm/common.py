@@ -102,6 +102,44 @@ def take_slices(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np
     return values[np.repeat(start - (ends - length), length) + np.arange(total)]
 
 
+def slices(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The stretches of ``data`` between consecutive ``offsets``, as binary strings without a copy."""
+    ends, body = np.ascontiguousarray(offsets, np.int64), np.ascontiguousarray(data)
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(body)])
+
+
+def coded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A code for each stretch between ``offsets``, equal for equal bytes and for no others, and
+    the distinct stretches by code. Stretches are compared byte by byte, not by a hash."""
+    found = slices(data, offsets).dictionary_encode()
+    return found.indices.to_numpy(zero_copy_only=False), found.dictionary
+
+
+#: The bytes that separate words, space and 9 to 13.
+BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end bytes of the longest stretches without ``blank`` bytes, each within its text."""
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = ~blank[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    here, before = inside[1:], inside[:-1]
+    start = np.flatnonzero(here & (~before | edge))
+    end = np.flatnonzero(before & (~here | edge))
+    return start, end
+
+
+def packed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The disjoint ascending stretches [start, end) one after another, and their bounds."""
+    step = np.zeros(len(data) + 1, np.int8)
+    step[start] = 1
+    step[end] -= 1
+    keep = np.cumsum(step[:-1], dtype=np.int8).astype(bool)
+    return data[keep], np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
+
+
 def tidy() -> None:
     """Give memory of a finished group back to the system: idle Python workers keep theirs."""
     pa.default_memory_pool().release_unused()

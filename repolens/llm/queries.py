@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.llm import bpe, langid, lines, minhash, mixing, pii, pq, simple8b, warc, winnow
+from repolens.llm import bpe, langid, lines, minhash, mixing, pii, pq, quality, simple8b, warc, winnow
 from repolens.llm.common import ship, text_bytes
 from repolens.session import shared_scratch
 
@@ -114,6 +114,11 @@ def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.index(spark, path)
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.apply(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_vectors": op2_vectors,
@@ -125,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_surrogates": op8_surrogates,
     "op9_mixing": op9_mixing,
     "op10_simple8b": op10_simple8b,
+    "op11_quality": op11_quality,
 }
 
 OP6_SQL = r"""
@@ -217,7 +223,49 @@ SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) A
 FROM embeddings LEFT JOIN n ON vec_id = n.a LEFT JOIN m ON vec_id = m.a
 """
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i+2])) AS x FROM d WHERE len(w) > 3
+), again AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, x) > 1
+), r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY doc_id
+), l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d
+), u AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), m AS (
+  SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(u.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN u USING (doc_id) LEFT JOIN r USING (doc_id)
+), b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+), v AS (
+  SELECT doc_id, lang, source, base_failed, unnest(['length', 'symbols', 'dup_lines', 'repeats']) AS measure,
+         unnest([1000 * word_chars // n_words, 1000 * n_symbols // n_words, 1000 * n_dup_lines // n_words, 1000 * n_repeat_words // n_words]) AS value
+  FROM b WHERE n_words > 0
+), s AS (  -- a value's bucket is known by its smallest value
+  SELECT *, CASE WHEN value < 64 THEN value ELSE (value >> CAST(length(bin(value)) - 6 AS BIGINT)) << CAST(length(bin(value)) - 6 AS BIGINT) END AS low_end FROM v
+), k AS (
+  SELECT 2 AS level, lang, source, measure, low_end FROM s WHERE NOT base_failed UNION ALL
+  SELECT 1, lang, NULL, measure, low_end FROM s WHERE NOT base_failed UNION ALL
+  SELECT 0, NULL, NULL, measure, low_end FROM s WHERE NOT base_failed
+), q AS (
+  SELECT level, lang, source, measure, count(*) AS total, quantile_disc(low_end, 0.25) AS a, quantile_disc(low_end, 0.5) AS mid, quantile_disc(low_end, 0.75) AS z
+  FROM k GROUP BY ALL HAVING count(*) >= 200 OR level = 0
+), f AS (SELECT level, lang, source, measure, a - 8 * (mid - a) - room AS low, z + 8 * (z - mid) + room AS high
+  FROM q JOIN (VALUES ('length', 1000), ('symbols', 100), ('dup_lines', 100), ('repeats', 300)) o(measure, room) USING (measure)
+), x AS (
+  SELECT s.doc_id, s.measure, s.value > coalesce(f2.high, f1.high, f0.high) OR (s.measure = 'length' AND s.value < coalesce(f2.low, f1.low, f0.low)) AS bad
+  FROM s LEFT JOIN f f2 ON f2.level = 2 AND f2.measure = s.measure AND f2.lang IS NOT DISTINCT FROM s.lang AND f2.source IS NOT DISTINCT FROM s.source
+  LEFT JOIN f f1 ON f1.level = 1 AND f1.measure = s.measure AND f1.lang IS NOT DISTINCT FROM s.lang
+  LEFT JOIN f f0 ON f0.level = 0 AND f0.measure = s.measure
+)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce((SELECT bool_or(bad) FROM x WHERE x.doc_id = b.doc_id), false) AS kept
+FROM b
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_quality": OP11_SQL,
     "op2_vectors": OP2_SQL,
     "op4_warc": OP4_SQL,
     "op9_mixing": OP9_SQL,

@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from repolens.llm.common import Stretches, code_points
+from repolens.llm.common import code_points, coded
 
 PIECE = 1 << 19
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -91,9 +91,9 @@ def _pieces(data: np.ndarray, offsets: np.ndarray, size: int):
         at = stop
 
 
-def pre_tokens(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, size: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
-    """(start bytes, hashes) of the pre-tokens of all texts; they cover the texts."""
-    starts, hashes = [], []
+def token_bounds(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, size: int = PIECE) -> np.ndarray:
+    """Start bytes of the pre-tokens of all texts, which cover the texts, and the end of the last."""
+    starts = []
     for a, b in _pieces(data, offsets, size):
         part = data[a:b]
         inner = offsets[np.searchsorted(offsets, a, "left") : np.searchsorted(offsets, b, "right")] - a
@@ -104,28 +104,17 @@ def pre_tokens(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, size: i
         at = np.flatnonzero(token_starts(cp, begin, table))
         if len(cp) != len(part):
             at = np.flatnonzero((part & 0xC0) != 0x80)[at]
-        hashes.append(Stretches(part).of(at, np.append(at[1:], b - a)))
         starts.append(at + a)
-    if not starts:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(starts), np.concatenate(hashes)
+    return np.concatenate([*starts, [len(data)]]).astype(np.int64)
+
+
+def pre_tokens(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, size: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
+    """(start bytes, codes) of the pre-tokens of all texts; equal pre-tokens, and no others, have equal codes."""
+    bounds = token_bounds(data, offsets, table, size)
+    return bounds[:-1], coded(data, bounds)[0]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a rank file: base64 token and rank on each line."""
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-
-
-def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes in ascending order, the first place of each, and the
-    index into them of every place."""
-    import pandas as pd
-
-    codes, unique = pd.factorize(hashes)
-    first = np.empty(len(unique), np.int64)
-    first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-    order = np.argsort(unique)
-    rank = np.empty(len(order), np.int32)
-    rank[order] = np.arange(len(order), dtype=np.int32)
-    return unique[order], first[order], rank[codes]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.llm import align, bpe, langid, lines, minhash, mixing, pii, pq, quality, simple8b, warc, winnow
+from repolens.llm import align, bpe, langid, lines, minhash, mixing, phrases, pii, pq, quality, simple8b, warc, winnow
 from repolens.llm.common import ship, text_bytes
 from repolens.session import shared_scratch
 
@@ -124,6 +124,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(docs, _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_vectors": op2_vectors,
@@ -137,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simple8b": op10_simple8b,
     "op11_quality": op11_quality,
     "op12_alignment": op12_alignment,
+    "op13_collocations": op13_collocations,
 }
 
 OP6_SQL = r"""
@@ -270,7 +275,33 @@ SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 FROM b
 """
 
+OP13_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+), n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+), g AS (
+  SELECT lang, unnest(flatten(list_transform([1, 2, 3, 4, 5], lambda m: list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i+m-1], ' '))))) AS phrase FROM w
+), f AS (SELECT lang, phrase, count(*) AS f, string_split(phrase, ' ') AS w FROM g GROUP BY lang, phrase HAVING count(*) >= 100
+), c AS (SELECT lang, phrase, f AS a, w, unnest(range(1, len(w))) AS k FROM f WHERE len(w) > 1
+), s AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, n, CAST(CAST(1000 AS HUGEINT) * a * n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k+1:], ' ') JOIN n ON n.lang = c.lang
+), b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), o AS (
+  SELECT lang, phrase, max(f) AS longer FROM (
+    SELECT lang, f, unnest(flatten(list_transform(range(2, len(w)), lambda m: list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i+m-1], ' '))))) AS phrase
+    FROM f WHERE len(w) > 2) GROUP BY lang, phrase
+)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n, score
+FROM b LEFT JOIN o USING (lang, phrase) WHERE o.longer IS NULL OR 100 * o.longer < 100 * a
+QUALIFY rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
+    "op13_collocations": OP13_SQL,
     "op11_quality": OP11_SQL,
     "op2_vectors": OP2_SQL,
     "op4_warc": OP4_SQL,

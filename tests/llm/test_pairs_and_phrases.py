@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from repolens.llm import align, quality
+from repolens.llm import align, phrases, quality
 from repolens.llm.common import text_parts
 
 A, B = PT.path("byte_bpe_50k.json"), PT.path("piece_bpe_32k.model")
@@ -133,3 +133,66 @@ def test_quality_buckets_are_within_a_thirtysecond(spark):
     rows = spark.createDataFrame([(v,) for v in values], "v long").select("v", number.alias("n"), quality.floor_of(number).alias("low")).collect()
     assert all(r["low"] <= r["v"] < r["low"] + max(1, r["low"] / 32) + (r["low"] < 64) for r in rows)
     assert [r["n"] for r in rows] == sorted(r["n"] for r in rows)
+
+
+def plain_frequencies(rows):
+    f = Counter()
+    for text, lang in rows:
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            f[lang or "und", ""] += len(w)
+            for m in range(1, 6):
+                f.update((lang or "und", " ".join(w[i : i + m])) for i in range(len(w) - m + 1))
+    return f
+
+
+def plain_collocations(rows, least, top):
+    f = {k: n for k, n in plain_frequencies(rows).items() if n >= least or k[1] == ""}
+    found = defaultdict(list)
+    for (lang, phrase), a in f.items():
+        w = phrase.split(" ")
+        if len(w) < 2:
+            continue
+        n, cuts = f[lang, ""], []
+        for k in range(1, len(w)):
+            left, right = f[lang, " ".join(w[:k])], f[lang, " ".join(w[k:])]
+            cuts.append((1000 * a * n // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        if not any(b >= a and x == lang and f" {phrase} " in f" {y} " and len(y.split(" ")) > len(w) for (x, y), b in f.items()):
+            found[lang].append((-score, -a, phrase.encode(), left, right, n))
+    return sorted((lang, i + 1, p.decode(), -a, left, right, n, -s) for lang, x in found.items() for i, (s, a, p, left, right, n) in enumerate(sorted(x)[:top]))
+
+
+def phrase_rows():
+    rng = random.Random(11)
+    words = ["the", "Cat", "é", "日本", "o'x", "UN", "a-b", "#", "zz", "of"]
+    made = [("".join(rng.choice(words) + rng.choice([" ", " ", "  ", "\t", ". ", "\n", " ,", "\x0c", "\xa0"]) for _ in range(rng.randint(0, 60))), rng.choice(["en", "en", "fr", None])) for _ in range(200)]
+    made += [("a " * 500, "en"), ("kick the bucket now " * 30, "fr"), (None, "en"), ("", None), ("und only", "und"), ("...", "xx"), ("one two three four five six", "de")]
+    return made + made[:50] * 3
+
+
+@pytest.mark.parametrize("sizes", [{}, dict(modulus=2, block_bytes=300, bucket_bytes=2000), dict(modulus=1)])
+def test_collocations_are_those_of_plain_counting(spark, sizes):
+    rows = phrase_rows()
+    df = spark.createDataFrame([(t, lang, 1, "x") for t, lang in rows], "text string, lang string, n int, chunk string").repartition(3)
+    got = [tuple(r) for r in phrases.mine(df, least=4, top=60, **sizes).orderBy("lang", "rank").collect()]
+    assert got == plain_collocations(rows, 4, 60)
+    counted = {(r["lang"], r["phrase"]): r["f"] for r in phrases.frequencies(df, 4, **sizes).collect() if r["f"]}
+    assert counted == {k: n for k, n in plain_frequencies(rows).items() if n >= 4 or k[1] == "" and n}
+
+
+def test_no_collocations_without_rows(spark):
+    assert phrases.mine(spark.createDataFrame([], "text string, lang string")).count() == 0
+    assert phrases.mine(spark.createDataFrame([(None, None), ("", "en")], "text string, lang string")).count() == 0
+
+
+def test_scores_are_exact_beyond_64_bits(spark):
+    rng = random.Random(1)
+    rows = []
+    for _ in range(300):
+        a = rng.randint(1, 10 ** rng.randint(1, 14))
+        left, right = (a + rng.randint(0, 10 ** rng.randint(1, 15)) for _ in range(2))
+        rows.append((a, max(left, right) + rng.randint(0, 10**16), left, right))
+    df = spark.createDataFrame(rows, "a long, n long, l long, r long").select("*", phrases.score(F.col("a"), F.col("n"), F.col("l"), F.col("r")).alias("s"))
+    assert all(r["s"] == 1000 * r["a"] * r["n"] // (r["l"] * r["r"]) for r in df.collect())

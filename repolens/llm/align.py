@@ -31,19 +31,21 @@ from pyspark.sql import types as T
 
 from repolens.llm import pretokens as P
 from repolens.llm.common import coded, row_groups, take_slices, text_parts, tidy
-from repolens.llm.subwords import ByteLevel, Pieces
+from repolens.llm.subwords import ByteLevel, Pieces, Remembered
 from repolens.session import cut_lineage
 
 #: Bytes of text worked on at once, and bytes of text and documents in a block.
-SLICE_BYTES, BLOCK_BYTES, BLOCK_DOCUMENTS = 4 << 20, 32 << 20, 1 << 16
+SLICE_BYTES, BLOCK_BYTES, BLOCK_DOCUMENTS = 2 << 20, 8 << 20, 1 << 16
+#: Words that a worker remembers of each of two generations, for each tokenizer.
+KNOWN_WORDS = 50_000
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 _ENCODERS: dict = {}
 
 
-def _encoders(key: tuple[str, str], a: str, b: bytes) -> tuple[ByteLevel, Pieces]:
+def _encoders(key: tuple[str, str], a: str, b: bytes) -> tuple[Remembered, Remembered]:
     """Both encoders, kept for the life of a Python worker."""
     if key not in _ENCODERS:
-        _ENCODERS[key] = ByteLevel(a), Pieces(b)
+        _ENCODERS[key] = Remembered(ByteLevel(a), KNOWN_WORDS), Remembered(Pieces(b), KNOWN_WORDS)
     return _ENCODERS[key]
 
 
@@ -71,9 +73,9 @@ def _numerals(top: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(words), np.uint8), np.concatenate([[0], np.cumsum([len(w) for w in words])])
 
 
-def aligned(data: np.ndarray, offsets: np.ndarray, a: ByteLevel, b: Pieces, numerals: tuple[np.ndarray, np.ndarray]) -> tuple[dict, tuple]:
+def aligned(data: np.ndarray, offsets: np.ndarray, a_words: Remembered, b_words: Remembered, numerals: tuple[np.ndarray, np.ndarray]) -> tuple[dict, tuple]:
     """The digest columns of each text, and (A id, B id, text) of each link."""
-    n = len(offsets) - 1
+    n, a, b = len(offsets) - 1, a_words.encoder, b_words.encoder
     rows = np.flatnonzero(np.diff(offsets))
     spaced, bounds = _spaced(data, offsets)
     out = {c: np.zeros(n, np.int64) for c in COUNTS}
@@ -81,8 +83,8 @@ def aligned(data: np.ndarray, offsets: np.ndarray, a: ByteLevel, b: Pieces, nume
     # B first: its tokens say which texts come back whole.
     cut = b.words(spaced, bounds)
     word, distinct = coded(spaced, cut)
+    ids, counts = b_words.encode(distinct)
     body, at = text_parts(distinct)
-    ids, counts = b.encode(body.tobytes(), at)
     fine = b.exact(body, ids, counts, np.diff(at))
     owner = np.searchsorted(bounds, cut[:-1], "right") - 1
     whole = np.ones(len(rows), bool)
@@ -90,8 +92,7 @@ def aligned(data: np.ndarray, offsets: np.ndarray, a: ByteLevel, b: Pieces, nume
     b_ids = _placed(ids, counts, word[whole[owner]])
     cut = P.token_bounds(spaced, bounds, P.classes())
     word, distinct = coded(spaced, cut)
-    body, at = text_parts(distinct)
-    ids, counts = a.encode(body.tobytes(), at)
+    ids, counts = a_words.encode(distinct)
     owner = np.searchsorted(bounds, cut[:-1], "right") - 1
     a_ids = _placed(ids, counts, word[whole[owner]])
     rows = rows[whole]
@@ -145,14 +146,10 @@ def _bitmaps(group: np.ndarray, place: np.ndarray, n_groups: int, n_places: int)
 
 def postings(key: np.ndarray, place: np.ndarray, n_places: int) -> tuple[np.ndarray, pa.Array, pa.Array]:
     """Links (key of the pair, place of the document) inverted: (distinct keys, document bitmaps, planes)."""
-    code = np.lexsort((place, key))
-    key, place = key[code], place[code]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (place[1:] != place[:-1])
-    head = np.flatnonzero(new)
-    more = np.diff(np.append(head, len(key))) - 1  # further links of the pair in the document
-    pairs, group = np.unique(key[head], return_inverse=True)
-    place = place[head]
+    both, times = np.unique(key * BLOCK_DOCUMENTS + place, return_counts=True)
+    more = times - 1  # further links of the pair in the document
+    pairs, group = np.unique(both // BLOCK_DOCUMENTS, return_inverse=True)
+    place = both % BLOCK_DOCUMENTS
     data, bounds = _bitmaps(group, place, len(pairs), n_places)
     docs = _binary(data, bounds)
     parts, owner = [], []
@@ -215,7 +212,8 @@ def invert(df: DataFrame, a_path: str, b_path: str, text: str = "text", block_by
     schema = T.StructType([*own, *added, *pair])
 
     def rows(batches: Iterable[pa.RecordBatch]):
-        a, b = _encoders((a_path, b_path), *shared.value)
+        a_words, b_words = _encoders((a_path, b_path), *shared.value)
+        a, b = a_words.encoder, b_words.encoder
         numerals = _numerals(max(len(a.size), len(b.size)))
         block, held, links, size = TaskContext.get().partitionId() << 32, 0, [], 0
 
@@ -241,7 +239,7 @@ def invert(df: DataFrame, a_path: str, b_path: str, text: str = "text", block_by
                     if held and (held + n > BLOCK_DOCUMENTS or size + nbytes > block_bytes):
                         yield from closed(of)
                         block, held, links, size = block + 1, 0, [], 0
-                    digest, (la, lb, row) = aligned(*text_parts(part.column(len(others))), a, b, numerals)
+                    digest, (la, lb, row) = aligned(*text_parts(part.column(len(others))), a_words, b_words, numerals)
                     columns = {f.name: part.column(k) for k, f in enumerate(own)} | {c: pa.array(digest[c], pa.int64()) for c in COUNTS}
                     columns |= {"block": pa.array(np.full(n, block)), "place": pa.array(np.arange(held, held + n), pa.int32()), "groups_sha256": pa.array(digest["groups_sha256"].tolist(), pa.string())}
                     links.append((la * len(b.size) + lb, row + held))

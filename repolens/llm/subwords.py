@@ -14,8 +14,8 @@ import numpy as np
 
 from repolens.llm.common import take_slices
 
-#: Words handed to a library in one call, and in one string.
-WORDS_A_CALL, WORDS_A_STRING = 16384, 64
+#: Words handed to a library in one call, and in one string; words of each of two generations that a worker remembers.
+WORDS_A_CALL, WORDS_A_STRING, KNOWN_WORDS = 16384, 64, 200_000
 
 
 @lru_cache(maxsize=1)
@@ -41,6 +41,8 @@ class ByteLevel:
         self._bytes = {c: b for b, c in byte_alphabet().items()}
         self._letters = {b: c for b, c in byte_alphabet().items()}
         found = json.loads(content)
+        if found["normalizer"] or found["pre_tokenizer"] != found["pre_tokenizer"] | {"type": "ByteLevel", "add_prefix_space": False}:
+            raise ValueError("not a byte-level tokenizer that leaves texts as they are")
         vocab = found["model"]["vocab"]
         tokens = [b""] * (max([*vocab.values(), *(t["id"] for t in found["added_tokens"])]) + 1)
         for token, i in vocab.items():
@@ -118,3 +120,31 @@ class Pieces:
         at = np.concatenate([[0], np.cumsum(made)])
         out[fine] = wrong[at[1:]] == wrong[at[:-1]]
         return out
+
+
+class Remembered:
+    """An encoder that remembers words: those met since the last change of generation, and the generation before."""
+
+    def __init__(self, encoder, known: int = KNOWN_WORDS):
+        self.encoder, self._known = encoder, known
+        self._young: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
+
+    def encode(self, distinct, fixed: dict[bytes, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each) of an array of distinct binary words; ``fixed``: words with an id of their own."""
+        words, young, old = distinct.to_pylist(), self._young, self._old
+        got = [young.get(w) or old.get(w) for w in words]
+        new = [i for i, x in enumerate(got) if x is None]
+        if new:
+            fresh = [words[i] for i in new]
+            bounds = np.concatenate([[0], np.cumsum([len(w) for w in fresh])]).astype(np.int64)
+            ids, counts = self.encoder.encode(b"".join(fresh), bounds)
+            raw, ends = ids.astype("<i4").tobytes(), (4 * np.cumsum(counts)).tolist()
+            for i, a, b in zip(new, [0, *ends], ends):
+                got[i] = raw[a:b]
+        young.update((w, x) for w, x in zip(words, got) if len(w) < 64)
+        if len(young) > self._known:
+            self._young, self._old = {}, young
+        if fixed:
+            got = [x if (i := fixed.get(w)) is None else i.to_bytes(4, "little") for w, x in zip(words, got)]
+        return np.frombuffer(b"".join(got), "<i4").astype(np.int64), np.fromiter(map(len, got), np.int64, len(got)) // 4

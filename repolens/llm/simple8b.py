@@ -22,9 +22,7 @@ the writer bounds a shard by the number of ranges of the key.
 
 from __future__ import annotations
 
-import hashlib
 import json
-import os
 import re
 import zlib
 
@@ -36,7 +34,8 @@ from pyspark.sql import types as T
 
 from repolens.llm import pretokens as P
 from repolens.llm.bpe import _flat
-from repolens.llm.common import list_array, row_groups, take_slices, text_bytes, text_parts, tidied
+from repolens.llm.common import coded, list_array, row_groups, take_slices, text_bytes, text_parts, tidied
+from repolens.llm.subwords import ByteLevel, Remembered
 from repolens.session import cut_lineage
 
 MAGIC = 0x0031303842504D53
@@ -44,13 +43,13 @@ MARKER = "S8B-END\n"
 BLOCK = 4096
 SHARD_BYTES = 16 << 20
 NO_KEY = -(1 << 63)
-#: Words whose ids a Python worker remembers.
-KNOWN_WORDS = 400_000
 #: Ids in a word and bits of an id, by selector. Fixed values of Simple-8b (60 payload bits).
 COUNT = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTH = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE = 15
 _LIMIT = (np.uint64(1) << WIDTH.astype(np.uint64)) - np.uint64(1)
+#: The narrowest selector for small ids.
+_NEEDED = np.searchsorted(_LIMIT, np.arange(1 << 16, dtype=np.uint64)).astype(np.int8)
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,13 +58,13 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    block_end = np.minimum((np.arange(n) // BLOCK + 1) * BLOCK, n)
+    first = np.arange(0, n, BLOCK)  # id of each block
     # The narrowest selector whose ids all fit, from the width that each id needs: a
     # running maximum over windows of growing length. Behind a block's end zeros count.
     rows = -(-n // BLOCK)
     need = np.zeros((rows, BLOCK + 60), np.int8)
     flat = np.zeros(rows * BLOCK, np.int8)
-    flat[:n] = np.searchsorted(_LIMIT, ids)  # 14: more than 60 bits
+    flat[:n] = _NEEDED[ids] if ids.max() < len(_NEEDED) else np.searchsorted(_LIMIT, ids)  # 14: more than 60 bits
     need[:, :BLOCK] = flat.reshape(rows, BLOCK)
     best = np.full((rows, BLOCK), 14, np.int8)
     have = 1
@@ -76,30 +75,30 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             have += step
         best[need[:, :BLOCK] <= s] = s
     best = best.reshape(-1)[:n]
-    count = np.append(COUNT, [1, 1])[best]
-    jump = np.minimum(np.arange(n) + count, block_end).tolist()
-    begin, i = [], 0
-    while i < n:
-        begin.append(i)
-        i = jump[i]
-    begin = np.array(begin)
+    # Where the word that begins at an id ends; followed from all blocks at once by doubling.
+    block_end = np.repeat(np.append(first[1:], n), np.diff(np.append(first, n)))
+    jump = np.append(np.minimum(np.arange(n) + np.append(COUNT, 1)[best], block_end), n)
+    begins = np.zeros(n + 1, bool)
+    reached = first
+    while True:
+        begins[reached] = True
+        after = jump.take(reached)
+        if begins[after[after < n]].all():
+            break
+        reached, jump = np.concatenate([reached, after]), jump.take(jump)
+    begin = np.flatnonzero(begins[:n])
     sel = best[begin].astype(np.int64)
-    size = np.diff(np.append(begin, n))
-    word = np.zeros(len(begin), np.uint64)
-    padded = np.append(ids, np.zeros(60, np.uint64))
-    for s in range(14):
-        rows = np.flatnonzero(sel == s)
-        for k in range(COUNT[s] if len(rows) else 0):
-            v = np.where(k < size[rows], padded[begin[rows] + k], np.uint64(0))
-            word[rows] |= v << np.uint64(k * WIDTH[s])
-        word[rows] |= np.uint64(s) << np.uint64(60)
+    # Each id, moved to its place in its word; the ids of a word share no bit, so their sum is the word.
+    shift = np.arange(n) - np.repeat(begin, np.diff(np.append(begin, n)))
+    shift *= np.repeat(np.append(WIDTH, 0)[sel], np.diff(np.append(begin, n)))
+    word = np.add.reduceat(ids << shift.astype(np.uint64), begin) | sel.astype(np.uint64) << np.uint64(60)
     escapes = sel == 14
     word[escapes] = np.uint64(ESCAPE) << np.uint64(60)
     place = np.arange(len(begin)) + np.cumsum(escapes) - escapes
     out = np.zeros(len(begin) + int(escapes.sum()), np.uint64)
     out[place] = word
     out[place[escapes] + 1] = ids[begin[escapes]]
-    return out, place[np.searchsorted(begin, np.arange(0, n, BLOCK))]
+    return out, place[np.searchsorted(begin, first)]
 
 
 def unpack(words: np.ndarray, blocks: np.ndarray, n: int) -> np.ndarray:
@@ -223,88 +222,64 @@ def index(spark, path: str) -> DataFrame:
     return found.join(bases, "shard").select("doc_id", (F.col("base") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32")
 
 
-_TOKENIZER: dict = {}
-
+_ENCODERS: dict = {}
 
-def _word_ids(path: str, content: str, added: bool):
-    """Ids of single words by the tokenizers library, and what is known already;
-    kept for the life of a Python worker."""
-    if (path, added) not in _TOKENIZER:
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(content)
-        tokenizer.encode_special_tokens = not added  # their strings in a text are ordinary text
-        _TOKENIZER[path, added] = tokenizer, {}
-    return _TOKENIZER[path, added]
+def _encoder(path: str, content: str) -> Remembered:
+    """The tokenizer's encoder of words with what it knows already; kept for the life of a Python worker."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Remembered(ByteLevel(content))
+    return _ENCODERS[path]
 
 
-def _added(content: str) -> list[bytes]:
-    """The strings of a tokenizer's added tokens, longest first."""
+def _added(content: str) -> dict[bytes, int]:
+    """The strings of a tokenizer's added tokens and their ids, longest first."""
     tokens = json.loads(content)["added_tokens"]
     if any(t[flag] for t in tokens for flag in ("single_word", "lstrip", "rstrip", "normalized")):
         raise ValueError("added tokens that take other text with them")
-    return sorted((t["content"].encode() for t in tokens), key=len, reverse=True)
-
-
-def _words(data: np.ndarray, offsets: np.ndarray, whole: bytes, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of each word: an added token, leftmost and longest first, or a pre-token of the text between."""
-    if not any(t in whole for t in tokens):
-        return P.pre_tokens(data, offsets, P.classes())
-    either = re.compile(b"|".join(map(re.escape, tokens)))
-    found = [m for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist()) for m in either.finditer(whole, x, y)]
-    if not found:  # a string over the edge of two texts
-        return P.pre_tokens(data, offsets, P.classes())
-    first, last = (np.array(x) for x in zip(*(m.span() for m in found)))
-    start, hashes = P.pre_tokens(data, np.unique(np.concatenate([offsets, first, last])), P.classes())
-    at = np.searchsorted(first, start, "right") - 1
-    own = (at >= 0) & (start < last[at])
-    head = own & (start == first[at])
-    hashes[head] = np.array([_hash_of(m[0]) for m in found], np.uint64)[at[head]]
-    return start[head | ~own], hashes[head | ~own]
+    return {t["content"].encode(): t["id"] for t in sorted(tokens, key=lambda t: -len(t["content"].encode()))}
 
 
-def _hash_of(token: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(token, digest_size=8).digest(), "little")
+def _bounds(data: np.ndarray, offsets: np.ndarray, added: dict[bytes, int]) -> np.ndarray:
+    """Bounds of the words: added tokens, leftmost and longest first, and pre-tokens of the text between."""
+    whole = data.tobytes() if added else b""
+    found = []
+    if any(t in whole for t in added):
+        either = re.compile(b"|".join(map(re.escape, added)))
+        found = [m.span() for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist()) for m in either.finditer(whole, x, y)]
+    if not found:
+        return P.token_bounds(data, offsets, P.classes())
+    first, last = (np.array(x) for x in zip(*found))
+    bounds = P.token_bounds(data, np.unique(np.concatenate([offsets, first, last])), P.classes())
+    at = np.searchsorted(first, bounds, "right") - 1
+    return bounds[(at < 0) | (bounds == first[at]) | (bounds >= last[at])]
 
 
 def tokenise(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids", end_id: int | None = 0, added: bool = False) -> DataFrame:
     """``df`` without ``text``, with the ids that the tokenizers library gives each whole
     text without special tokens around it, and ``end_id`` after them. The library encodes
-    each distinct word of a batch once. The string of an added token in a text is that token
-    if ``added`` (the library's default), else ordinary text. Null: an empty text."""
+    each distinct word of a batch once, and remembers words of batches before. The string of an added token
+    in a text is that token if ``added`` (the library's default), else ordinary text. Null: an empty text."""
     with open(tokenizer_path, encoding="utf-8") as f:
         content = f.read()
-    tokens = _added(content) if added else []
+    tokens = _added(content) if added else {}
     shared = df.sparkSession.sparkContext.broadcast(content)
     at = df.columns.index(text)
     others = [i for i, c in enumerate(df.columns) if c not in (text, ids)]
     schema = T.StructType([*(df.schema.fields[i] for i in others), T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def encoded(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer, known = _word_ids(tokenizer_path, shared.value, added)
+        encoder = _encoder(tokenizer_path, shared.value)
         for batch in batches:
             _, bounds = text_parts(batch.column(at))
             for i, j in row_groups(bounds, 8 << 20):
                 b = batch.slice(i, j - i)
                 data, offsets = text_parts(b.column(at))
-                whole = data.tobytes()
-                start, hashes = _words(data, offsets, whole, tokens)
-                end = np.append(start[1:], len(data))
-                _, first, place = P.distinct(hashes)
-                words = [whole[x:y].decode() for x, y in zip(start[first].tolist(), end[first].tolist())]
-                fresh = [w for w in words if w not in known]
-                if len(known) + len(fresh) > KNOWN_WORDS:
-                    known.clear()
-                    fresh = words
-                for a in range(0, len(fresh), 20000):
-                    part = fresh[a : a + 20000]
-                    known.update(zip(part, (np.array(e.ids, "<i4").tobytes() for e in tokenizer.encode_batch_fast(part, add_special_tokens=False))))
-                got = [known[w] for w in words]
-                length = np.array([len(x) // 4 for x in got], np.int64)
-                flat = np.frombuffer(b"".join(got), "<i4")
+                cut = _bounds(data, offsets, tokens)
+                place, distinct = coded(data, cut)
+                flat, length = encoder.encode(distinct, tokens)
                 begin = np.cumsum(length) - length
-                bound = np.searchsorted(start, offsets)
+                bound = np.searchsorted(cut[:-1], offsets)
                 total = np.concatenate([[0], np.cumsum(length[place])])
                 n_end = int(end_id is not None)
                 out = np.empty(int(total[-1]) + n_end * (j - i), np.int32)

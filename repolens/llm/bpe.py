@@ -4,6 +4,8 @@ Encoding shuffles the distinct words of the corpus: texts are dealt into chunks
 bounded size, each chunk lists its distinct pre-tokens by buckets of
 their hash, each bucket encodes a word once whatever number of chunks sent it, and
 the ids go back to the chunks, which put them in the places of the words.
+Equal rows of a task are dealt to other chunks after every ``COPIES``, so no text fills one. Words are
+told apart by their bytes; hashes only deal and order them.
 The positions never move: a chunk finds them again from its own texts. A word
 that fills a third of the corpus costs one entry per chunk.
 
@@ -21,16 +23,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repolens.llm import pretokens as P
-from repolens.llm.common import list_array, row_groups, take_slices, text_bytes, tidy
+from repolens.llm.common import coded, list_array, mix64, row_groups, take_slices, text_bytes, text_parts, tidy
 
-#: Bytes of text in a chunk, and chunks for each bucket of words.
+#: Bytes of text in a chunk, chunks for each bucket of words, and equal rows that stay together.
 CHUNK_BYTES = 8 << 20
 CHUNKS_A_BUCKET = 2
+COPIES = 64
 _ENCODER: dict = {}
 
 
@@ -79,30 +83,40 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids",
     # Columns by number, so that no name clashes.
     inner = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names) if i in keep], F.col(f"`{text}`").cast("string").alias("body"))
     fields = [inner.schema[f"c{i}"] for i in keep]
-    deal = F.pmod(F.xxhash64(F.col("body"), *[F.col(f"c{i}") for i in keep if not isinstance(inner.schema[f"c{i}"].dataType, T.MapType)]), F.lit(n_chunks)).cast("long")
+    mark = F.xxhash64(F.col("body"), *[F.col(f"c{i}") for i in keep if not isinstance(inner.schema[f"c{i}"].dataType, T.MapType)])
     kept = T.StructType([T.StructField("chunk", T.LongType()), *fields, T.StructField("body", T.BinaryType())])
 
     def deflate(batches):
         import zstandard
 
         pack = zstandard.ZstdCompressor(1).compress
+        seen: dict[int, int] = {}
+        own = np.uint64(TaskContext.get().partitionId() + 1) * np.uint64(0x9E3779B97F4A7C15)
         for b in batches:
-            columns = [b.column(i) for i in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([pack(x.as_py().encode()) if x.is_valid else None for x in b.column(b.num_columns - 1)], pa.binary())], names=b.schema.names)
-
-    dealt = inner.select(deal.alias("chunk"), "*").mapInArrow(deflate, kept).repartition("chunk")
+            marks = b.column(0).to_pylist()
+            copy = []
+            for m in marks:
+                seen[m] = seen.get(m, -1) + 1
+                copy.append(seen[m])
+            deal = mix64(np.array(marks, np.int64).view(np.uint64) ^ mix64(own + np.array(copy, np.uint64) // np.uint64(COPIES))) % np.uint64(n_chunks)
+            columns = [b.column(i) for i in range(1, b.num_columns - 1)]
+            bodies = pa.array([pack(x.as_py().encode()) if x.is_valid else None for x in b.column(b.num_columns - 1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(deal.astype(np.int64)), *columns, bodies], names=kept.names)
+
+    dealt = inner.select(mark.alias("mark"), "*").mapInArrow(deflate, kept).repartition("chunk")
 
     def words(table: pa.Table) -> pa.Table:
         data, offsets = _inflated(table["body"])
-        start, hashes = P.pre_tokens(data, offsets, P.classes())
-        end = np.append(start[1:], len(data))
-        unique, first, _ = P.distinct(hashes)
-        cut = np.searchsorted(unique >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+        _, distinct = coded(data, P.token_bounds(data, offsets, P.classes()))
+        order, hashes = P.by_hash(distinct)
+        body, at = text_parts(distinct)
+        start, size = at[:-1][order], np.diff(at)[order]
+        # Only buckets that have words: at most as many as there are words, however many buckets.
+        buckets, cut = np.unique(hashes >> np.uint64(64 - bits), return_index=True)
         chunk = table["chunk"][0].as_py()
-        del hashes
-        blobs = [(b, _packed(data, start[first[i:j]], (end - start)[first[i:j]])) for b, (i, j) in enumerate(zip(cut[:-1], cut[1:])) if j > i]
+        blobs = [(b, _packed(body, start[i:j], size[i:j])) for b, i, j in zip(buckets.tolist(), cut.tolist(), [*cut[1:].tolist(), len(order)])]
         tidy()
-        return pa.table({"chunk": pa.array([chunk] * len(blobs), pa.int64()), "bucket": pa.array([b for b, _ in blobs], pa.int32()), "words": pa.array([x for _, x in blobs], pa.binary())})
+        return pa.table({"chunk": pa.array([chunk] * len(blobs), pa.int64()), "bucket": pa.array([b for b, _ in blobs], pa.int64()), "words": pa.array([x for _, x in blobs], pa.binary())})
 
     def encoded(table: pa.Table) -> pa.Table:
         import zstandard
@@ -125,10 +139,14 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids",
 
     def reassembled(texts: pa.Table, parts: pa.Table) -> pa.Table:
         data, offsets = _inflated(texts["body"])
-        start, hashes = P.pre_tokens(data, offsets, P.classes())
-        bounds = np.searchsorted(start, offsets)
-        _, _, place = P.distinct(hashes)
-        del hashes, start, data
+        cut = P.token_bounds(data, offsets, P.classes())
+        bounds = np.searchsorted(cut[:-1], offsets)
+        code, distinct = coded(data, cut)
+        order, _ = P.by_hash(distinct)
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        place = rank[code]
+        del code, distinct, cut, data
         order = np.argsort(parts["bucket"].to_numpy()) if len(parts) else []
         got = [_unpacked(parts["ids"][int(i)].as_py()) for i in order]
         length = np.concatenate([x for x, _ in got]).astype(np.int64) if got else np.zeros(0, np.int64)
@@ -144,8 +162,8 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids",
         tidy()
         return pa.Table.from_arrays([*columns, list_array(out, total[bounds], pa.int32())], names=[*(f.name for f in fields), "ids"])
 
-    parts = dealt.groupBy("chunk").applyInArrow(words, "chunk long, bucket int, words binary")
-    parts = parts.groupBy("bucket").applyInArrow(encoded, "chunk long, bucket int, ids binary")
+    parts = dealt.groupBy("chunk").applyInArrow(words, "chunk long, bucket long, words binary")
+    parts = parts.groupBy("bucket").applyInArrow(encoded, "chunk long, bucket long, ids binary")
     schema = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     out = dealt.groupBy("chunk").cogroup(parts.groupBy("chunk")).applyInArrow(reassembled, schema)
     return out.select(*[F.col(f"c{i}").alias(names[i]) for i in keep], F.col("ids").alias(ids))

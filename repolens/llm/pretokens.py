@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from repolens.llm.common import code_points, coded
+from repolens.llm.common import Stretches, code_points, coded, text_parts
 
 PIECE = 1 << 19
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -114,6 +114,19 @@ def pre_tokens(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, size: i
     return bounds[:-1], coded(data, bounds)[0]
 
 
+def by_hash(distinct) -> tuple[np.ndarray, np.ndarray]:
+    """An order of distinct words that does not depend on how they were met, by hash and then by bytes, and their hashes in it."""
+    data, at = text_parts(distinct)
+    hashes = Stretches(data).of(at[:-1], at[1:])
+    order = np.argsort(hashes, kind="stable")
+    hashes = hashes[order]
+    tied = np.flatnonzero(hashes[1:] == hashes[:-1])
+    for run in np.split(tied, np.flatnonzero(np.diff(tied) > 1) + 1) if len(tied) else []:
+        i, j = run[0], run[-1] + 2
+        order[i:j] = sorted(order[i:j].tolist(), key=lambda k: distinct[k].as_py())
+    return order, hashes
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a rank file: base64 token and rank on each line."""
     with open(path, "rb") as f:

@@ -332,3 +332,28 @@ def test_pipeline_run_without_labels_against_plain_python(spark, tmp_path):
     spark.createDataFrame([(i, t, None, "s", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"]: r["n_tokens"] for r in got} == {i: len(enc.encode_ordinary(texts[i])) for i in (0, 1, 2)} and len(got) == 3
+
+
+@pytest.mark.parametrize("chunk_bytes", [1 << 20, 1500])
+def test_words_whose_hashes_meet_get_their_own_ids(spark, tmp_path, chunk_bytes):
+    one = "a"
+    while len(one) < 2048:
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    texts = [one, other, one + " " + other, other + " x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    enc = tiktoken.Encoding("own", pat_str=PT.PATTERN, mergeable_ranks=pretokens.read_ranks(RANKS), special_tokens={})
+    got = bpe.decode(bpe.encode(df, RANKS, chunk_bytes=chunk_bytes), RANKS).collect()
+    assert all(list(r["ids"]) == enc.encode_ordinary(texts[r["doc_id"]]) and bytes(r["decoded"]).decode() == texts[r["doc_id"]] for r in got)
+    simple8b.write_documents(df, PT.path("byte_bpe_50k.json"), str(tmp_path / "s"), shard_bytes=chunk_bytes)
+    assert {r["doc_id"]: r["ids"] for r in simple8b.read(spark, str(tmp_path / "s")).collect()} == {i: [*enc.encode_ordinary(t), 0] for i, t in enumerate(texts)}
+
+
+def test_equal_rows_are_dealt_to_several_chunks(spark):
+    df = spark.createDataFrame([("the same text again",)] * 1000, "text string").coalesce(1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = bpe.encode(df, RANKS, chunk_bytes=1000).select(F.array_join("ids", ",").alias("ids"), F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(rows) == 1000 and len({r["ids"] for r in rows}) == 1 and len({r["p"] for r in rows}) > 1

@@ -71,3 +71,24 @@ def test_cuckoo_filter_keeps_and_deletes():
     assert cuckoo.contains(table, keys[10000:]).all()
     assert cuckoo.contains(table, keys[:10000]).mean() < 0.01
     assert not cuckoo.insert(np.zeros((16, 4), np.uint16), np.arange(200), 20)
+
+
+def thue_morse(n):
+    w = "a"
+    while len(w) < n:
+        w += w.translate(str.maketrans("ab", "ba"))
+    return w
+
+
+def test_words_whose_hashes_meet_are_kept_apart():
+    one = thue_morse(2048)
+    other = one.translate(str.maketrans("ab", "ba"))
+    data, offsets = text_parts(pa.array([one, other, one, other + " x"]))
+    hashes = Stretches(data).of(offsets[:-1], offsets[1:])
+    assert hashes[0] == hashes[1]
+    _, codes = pretokens.pre_tokens(data, offsets, pretokens.classes())
+    assert codes.tolist() == [0, 1, 0, 1, 2]
+    for texts in ([one, other, "x"], ["x", other, one]):
+        words = pa.array([t.encode() for t in texts], pa.large_binary())
+        order, _ = pretokens.by_hash(words)
+        assert [texts[i] for i in order if texts[i] != "x"] == sorted([one, other])

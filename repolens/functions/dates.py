@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 _MICROS_PER_DAY = 86_400_000_000.0
 
 
-def _as_date(value) -> dt.date:
+def as_date(value) -> dt.date:
     if isinstance(value, dt.datetime):
         return value.date()
     if isinstance(value, dt.date):
@@ -74,7 +74,7 @@ def day_start(c: Column) -> Column:
 def days_since(c: Column, as_of) -> Column:
     """Whole days from ``c`` to ``as_of`` (may be -1 for a date rounded into
     the future)."""
-    return F.datediff(F.lit(_as_date(as_of)), c.cast("date")).cast("long")
+    return F.datediff(F.lit(as_date(as_of)), c.cast("date")).cast("long")
 
 
 def month_start(c: Column) -> Column:
@@ -87,12 +87,12 @@ def year_of(c: Column) -> Column:
 
 def shift_date(as_of, shift: int = 0) -> dt.date:
     """``as_of - shift`` days (argument-level helper)."""
-    return _as_date(as_of) - dt.timedelta(days=shift)
+    return as_date(as_of) - dt.timedelta(days=shift)
 
 
 def check_date_range(start, end=None) -> tuple[dt.date, dt.date]:
-    start_d = _as_date(start)
-    end_d = _as_date(end) if end is not None else start_d
+    start_d = as_date(start)
+    end_d = as_date(end) if end is not None else start_d
     if end_d < start_d:
         raise ValueError(f"the window ends ({end_d}) before it starts ({start_d})")
     return start_d, end_d
@@ -121,7 +121,7 @@ def period_range(name: str, as_of) -> tuple[dt.datetime, dt.datetime] | None:
     "Last month" starts on day 1 of the previous calendar month, with the
     year corrected in January.
     """
-    now = as_of if isinstance(as_of, dt.datetime) else dt.datetime.combine(_as_date(as_of), dt.time())
+    now = as_of if isinstance(as_of, dt.datetime) else dt.datetime.combine(as_date(as_of), dt.time())
     today = now.date()
     if name == "All date range":
         return None

@@ -34,6 +34,7 @@ from repolens.operators.rollups import keep_top_k, repo_rollup, topic_rollup
 from repolens.operators.tables import owner_table
 from repolens.operators.upsert import align_to, append_aligned, upsert_merge
 from repolens.plans import bindings as B
+from repolens.plans import flows
 from repolens.plans import pipelines as P
 from repolens.sources.readers import select_repos_to_crawl
 from repolens.sources.sinks import table_stats
@@ -1073,8 +1074,8 @@ def q_etl_marts(spark, d):
 
 
 def queries() -> dict[str, QueryFn]:
-    return dict(Q)
+    return dict(Q) | flows.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return dict(SQL) | flows.SQL

@@ -8,8 +8,9 @@ Time enters only as arguments (``as_of``, ``batch_ts``), never ``now()``.
 from __future__ import annotations
 
 import datetime as dt
+import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from repolens.functions.dates import ntz_lit, check_date_range, shift_date
@@ -42,13 +43,16 @@ from repolens.schemas import (
     DEFAULT_PATH_PATTERN,
     FULL_PATH_PATTERN,
     REFRESH_WINDOW_DAYS,
+    REPO_FILE_METADATA,
     SUPPORTED_LANGUAGES,
     TABLE_KEYS,
     TOP_K_VALUES_TO_KEEP,
 )
-from repolens.session import path_exists, replace_folder, cut_lineage, shared_scratch
+from repolens.plans.marts import MART_NAMES, marts, refresh_marts
+from repolens.session import path_exists, cut_lineage, shared_scratch
 from repolens.sources import readers as R
-from repolens.sources.sinks import write_partitioned
+from repolens.sources import versions as V
+from repolens.sources.sinks import upsert_file_metadata, write_partitioned
 
 
 def month_aligned(start, end) -> tuple[dt.date, dt.date]:
@@ -219,64 +223,109 @@ def run_repo_info(
     languages=None,
     align: str | None = "month",
     incremental: bool = True,
+    run: str | None = None,
 ) -> dict[str, DataFrame]:
-    """J7 (transform side): read the window once (widened to whole months),
-    merge it into the current modelled tables with keep-latest, and write
-    them back through a staging folder. ``incremental=False`` rebuilds the
-    tables from the window alone."""
+    """J7 (transform side): read the window once (widened to whole months), merge it into the
+    current tables, rewriting only the partitions it touches, and publish all tables by one manifest.
+    ``incremental=False`` rebuilds the tables from the window alone."""
     s, e = check_date_range(start, end)
     as_of = as_of or e
     batch_ts = batch_ts or dt.datetime.combine(as_of, dt.time())
     ws, we = month_aligned(s, e) if align == "month" else (s, e)
     # Month alignment: a refreshed month is rebuilt from all of its days.
     raw = R.read_raw_repos(spark, landed_path, languages, ws, we, with_file_order=True)
-    existing = _read_tables(spark, out_path) if incremental else {}
-    marts = build_repo_marts(raw, as_of, batch_ts, ws, we, order_cols=["__file", "__row"], existing=existing)
-    # All tables are written beside the current ones before any is replaced, by a rename:
-    # a lost job leaves the current tables as they are, and no table is read while written.
-    for name, df in marts.items():
-        df.write.mode("overwrite").parquet(f"{out_path}/{name}.new")
-    for name in marts:
-        replace_folder(spark, f"{out_path}/{name}.new", f"{out_path}/{name}")
-    return {name: spark.read.parquet(f"{out_path}/{name}") for name in marts}
-
-
-MART_NAMES = ("repo", "repo_topic", "owner", "topic_analytics", "repo_analytics")
+    _read_tables(spark, out_path)
+    return refresh_marts(spark, out_path, raw, as_of, batch_ts, order_cols=["__file", "__row"], rebuild=not incremental, run=run)
 
 
 def _read_tables(spark: SparkSession, out_path: str) -> dict[str, DataFrame]:
-    """The current tables; empty on a first run. A table that alone is missing, or that can't
-    be read, is an error: its history must not be replaced by a window."""
+    """The current tables; empty on a first run. Tables without a manifest that names them are an
+    error: their history must not be replaced by a window."""
+    found = marts(spark, out_path)
     there = [name for name in MART_NAMES if path_exists(spark, f"{out_path}/{name}")]
-    if there and len(there) < len(MART_NAMES):
-        raise ValueError(f"{out_path} lacks {sorted(set(MART_NAMES) - set(there))}; a .replaced folder may hold it")
-    return {name: spark.read.parquet(f"{out_path}/{name}") for name in there}
+    if there and not found and V.read_manifest(spark, out_path).number == 0:
+        plain = [n for n in there if not V.has_batches(spark, f"{out_path}/{n}")]
+        if plain:
+            raise ValueError(f"{out_path} holds {plain} but no manifest names them")
+    return found
 
 
 def land_search_pages(
-    spark: SparkSession, pages_path: str, landed_path: str, mode: str = "skip", languages=None
+    spark: SparkSession,
+    pages_path: str,
+    landed_path: str,
+    mode: str = "skip",
+    languages=None,
+    multi_line: bool = True,
+    metadata_path: str | None = None,
+    batch_ts: dt.datetime | None = None,
 ) -> DataFrame:
     """J7 extract side (re-aimed): landed search responses (JSON) -> items
     partitioned by (language alias, creation month), one landing key per
     (language, creation day). ``mode`` is B2's skip-if-exists or overwrite.
 
-    Items are tagged with the alias of the display language they report;
-    unsupported languages are dropped (A3)."""
+    Items get the alias of the ``language=`` folder that their response lies in; responses in no
+    such folder are tagged with the alias of the display language that each item
+    reports. Unsupported languages are dropped (A3).
+
+    With ``metadata_path`` the file-metadata table there is kept up (B7, B8): rows, folder and whole seconds of this
+    write for each (language, day) that it lands, upserted by that key."""
     from repolens.functions.dates import parse_iso_timestamp
 
-    items = R.read_search_pages(spark, pages_path)
-    rev = F.create_map(*[F.lit(x) for kv in SUPPORTED_LANGUAGES.items() for x in (kv[1], kv[0])])
-    landed = items.withColumn("language", F.try_element_at(rev, F.col("language"))).where(
-        F.col("language").isNotNull()
-    )
-    if languages:
+    items = R.read_search_pages(spark, pages_path, multi_line)
+    if "language" in spark.read.json(pages_path, schema="total_count long").columns:
+        landed = items.where(F.col("language").isin(list(SUPPORTED_LANGUAGES)))
+    else:
+        rev = F.create_map(*[F.lit(x) for kv in SUPPORTED_LANGUAGES.items() for x in (kv[1], kv[0])])
+        landed = items.withColumn("language", F.try_element_at(rev, F.col("language"))).where(F.col("language").isNotNull())
+    if languages is not None:
         landed = landed.where(F.col("language").isin(R.parse_languages(languages)))
     landed = landed.withColumn("created_date", F.to_date(parse_iso_timestamp(F.col("created_at"))))
     landed = landed.select(*[f.name for f in RAW_REPO.fields if f.name != "created_month"])
-    write_partitioned(landed, landed_path, mode=mode, schema=RAW_REPO)
+    if metadata_path is None:
+        write_partitioned(landed, landed_path, mode=mode, schema=RAW_REPO)
+        return landed
+    fresh = landed
+    if mode == "skip":  # the days that this write adds
+        have = spark.read.schema(RAW_REPO).parquet(landed_path) if path_exists(spark, landed_path) else None
+        if have is not None:
+            fresh = landed.join(have.select("language", "created_date").distinct(), ["language", "created_date"], "left_anti")
+    days = cut_lineage(fresh.select("language", "created_date").distinct(), "landed-days")
+    if days.isEmpty():  # nothing new: no write, no row
+        return landed
+    written = Observation("landed")
+    began = time.monotonic()
+    write_partitioned(fresh.observe(written, F.count(F.lit(1)).alias("rows")), landed_path, mode="append" if mode == "skip" else mode, schema=RAW_REPO)
+    seconds = int(time.monotonic() - began)
+    rows = record_landing(spark, landed_path, days, metadata_path, seconds, batch_ts)
+    if rows != written.get["rows"]:
+        raise RuntimeError(f"{written.get['rows']} items were written, {rows} lie in the landed days: another run writes them too")
     return landed
 
 
+def record_landing(spark: SparkSession, landed_path: str, days: DataFrame, metadata_path: str, seconds: int, batch_ts: dt.datetime | None) -> int:
+    """Upsert a row for each landed (language, day): its rows as they lie there now, their folder and the seconds
+    of the write. Returns the rows of those days."""
+    there = spark.read.schema(RAW_REPO).parquet(landed_path).select("language", "created_date", F.col("_metadata.file_path").alias("file"))
+    folder = F.regexp_replace("file", "/[^/]*$", "")
+    new = there.join(days, ["language", "created_date"], "left_semi").groupBy(
+        F.col("language").alias("repo_language"), F.col("created_date").alias("repo_creation_date")
+    ).agg(F.count(F.lit(1)).alias("n_repos"), F.min(folder).alias("file_path"))
+    new = cut_lineage(new, "file-metadata").withColumn("elapsed_time_seconds", F.lit(seconds).cast("long")).withColumn("updated_at", ntz_lit(batch_ts))
+    manifest = V.read_manifest(spark, metadata_path)
+    old = V.load(spark, metadata_path, manifest, "repo_file_metadata", REPO_FILE_METADATA, [])
+    draft = manifest.draft()
+    rows = upsert_file_metadata(old, new).select(*REPO_FILE_METADATA.names)
+    V.write_batch(rows, metadata_path, draft, "repo_file_metadata", [], [""])
+    V.publish(spark, metadata_path, draft)
+    return new.agg(F.sum("n_repos")).first()[0] or 0
+
+
+def landed_file_metadata(spark: SparkSession, metadata_path: str) -> DataFrame:
+    """The file-metadata table that ``land_search_pages`` keeps."""
+    return V.load(spark, metadata_path, V.read_manifest(spark, metadata_path), "repo_file_metadata", REPO_FILE_METADATA, [])
+
+
 def run_repo_info_flow(
     spark: SparkSession,
     pages_path: str | None,
@@ -340,18 +389,6 @@ def run_repo_content_flow(
     return out
 
 
-def run_etl(
-    spark: SparkSession,
-    landed_path: str,
-    out_path: str,
-    as_of,
-    n_last_days: int = 0,
-    **kw,
-) -> dict[str, DataFrame]:
-    """The whole batch over [as_of - n_last_days, as_of]."""
-    return run_repo_info(spark, landed_path, out_path, shift_date(as_of, n_last_days), as_of, as_of=as_of, **kw)
-
-
 def dashboard_reports(
     repo_analytics: DataFrame,
     topic_analytics: DataFrame,

@@ -95,22 +95,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def replace_folder(spark: SparkSession, new: str, path: str) -> None:
-    """Put the finished folder ``new`` in the place of ``path`` by renames. The old one is
-    moved aside first and deleted last, so its data exist at every moment."""
+def swap_partitions(spark: SparkSession, staging: str, path: str, depth: int) -> None:
+    """Put each partition folder of ``staging``, ``depth`` levels down, in the place of its like in ``path`` by
+    renames, and delete ``staging``. An old folder is moved aside, out of readers' sight, until the new one is
+    there. One rename a rebuilt partition, whatever the rows."""
     jvm = spark.sparkContext._jvm
-    target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(new)
+    target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staging)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    aside = jvm.org.apache.hadoop.fs.Path(f"{path}.replaced")
-    had = fs.exists(target)
-    if had:
-        fs.delete(aside, True)
-        if not fs.rename(target, aside):
-            raise OSError(f"{path} can't be moved aside")
-    if not fs.rename(source, target):
-        raise OSError(f"{new} can't be moved to {path}")
-    if had:
-        fs.delete(aside, True)
+    level = [("", source)]
+    for _ in range(depth):
+        level = [(f"{name}/{s.getPath().getName()}".lstrip("/"), s.getPath()) for name, p in level for s in fs.listStatus(p) if "=" in s.getPath().getName()]
+    aside = jvm.org.apache.hadoop.fs.Path(source, "_replaced")
+    for name, folder in level:
+        place = jvm.org.apache.hadoop.fs.Path(target, name)
+        old = jvm.org.apache.hadoop.fs.Path(aside, name)
+        if fs.exists(place):
+            fs.mkdirs(old.getParent())
+            if not fs.rename(place, old):
+                raise OSError(f"{place.toString()} can't be moved aside")
+        else:
+            fs.mkdirs(place.getParent())
+        if not fs.rename(folder, place):
+            raise OSError(f"{folder.toString()} can't be moved to {place.toString()}")
+    fs.delete(source, True)
 
 
 def shared_scratch(spark: SparkSession, name: str) -> str:

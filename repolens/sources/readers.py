@@ -8,10 +8,10 @@ partition columns, so Spark prunes directories instead of opening files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from repolens.functions.dates import ntz_lit, check_date_range
+from repolens.functions.dates import as_date, check_date_range, ntz_lit
 from pyspark.sql import types as T
 
 from repolens.schemas import (
@@ -48,18 +48,24 @@ def partition_filter(
     month_col: str = "created_month",
 ) -> DataFrame:
     """A2: restrict to languages and an inclusive date window (partition
-    pruning); absent partitions simply contribute no rows."""
-    if languages:
-        if isinstance(languages, str):
-            languages = languages.split(",")
-        df = df.where(F.col(language_col).isin(list(languages)))
+    pruning); absent partitions simply contribute no rows. Without ``end`` the
+    window is the day ``start``, without ``start`` it is open; ``languages`` that name none that is
+    supported, or no language at all, are an error."""
+    if languages is not None:
+        df = df.where(F.col(language_col).isin(parse_languages(languages)))
+    if start is not None and end is not None:
+        check_date_range(start, end)
+    # Redundant with the day predicate, but on the partition column: Spark
+    # prunes whole month directories before opening any file.
+    months = month_col in df.columns
     if start is not None:
-        s, e = check_date_range(start, end)
-        df = df.where(F.col(date_col).between(F.lit(s), F.lit(e)))
-        if month_col in df.columns:
-            # Redundant with the day predicate, but on the partition column:
-            # Spark prunes whole month directories before opening any file.
-            df = df.where(F.col(month_col).between(F.lit(s.replace(day=1)), F.lit(e.replace(day=1))))
+        s = as_date(start)
+        df = df.where(F.col(date_col) >= F.lit(s))
+        df = df.where(F.col(month_col) >= F.lit(s.replace(day=1))) if months else df
+    if end is not None or start is not None:
+        e = as_date(end if end is not None else start)
+        df = df.where(F.col(date_col) <= F.lit(e))
+        df = df.where(F.col(month_col) <= F.lit(e.replace(day=1))) if months else df
     return df
 
 
@@ -121,15 +127,37 @@ def read_content(
     return df
 
 
-def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed search responses (one JSON document per file) -> items."""
-    pages = spark.read.schema(SEARCH_PAGE).option("multiLine", True).json(path)
-    return pages.select(F.explode("items").alias("r")).select("r.*")
-
-
-def read_tree_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed recursive file-tree responses."""
-    return spark.read.schema(TREE_PAGE).option("multiLine", True).json(path)
+def read_search_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Landed search responses -> items. A response lies in a ``language=<alias>`` folder, whose alias its items
+    get, or below no such folder, where they keep the language that they report. ``multi_line``: a
+    file is one response; otherwise each line is one, so that large files are split."""
+    pages = spark.read.schema(SEARCH_PAGE).option("multiLine", multi_line).json(path)
+    if "language" not in pages.columns:
+        return pages.select(F.explode("items").alias("r")).select("r.*")
+    return pages.select("language", F.explode("items").alias("r")).select(*[f"r.{f.name}" for f in RAW_REPO_FIELDS], "language")
+
+
+def read_tree_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Landed recursive file-tree responses, one a file or one a line."""
+    return spark.read.schema(TREE_PAGE).option("multiLine", multi_line).json(path)
+
+
+def crawl_list(repo: DataFrame, languages, start, end=None, min_stars: int = 1, limit: int | None = None) -> DataFrame:
+    """A9 over a window: (id, owner, repo, branch, language, created_date) of the repositories of every (language,
+    day) with at least ``min_stars`` stars; with ``limit`` the first of each (language, day) by id."""
+    s, e = check_date_range(start, end)
+    day = F.to_date("creation_date")
+    df = repo.where(F.col("lang_alias").isin(parse_languages(languages)) & (F.col("stars") >= F.lit(min_stars)))
+    # Days are midnights: a repository whose date has a time belongs to no day.
+    df = df.where(F.col("creation_date").between(ntz_lit(s), ntz_lit(e)) & (F.col("creation_date") == day.cast("timestamp_ntz")))
+    df = df.select(
+        "id", "owner", F.col("name").alias("repo"), F.col("default_branch").alias("branch"),
+        F.col("lang_alias").alias("language"), day.alias("created_date"),
+    ).distinct()
+    if limit:
+        rank = F.row_number().over(Window.partitionBy("language", "created_date").orderBy("id", "owner", "repo", "branch"))
+        df = df.withColumn("__rank", rank).where(F.col("__rank") <= limit).drop("__rank")
+    return df
 
 
 def select_repos_to_crawl(

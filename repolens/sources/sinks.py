@@ -13,14 +13,15 @@ Write modes (per landing key = (language, day)):
 * ``overwrite``: replace the keys present in the batch, keep every other
   key. The affected month partitions (found by a semi-join that Spark turns
   into dynamic partition pruning, so untouched months are not even read)
-  are rebuilt in a staging folder under the shared checkpoint location,
-  then swapped in with a dynamic partition overwrite; untouched months are
-  never rewritten.
+  are rebuilt once, in a hidden folder beside the data that readers skip, and
+  put in place by renames; untouched months are never rewritten. A run that is lost
+  between two renames leaves whole months, old or new; run again, it ends the same.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 
 from repolens.operators.reports import record_count
 from repolens.schemas import LANDING_PARTITIONS
-from repolens.session import path_exists, shared_scratch
+from repolens.session import cut_lineage, path_exists, swap_partitions
 
 
 def with_month(df: DataFrame, date_col: str = "created_date", month_col: str = "created_month") -> DataFrame:
@@ -41,17 +42,12 @@ def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
 
 
-def _write(df: DataFrame, path: str, partition_cols: list[str], date_col: str, mode: str) -> None:
+def _write(df: DataFrame, path: str, partition_cols: list[str], date_col: str) -> None:
     # One shuffle on the partition keys, as a REBALANCE: AQE coalesces small
     # (language, month) groups and splits a large one into advisory-sized
     # tasks, so no single task writes a hot partition and files stay big.
     out = df.hint("rebalance", *partition_cols).sortWithinPartitions(*partition_cols, date_col)
-    writer = out.write.partitionBy(*partition_cols)
-    if mode == "overwrite":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.parquet(path)
+    out.write.partitionBy(*partition_cols).mode("append").parquet(path)
 
 
 def write_partitioned(
@@ -71,7 +67,7 @@ def write_partitioned(
         df = with_month(df, date_col)
     keys = list(key_cols)
     if mode == "append":
-        _write(df, path, partition_cols, date_col, "append")
+        _write(df, path, partition_cols, date_col)
         return
     existing = _existing(spark, path, schema or df.schema)
     if mode == "skip":
@@ -82,24 +78,23 @@ def write_partitioned(
             touched = df.select(*partition_cols).distinct()
             have = existing.join(touched, partition_cols, "left_semi").select(*keys).distinct()
             out = df.join(have, keys, "left_anti")
-        _write(out, path, partition_cols, date_col, "append")
+        _write(out, path, partition_cols, date_col)
         return
     if mode != "overwrite":
         raise ValueError("mode must be 'append', 'skip' or 'overwrite'")
     if existing is None:
-        _write(df, path, partition_cols, date_col, "overwrite")
+        _write(df, path, partition_cols, date_col)
         return
-    touched = df.select(*partition_cols).distinct()
-    replaced = df.select(*keys).distinct()
+    # The batch's keys once, narrow; its rows once, in the write of the rebuilt months.
+    found = cut_lineage(df.select(*dict.fromkeys(partition_cols + keys)).distinct(), "landing-keys")
     kept = (
-        existing.join(touched, partition_cols, "left_semi")
-        .join(replaced, keys, "left_anti")
+        existing.join(found.select(*partition_cols).distinct(), partition_cols, "left_semi")
+        .join(found.select(*keys).distinct(), keys, "left_anti")
         .select(*df.columns)
     )
-    staging = shared_scratch(spark, "staging")
-    _write(kept.unionByName(df), staging, partition_cols, date_col, "overwrite")
-    staged = spark.read.schema(schema or df.schema).parquet(staging).select(*df.columns)
-    _write(staged, path, partition_cols, date_col, "overwrite")
+    staging = f"{path.rstrip('/')}/.rebuilt-{uuid.uuid4().hex[:12]}"
+    _write(kept.unionByName(df), staging, partition_cols, date_col)
+    swap_partitions(spark, staging, path, len(partition_cols))
 
 
 def file_metadata(

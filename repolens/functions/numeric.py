@@ -6,9 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def round_avg(c: Column, scale: int = 0) -> Column:
-    return F.round(F.avg(c), scale)
-
 
 def ceil_avg(c: Column) -> Column:
     return F.ceil(F.avg(c)).cast("long")

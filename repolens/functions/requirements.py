@@ -67,16 +67,26 @@ _SEP = "\u0001"
 _RE_LEADING_RUNS = r"(?s)^\s*([\p{L}\p{N}_\-\.]+)\s*([><=~]+)?\s*([\p{L}\p{N}_\.]+)?.*$"
 
 
-def requirement_fields_fast(line: Column) -> tuple[Column, Column, Column]:
-    """Same result as ``requirement_fields`` for lines that start with a
-    letter, with a single regex evaluation per line."""
-    parts = F.split(F.regexp_replace(line, _RE_LEADING_RUNS, f"$1{_SEP}$2{_SEP}$3"), _SEP)
+def requirement_parts(line: Column) -> Column:
+    """[package, operator, version] of a line that starts with a letter, '' where one is missing. To be evaluated
+    inside the array of a file's lines: behind the explode its result is a column, so that no
+    filter or projection evaluates the pattern again."""
+    return F.split(F.regexp_replace(line, _RE_LEADING_RUNS, f"$1{_SEP}$2{_SEP}$3"), _SEP)
+
+
+def fields_of_parts(parts: Column) -> tuple[Column, Column, Column]:
+    """(package, operator, version) of ``requirement_parts``."""
     package = F.nullif(parts.getItem(0), F.lit(""))
     op = F.nullif(F.try_element_at(parts, F.lit(2)), F.lit(""))
     version = F.nullif(F.try_element_at(parts, F.lit(3)), F.lit(""))
     return package, F.when(op.isin(VERSION_OPERATORS), op), version
 
 
+def requirement_fields_fast(line: Column) -> tuple[Column, Column, Column]:
+    """Same result as ``requirement_fields`` for lines that start with a letter."""
+    return fields_of_parts(requirement_parts(line))
+
+
 def clean_version(version: Column) -> Column:
     """Default '0.0.0'; longer than 25 characters -> NULL."""
     v = F.coalesce(version, F.lit(DEFAULT_VERSION))

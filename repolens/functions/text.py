@@ -23,7 +23,3 @@ def has_topic(topics_joined: Column) -> Column:
 def split_topics(topics_joined: Column) -> Column:
     """Joined topics back to an array; '' becomes [NA]."""
     return F.split(F.when(topics_joined == "", F.lit(NA)).otherwise(topics_joined), RE_TOPICS_SPLIT)
-
-
-def lower_path(path: Column) -> Column:
-    return F.lower(path)

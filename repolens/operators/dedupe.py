@@ -70,19 +70,6 @@ def dedupe_first(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataF
     )
 
 
-def dedupe_first_in_file_order(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keep the first row per key in landed-file order (file path, then row
-    index inside the file) (G1). ``df`` must come straight from a file scan."""
-    tagged = df.withColumn("__file", F.col("_metadata.file_path")).withColumn(
-        "__row", F.col("_metadata.row_index")
-    )
-    out = dedupe_first(tagged, keys, ["__file", "__row"])
-    return out.drop("__file", "__row")
-
-
-def distinct_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
-    """Distinct rows (partial + final hash aggregate)."""
-    return df.dropDuplicates(subset) if subset else df.distinct()
 
 
 def best_version_per_package(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,10 +14,6 @@ def semi_join(df: DataFrame, keys: DataFrame, left_key: str = "id", right_key: s
     return df.join(k, df[left_key] == k["__k"], "left_semi")
 
 
-def semi_join_all(df: DataFrame, restrictions: list[DataFrame], left_key: str = "id", right_key: str = "repo_id") -> DataFrame:
-    """Intersection of several key restrictions as chained semi-joins."""
-    return reduce(lambda acc, r: semi_join(acc, r, left_key, right_key), restrictions, df)
-
 
 def repos_with_all(
     items: DataFrame, values: list[str], key: str = "repo_id", item: str = "package"
@@ -40,11 +34,6 @@ def repos_with_all(
     )
 
 
-def topic_repo_join(repo_topic: DataFrame, repo: DataFrame) -> DataFrame:
-    """Inner join ``repo_topic.repo_id = repo.id``."""
-    r = repo.withColumnRenamed("language", "repo_language")
-    return repo_topic.join(r, repo_topic["repo_id"] == r["id"], "inner")
-
 
 def repos_with_files(repos: DataFrame, files: DataFrame, key: str = "repo_id") -> DataFrame:
     """Every selected repository, with its files or one row of NULLs."""

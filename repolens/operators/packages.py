@@ -39,24 +39,15 @@ def parse_requirements(
         F.col("repo_id"), lang.alias("language"), R.decode_base64_text(F.col(content_col)).alias("__text")
     )
     valid = F.coalesce(F.col("__text") != F.lit(""), F.lit(False))
+    parsed = F.transform(F.filter(R.content_lines(F.col("__text")), R.starts_with_letter), R.requirement_parts)
     lines = decoded.select(
         "repo_id",
         "language",
-        valid.alias("__valid"),
-        F.explode(
-            F.when(valid, R.content_lines(F.col("__text"))).otherwise(F.array(F.lit(None).cast("string")))
-        ).alias("__line"),
+        F.explode(F.when(valid, parsed).otherwise(F.array(F.lit(None).cast("array<string>")))).alias("__parts"),
     )
-    lines = lines.where(~F.col("__valid") | R.starts_with_letter(F.col("__line")))
-    package, operator, version = R.requirement_fields_fast(F.col("__line"))
-    return lines.select(
-        "repo_id",
-        "language",
-        package.alias("package"),
-        version.alias("version"),
-        operator.alias("operator"),
-        "__valid",
-    ).where(~F.col("__valid") | F.col("package").isNotNull()).drop("__valid")
+    package, operator, version = R.fields_of_parts(F.col("__parts"))
+    rows = lines.where(F.col("__parts").isNull() | package.isNotNull())
+    return rows.select("repo_id", "language", package.alias("package"), version.alias("version"), operator.alias("operator"))
 
 
 def prepare_packages(parsed: DataFrame) -> DataFrame:

@@ -64,8 +64,3 @@ def append_aligned(
 ) -> DataFrame:
     """Append ``batch`` to ``target`` after aligning it to the target schema."""
     return target.unionByName(align_to(batch, target.schema, defaults))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    """UNION ALL by name, missing columns filled with NULL."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -1073,6 +1073,47 @@ def q_etl_marts(spark, d):
     return marts["repo_analytics"].drop("updated_at")
 
 
+# J11 ------------------------------------------------------------------------
+PAGE_PACKAGE_FLOOR = 10
+
+
+def _page_sql() -> str:
+    def of(name: str, select: str, where: str = "") -> str:
+        return f"SELECT {select} FROM ({SQL[name]}) {where}"
+
+    head = _with(B.REPO_SQL, B.REPO_TOPIC_SQL, TOPIC_ROLLUP_CTE, TOPICS_DATA_CTE.format(min_repos=1))
+    cloud = f"""{head},
+head AS (SELECT * FROM topics_data WHERE n_repos >= 10 ORDER BY n_repos DESC, topic, language LIMIT 100)
+SELECT topic, min(n_repos) AS n_repos FROM head GROUP BY topic HAVING topic <> '__NA__'"""
+    kpis = ["n_repos", "n_owners", "language", "topics", "stars", "watchers", "forks", "open_issues"]
+    n = "CAST(n_repos AS DOUBLE) AS value"
+    parts = [of("kpi_report", f"'kpi' AS frame, '{k}' AS key, NULL::VARCHAR AS other, CAST({k} AS DOUBLE) AS value") for k in kpis]
+    years = "concat_ws('-', creation_start_year, creation_end_year, last_commit_start_year, last_commit_end_year)"
+    parts += [
+        of("filters_info", f"'filters', language, {years}, {n}"),
+        of("language_options", f"'language_options', language, NULL, {n}"),
+        f"SELECT 'topic_options', topic, NULL, NULL FROM ({head} SELECT DISTINCT topic FROM topics_data WHERE n_repos >= 10)",
+        f"SELECT 'topic_cloud', topic, NULL, {n} FROM ({cloud})",
+        of("corr_rollup", "'corr', row, col, corr"),
+        of("repos_by_year_language", f"'by_' || dimension, key, NULL, {n}"),
+        of("licenses_by_repos", f"'by_license', license, NULL, {n}"),
+        f"""SELECT 'top_licenses', CASE WHEN rk <= 5 THEN license ELSE 'Other' END, NULL, CAST(sum(n_repos) AS DOUBLE)
+FROM (SELECT *, row_number() OVER (ORDER BY n_repos DESC, license) AS rk FROM ({SQL["licenses_by_repos"]}) WHERE license IS NOT NULL AND license <> '__NA__') GROUP BY 2""",
+        of("has_property", f"property, answer, NULL, {n}"),
+        of("package_freq", "'packages', package, language, CAST(freq AS DOUBLE)"),
+        of("package_freq", "'package_options', package, NULL, NULL", f"WHERE freq >= {PAGE_PACKAGE_FLOOR} AND package IS NOT NULL"),
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("dashboard_page", _page_sql())
+def q_dashboard_page(spark, d):
+    return P.dashboard_page(
+        _rollup_table(spark, d), _topic_rollup_table(spark, d), B.package_t(spark, d),
+        creation_date_range=F8_CREATION, last_commit_date_range=F8_COMMIT, languages=F8_LANGS,
+    )
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(Q) | flows.QUERIES
 

@@ -24,14 +24,18 @@ from repolens.operators.joins import (
 )
 from repolens.operators.packages import package_table
 from repolens.operators.reports import (
+    categorical_top_n,
     corr_matrix,
     filter_topics,
     filters_info,
+    has_properties,
     kpi_report,
     language_options,
     licenses_by_repos,
     topic_cloud,
+    package_options,
     packages_data,
+    repos_by_many,
     rollup_filtered,
     topic_options,
     topics_data,
@@ -419,3 +423,65 @@ def dashboard_reports(
     if package is not None:
         out["packages"] = packages_data(package)
     return out
+
+
+#: The four splits of the page: flag sum and label.
+PAGE_SPLITS = [
+    ("n_repos_with_license", "has_license"), ("n_archived_repos", "is_archived"),
+    ("n_repos_with_wiki", "has_wiki"), ("n_repos_with_topic", "has_topic"),
+]
+PAGE_CHARTS = ["creation_year", "last_commit_year", "language", "license"]
+
+
+def dashboard_page(
+    repo_analytics: DataFrame,
+    topic_analytics: DataFrame,
+    package: DataFrame | None = None,
+    creation_date_range=None,
+    last_commit_date_range=None,
+    languages=None,
+    topic_languages=None,
+    top_licenses: int = 5,
+    top_topics: int = 100,
+) -> DataFrame:
+    """All frames of the page as rows (frame, key, other, value).
+
+    The filtered roll-up and the topics are written once; of the roll-up, all
+    charts come from one grouping-sets pass, the splits, the KPIs and the
+    correlations from one pass each. The tables themselves are read twice
+    (``repo_analytics``: filters and filtered roll-up) and once (topics)."""
+    language_list = list(SUPPORTED_LANGUAGES.values())
+    filters = filters_info(repo_analytics)
+    repos = cut_lineage(rollup_filtered(repo_analytics, creation_date_range, last_commit_date_range, languages), "page-repos")
+    all_topics = cut_lineage(topics_data(topic_analytics, 1), "page-topics")
+    topics = filter_topics(all_topics, language_list, topic_languages)
+    charts = cut_lineage(repos_by_many(repos, PAGE_CHARTS), "page-charts")
+    none = F.lit(None).cast("string")
+
+    def rows(frame: str, df: DataFrame, key, value, other=none) -> DataFrame:
+        return df.select(F.lit(frame).alias("frame"), key.cast("string").alias("key"), other.cast("string").alias("other"), value.cast("double").alias("value"))
+
+    c = F.col
+    kpi = kpi_report(repos, topics)
+    kpi = kpi.select(F.inline(F.array(*[F.struct(F.lit(k).alias("name"), c(k).cast("double").alias("v")) for k in kpi.columns])))
+    out = [
+        rows("kpi", kpi, c("name"), c("v")),
+        rows("filters", filters, c("language"), c("n_repos"), F.concat_ws("-", *[c(f"{x}_{y}_year") for x in ("creation", "last_commit") for y in ("start", "end")])),
+        rows("language_options", language_options(filters), c("language"), c("n_repos")),
+        rows("topic_options", topic_options(all_topics, language_list, topic_languages), c("topic"), F.lit(None)),
+        rows("topic_cloud", topic_cloud(topics, top_topics), c("topic"), c("n_repos")),
+        rows("corr", corr_matrix(repos), c("row"), c("corr"), c("col")),
+    ]
+    out += [rows(f"by_{x}", charts.where(c("dimension") == x), c("key"), c("n_repos")) for x in PAGE_CHARTS]
+    licences = charts.where(c("dimension") == "license").select(c("key").alias("license"), "n_repos")
+    out.append(rows("top_licenses", categorical_top_n(licences, "license", "n_repos", top_licenses), c("license"), c("n_repos")))
+    splits = has_properties(repos, PAGE_SPLITS)
+    out += [rows(label, splits.where(c("property") == label), c("answer"), c("n_repos")) for _, label in PAGE_SPLITS]
+    if package is not None:
+        freq = cut_lineage(packages_data(package), "page-packages")
+        out.append(rows("packages", freq, c("package"), c("freq"), c("language")))
+        out.append(rows("package_options", package_options(freq), c("package"), F.lit(None)))
+    page = out[0]
+    for part in out[1:]:
+        page = page.unionByName(part)
+    return page

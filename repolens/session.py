@@ -142,7 +142,3 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     path = shared_scratch(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def default_sf_dir() -> str:
-    return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

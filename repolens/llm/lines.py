@@ -4,7 +4,8 @@ A line's key is the line without white space at its ends and with A-Z lower-case
 keys of fewer than ``min_chars`` code points are never dropped. Three tables hold the
 state, and every operation returns a new state, so an insertion can be undone:
 
-* postings (hi, lo, doc): which document holds which key, exact;
+* postings (hi, lo, doc, part): which document holds which key, exact; part: a hash of the text, so that the
+  rows of an id that many rows share (or lack) stay apart;
 * counts (hi, lo, docs, first): the reference count of a key and its smallest document;
 * filters (shard, bits, table): a cuckoo filter of the keys of each shard of the hashes.
 
@@ -19,7 +20,7 @@ splits. A shard holds a bounded number of keys (``SHARD_KEYS``) as there are mor
 shards the more keys there are.
 
 A null or empty text is one empty line. A document id may repeat: its rows are one document.
-A null id is a document larger than all others.
+A null id is a document larger than all others, whose rows are handled text by text.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from repolens.session import cut_lineage
 
 MIN_CHARS = 10
 SHARD_KEYS = 100_000
+#: Batches in which ``dedup`` grows its index.
+BATCHES = 2
 BLANK = b" \t\n\x0b\x0c\r"
 _LAST = (1 << 63) - 1
 
@@ -60,17 +63,21 @@ def doc_key(column: str) -> Column:
 
 
 def postings(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """(hi, lo, doc): the keys of the lines of every document, once per row."""
+    """(hi, lo, doc, part): the keys of the lines of every document, once per row."""
 
     def held(batches):
         for b in batches:
-            ids = b.column(0).to_pylist()
-            found = [{k for k in _keys(t.as_buffer().to_pybytes() if t.is_valid else b"", min_chars)[1] if k} for t in b.column(1)]
+            found = [{k for k in _keys(t.as_buffer().to_pybytes() if t.is_valid else b"", min_chars)[1] if k} for t in b.column(2)]
             hashes = np.frombuffer(b"".join(_digest(f) for f in found), ">i8").reshape(-1, 2).astype(np.int64)
-            docs_ = np.repeat(np.array(ids, np.int64), [len(f) for f in found])
-            yield pa.RecordBatch.from_arrays([pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), pa.array(docs_)], names=["hi", "lo", "doc"])
+            n = [len(f) for f in found]
+            columns = [hashes[:, 0], hashes[:, 1], *(np.repeat(b.column(i).to_numpy(), n) for i in (0, 1))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["hi", "lo", "doc", "part"])
 
-    return docs.select(doc_key(key).alias("doc"), F.col(text).cast("binary")).mapInArrow(tidied(held), "hi long, lo long, doc long")
+    return docs.select(doc_key(key).alias("doc"), _part(text).alias("part"), F.col(text).cast("binary")).mapInArrow(tidied(held), "hi long, lo long, doc long, part long")
+
+
+def _part(text: str) -> Column:
+    return F.xxhash64(F.col(text).cast("string"))
 
 
 @dataclass
@@ -85,7 +92,7 @@ class Index:
 
 def empty(spark: SparkSession, bits: int = 4) -> Index:
     return Index(
-        spark.createDataFrame([], "hi long, lo long, doc long"),
+        spark.createDataFrame([], "hi long, lo long, doc long, part long"),
         spark.createDataFrame([], "hi long, lo long, docs long, first long"),
         spark.createDataFrame([], "shard long, `table` binary"),
         bits,
@@ -96,8 +103,10 @@ def _shard(bits: int) -> Column:
     return F.shiftrightunsigned("hi", 64 - bits).alias("shard")
 
 
-def _counted(held: DataFrame) -> DataFrame:
-    """Counts of distinct postings."""
+def _counted(held: DataFrame, once: bool = False) -> DataFrame:
+    """Counts of the documents of postings; ``once``: no document has two rows."""
+    if not once:
+        held = held.select("hi", "lo", "doc").distinct()
     return held.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("docs"), F.min("doc").alias("first"))
 
 
@@ -134,25 +143,32 @@ def probe(keys: DataFrame, filters: DataFrame, bits: int) -> DataFrame:
     return keys.select(_shard(bits), "hi", "lo").groupBy("shard").cogroup(filters.groupBy("shard")).applyInArrow(asked, "hi long, lo long, known boolean")
 
 
-def insert(index: Index, docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, shard_keys: int = SHARD_KEYS) -> Index:
-    """The index with ``docs`` added. A document that it holds already gains its new keys."""
+def insert(index: Index, docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, shard_keys: int = SHARD_KEYS, new_ids: bool = False, once: bool = False) -> Index:
+    """The index with ``docs`` added. A document that it holds already gains its new keys. ``new_ids``: the
+    index holds none of them; ``once``: no id is in two rows."""
     new = postings(docs, key, text, min_chars)
     if index.postings.isEmpty():
         held = cut_lineage(new, "line-postings")
-        counts = cut_lineage(_counted(held.distinct() if _repeats(docs, key) else held), "line-counts")
+        counts = cut_lineage(_counted(held, once or not _repeats(docs, key)), "line-counts")
         bits = max(4, int(counts.count() // shard_keys).bit_length())
         return Index(held, counts, cut_lineage(build_filters(counts, bits), "line-filters"), bits)
-    fresh = cut_lineage(new.distinct().join(index.postings, ["hi", "lo", "doc"], "left_anti"), "line-postings")
-    gained = cut_lineage(_counted(fresh), "line-gains")
-    asked = gained.join(probe(gained, index.filters, index.bits), ["hi", "lo"])
+    if new_ids:
+        added = fresh = cut_lineage(new, "line-postings")
+    else:
+        added = cut_lineage(new.distinct().join(index.postings, ["hi", "lo", "doc", "part"], "left_anti"), "line-postings")
+        fresh = added.select("hi", "lo", "doc").distinct().join(index.postings, ["hi", "lo", "doc"], "left_anti")
+    gained = cut_lineage(_counted(fresh, once and new_ids), "line-gains")
+    asked = cut_lineage(gained.join(probe(gained, index.filters, index.bits), ["hi", "lo"]), "line-asked")
     # Keys that the filters know may be in the counts; the others are new for certain.
-    known = asked.filter("known").drop("known")
-    met = index.counts.join(known.select("hi", "lo", F.col("docs").alias("more"), F.col("first").alias("other")), ["hi", "lo"], "full")
+    known = asked.filter("known").select("hi", "lo", F.col("docs").alias("more"), F.col("first").alias("other"))
+    unseen = asked.filter("not known").drop("known")
+    met = index.counts.join(known, ["hi", "lo"], "full")
     merged = met.select("hi", "lo", (F.coalesce("docs", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("docs"), F.least("first", "other").alias("first"))
-    counts = cut_lineage(merged.unionByName(asked.filter("not known").drop("known")), "line-counts")
-    added = gained.join(index.counts, ["hi", "lo"], "left_anti")
-    filters = cut_lineage(_updated(index, added, counts, cuckoo.insert), "line-filters")
-    return Index(cut_lineage(index.postings.unionByName(fresh), "line-postings"), counts, filters, index.bits)
+    counts = cut_lineage(merged.unionByName(unseen), "line-counts")
+    # Of the known keys, those without a count were mistaken for others.
+    mistaken = known.join(index.counts, ["hi", "lo"], "left_anti").select("hi", "lo")
+    filters = cut_lineage(_updated(index, unseen.select("hi", "lo").unionByName(mistaken), counts, cuckoo.insert), "line-filters")
+    return Index(index.postings.unionByName(added), counts, filters, index.bits)
 
 
 def delete(index: Index, ids: DataFrame, key: str = "doc_id") -> Index:
@@ -161,7 +177,7 @@ def delete(index: Index, ids: DataFrame, key: str = "doc_id") -> Index:
     lost = cut_lineage(index.postings.join(gone, "doc", "left_semi"), "line-lost")
     left = cut_lineage(index.postings.join(gone, "doc", "left_anti"), "line-postings")
     touched = lost.select("hi", "lo").distinct()
-    again = _counted(left.join(touched, ["hi", "lo"], "left_semi").distinct())
+    again = _counted(left.join(touched, ["hi", "lo"], "left_semi"))
     counts = cut_lineage(index.counts.join(touched, ["hi", "lo"], "left_anti").unionByName(again), "line-counts")
     dead = touched.join(counts, ["hi", "lo"], "left_anti")
     filters = cut_lineage(_updated(index, dead, counts, cuckoo.delete), "line-filters")
@@ -194,12 +210,12 @@ def _repeats(docs: DataFrame, key: str) -> bool:
 
 
 def drops(index: Index) -> DataFrame:
-    """(doc, hashes): the keys whose lines go from a document, as 16-byte hashes; keys that
-    at least two documents hold go from all but the smallest."""
+    """(doc, part, hashes): the keys whose lines go from a document's text, as 16-byte hashes; keys that
+    at least two documents hold go from all but the smallest. A row has the keys of one text."""
     shared = index.counts.filter("docs >= 2").select("hi", "lo", "first")
     gone = index.postings.join(shared, ["hi", "lo"]).filter("doc != first")
     hashes = F.concat(F.unhex(F.lpad(F.hex("hi"), 16, "0")), F.unhex(F.lpad(F.hex("lo"), 16, "0")))
-    return gone.groupBy("doc").agg(F.collect_set(hashes).alias("hashes"))
+    return gone.groupBy("doc", "part").agg(F.collect_set(hashes).alias("hashes"))
 
 
 def apply(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
@@ -207,8 +223,8 @@ def apply(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "te
     and n_dropped. The last two replace columns of their names."""
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     at = names.index(text)
-    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], doc_key(key).alias("doc"))
-    both = inner.join(gone, "doc", "left").drop("doc")
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], doc_key(key).alias("doc"), _part(text).alias("part"))
+    both = inner.join(gone, ["doc", "part"], "left").drop("doc", "part")
     fields = [f for f in both.schema.fields if f.name != "hashes"]
     fields[at] = T.StructField(f"c{at}", T.StringType())
 
@@ -237,7 +253,12 @@ def apply(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "te
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "n_lines", "n_dropped")
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """Line dedup of a whole table: an index of it, and its drops applied."""
-    index = insert(empty(docs.sparkSession), docs, key, text, min_chars)
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, batches: int = BATCHES) -> DataFrame:
+    """Line dedup of a whole table: the index grows by batches of documents, dealt by a hash of their ids, each of
+    which asks the filters of those before; then the index's drops are applied."""
+    once = not _repeats(docs, key)
+    index = empty(docs.sparkSession)
+    batch = F.pmod(F.xxhash64(doc_key(key)), F.lit(batches))
+    for i in range(batches):
+        index = insert(index, docs.filter(batch == i), key, text, min_chars, new_ids=True, once=once)
     return apply(docs, drops(index), key, text, min_chars)

@@ -95,13 +95,9 @@ def branch_fallback(
     """Pick the tree of the requested branch, else the repository's
     default branch. ``trees`` holds (repo_id, branch, ...) entries; the
     result is ``repos`` plus ``tree_branch`` (NULL when neither exists)."""
-    avail = trees.select(F.col("repo_id").alias("__rid"), F.col("branch").alias("__b")).distinct()
-    a1 = avail.select(F.col("__rid").alias("__r1"), F.col("__b").alias("__b1"))
-    a2 = avail.select(F.col("__rid").alias("__r2"), F.col("__b").alias("__b2"))
-    out = repos.join(
-        a1, (repos[repo_key] == a1["__r1"]) & (repos[branch_col] == a1["__b1"]), "left"
-    )
-    out = out.join(
-        a2, (out[repo_key] == a2["__r2"]) & (out[default_col] == a2["__b2"]), "left"
-    )
-    return out.withColumn("tree_branch", F.coalesce("__b1", "__b2")).drop("__r1", "__b1", "__r2", "__b2")
+    # One row a repository with the few branches that it has landed: one join.
+    landed = trees.groupBy(F.col("repo_id").alias("__rid")).agg(F.collect_set("branch").alias("__branches"))
+    out = repos.join(landed, repos[repo_key] == landed["__rid"], "left")
+    asked, default = F.col(branch_col), F.col(default_col)
+    found = F.when(F.array_contains("__branches", asked), asked).when(F.array_contains("__branches", default), default)
+    return out.withColumn("tree_branch", found).drop("__rid", "__branches")

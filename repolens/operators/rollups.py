@@ -105,6 +105,19 @@ def top_k_values(df: DataFrame, col: str, k: int = TOP_K_VALUES_TO_KEEP) -> Data
     return top.union(na).distinct()
 
 
+def top_k_by_column(df: DataFrame, cols: list[str], k: int = TOP_K_VALUES_TO_KEEP) -> dict[str, DataFrame]:
+    """``top_k_values`` of several columns from one count: one row a column and input row is counted map-side by
+    (column, value), and the columns' heads share its exchange."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("category"), F.col(c).cast("string").alias("value")) for c in cols])
+    counts = df.select(F.explode(pairs).alias("p")).groupBy("p.category", "p.value").agg(F.count(F.lit(1)).alias("n"))
+    na = df.sparkSession.range(1).select(F.lit(NA).alias("value"))
+    heads = {}
+    for c in cols:
+        top = counts.orderBy((F.col("category") == c).desc(), F.col("n").desc(), F.col("value").asc_nulls_last()).limit(k)
+        heads[c] = top.where(F.col("category") == c).select("value").union(na).distinct().select(F.col("value").alias(c))
+    return heads
+
+
 def keep_top_k(df: DataFrame, cols: list[str], k: int = TOP_K_VALUES_TO_KEEP) -> DataFrame:
     """Replace each value of ``cols`` outside its top-k set (plus
     ``__NA__``) by ``Other``; NULL becomes ``Other`` as well.
@@ -113,8 +126,8 @@ def keep_top_k(df: DataFrame, cols: list[str], k: int = TOP_K_VALUES_TO_KEEP) ->
     side is never shuffled for this step.
     """
     out = df
-    for col in cols:
-        keep = top_k_values(df, col, k).select(F.col(col).alias(f"__keep_{col}"))
+    for col, values in top_k_by_column(df, cols, k).items():
+        keep = values.select(F.col(col).alias(f"__keep_{col}"))
         out = out.join(F.broadcast(keep), out[col] == keep[f"__keep_{col}"], "left")
         out = out.withColumn(
             col, F.when(F.col(f"__keep_{col}").isNotNull(), F.col(col)).otherwise(F.lit(OTHER))

@@ -27,7 +27,7 @@ from repolens.functions.dates import as_date, ntz_lit
 from repolens.operators.joins import branch_fallback, content_lookup, files_by_pattern, repos_with_files, tree_blobs
 from repolens.operators.packages import package_table
 from repolens.schemas import CONTENT, DEFAULT_PATH_PATTERN, FULL_PATH_PATTERN, PACKAGE, STRUCTURE, TABLE_KEYS
-from repolens.session import cut_lineage, path_exists
+from repolens.session import cut_lineage, own_scratch, path_exists
 from repolens.sources import readers as R
 from repolens.sources import versions as V
 from repolens.sources.sinks import write_partitioned
@@ -126,6 +126,7 @@ def package(spark: SparkSession, root: str, manifest: V.Manifest | None = None,
     return V.load(spark, root, manifest or V.read_manifest(spark, root), "package", PACKAGE, ["in_bucket"], keep)
 
 
+@own_scratch
 def run_packages(
     spark: SparkSession,
     content_path: str,

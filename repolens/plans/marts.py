@@ -31,7 +31,7 @@ from repolens.functions.dates import ntz_lit
 from repolens.operators.rollups import repo_rollup, topic_rollup
 from repolens.operators.tables import build_tables, normalize_repos
 from repolens.schemas import NA, OTHER, SUPPORTED_LANGUAGES, TABLE_KEYS, TABLE_SCHEMAS, TOP_K_VALUES_TO_KEEP
-from repolens.session import cut_lineage
+from repolens.session import cut_lineage, own_scratch
 from repolens.sources import versions as V
 
 BY_MONTH, BY_BUCKET = ["in_month"], ["in_bucket"]
@@ -107,6 +107,7 @@ def with_top_names(repo: DataFrame, top: DataFrame) -> DataFrame:
     return out
 
 
+@own_scratch
 def refresh_marts(
     spark: SparkSession,
     root: str,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -126,7 +127,32 @@ def shared_scratch(spark: SparkSession, name: str) -> str:
     base = base.rstrip("/")
     import uuid
 
-    return f"{base}/repolens-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/repolens-{name}-{uuid.uuid4().hex[:12]}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+#: Folders named inside the jobs that are running, innermost last.
+_OPEN: list[list[str]] = []
+
+
+def own_scratch(job):
+    """A job (first argument: a session, or a DataFrame of one) whose result is written when it ends: the
+    intermediates that it wrote are deleted then, whether it ends well or not."""
+
+    @functools.wraps(job)
+    def run(first, *args, **kwargs):
+        spark = first if isinstance(first, SparkSession) else first.sparkSession
+        _OPEN.append([])
+        try:
+            return job(first, *args, **kwargs)
+        finally:
+            for path in _OPEN.pop():
+                p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+    return run
 
 
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:

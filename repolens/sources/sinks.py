@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from repolens.operators.reports import record_count
 from repolens.schemas import LANDING_PARTITIONS
-from repolens.session import cut_lineage, path_exists, swap_partitions
+from repolens.session import cut_lineage, own_scratch, path_exists, swap_partitions
 
 
 def with_month(df: DataFrame, date_col: str = "created_date", month_col: str = "created_month") -> DataFrame:
@@ -50,6 +50,7 @@ def _write(df: DataFrame, path: str, partition_cols: list[str], date_col: str) -
     out.write.partitionBy(*partition_cols).mode("append").parquet(path)
 
 
+@own_scratch
 def write_partitioned(
     df: DataFrame,
     path: str,

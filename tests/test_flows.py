@@ -152,6 +152,15 @@ def test_a_batch_rewrites_only_the_months_it_touches(spark, tmp_path):
     assert sorted(map(str, marts(spark, root)["repo"].collect())) == rows["repo"]
 
 
+def test_jobs_delete_what_they_wrote_on_the_way(spark, tmp_path):
+    base = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    batch = item_rows(spark, [("go", _item(1, None, "2024-01-02T10:00:00Z"))])
+    before = set(os.listdir(base))
+    found = refresh_marts(spark, str(tmp_path), batch, dt.date(2024, 6, 1), dt.datetime(2024, 3, 1))
+    assert set(os.listdir(base)) == before
+    assert found["repo"].count() == 1
+
+
 def test_top_names_follow_the_counts_of_all_months(spark, tmp_path):
     root, as_of, ts = str(tmp_path), dt.date(2024, 6, 1), dt.datetime(2024, 3, 1)
     items = [("go", _item(i, None, f"2024-01-{i:02d}T01:00:00Z", license_name=name)) for i, name in enumerate(["A", "A", "A", "B", "B", "C", None], 1)]

@@ -148,8 +148,8 @@ def _linked(classes: DataFrame, model: Quantiser, cosine: float, probes: int, bl
             member = np.arange(len(l_)) - np.repeat(np.cumsum(n) - n, n)
             mine = (ids[row] * 7919 + 13) % (parts[l_] * probes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(l_.astype(np.int32)), pa.array(member.astype(np.int32)), pa.array(mine.astype(np.int32)), pa.array(ids[row]), b.column("unit").take(pa.array(row))],
-                names=["list", "member", "query", "id", "unit"],
+                [pa.array(l_.astype(np.int32)), pa.array(member.astype(np.int32)), pa.array(mine.astype(np.int32)), pa.array(ids[row]), *(b.column(c).take(pa.array(row)) for c in ("unit", "copies")), pa.array(lists[row, 0].astype(np.int32))],
+                names=["list", "member", "query", "id", "unit", "copies", "home"],
             )
 
     def told(batches):
@@ -159,9 +159,10 @@ def _linked(classes: DataFrame, model: Quantiser, cosine: float, probes: int, bl
             row = np.repeat(np.arange(len(lists)), n)
             query = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             member = (ids * 104729 + 5) % parts[lists]
+            asks = pa.array([x.tobytes() for x in shared.value.nearest(_matrix(b.column("unit")), probes).astype(np.int32)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(lists[row]), pa.array(member[row].astype(np.int32)), pa.array(query.astype(np.int32)), *(b.column(c).take(pa.array(row)) for c in ("id", "unit", "copies", "codes", "left_out"))],
-                names=["list", "member", "query", "id", "unit", "copies", "codes", "left_out"],
+                [pa.array(lists[row]), pa.array(member[row].astype(np.int32)), pa.array(query.astype(np.int32)), *(b.column(c).take(pa.array(row)) for c in ("id", "unit", "copies", "codes", "left_out")), asks.take(pa.array(row))],
+                names=["list", "member", "query", "id", "unit", "copies", "codes", "left_out", "asks"],
             )
 
     radius = np.sqrt(max(0.0, 2 - 2 * cosine))
@@ -173,6 +174,8 @@ def _linked(classes: DataFrame, model: Quantiser, cosine: float, probes: int, bl
             copies, left = members["copies"].to_numpy(), members["left_out"].to_numpy()
             codes = np.frombuffer(b"".join(members["codes"].to_pylist()), np.uint8).reshape(len(y), -1)
             x, xid = _matrix(queries["unit"]), queries["id"].to_numpy()
+            x_copies, home = queries["copies"].to_numpy(), queries["home"].to_numpy()
+            asks = np.frombuffer(b"".join(members["asks"].to_pylist()), np.int32).reshape(len(y), -1)
             list_ = members["list"][0].as_py()
             for s in range(0, len(x), 256):
                 q, qid = x[s : s + 256], xid[s : s + 256]
@@ -183,20 +186,24 @@ def _linked(classes: DataFrame, model: Quantiser, cosine: float, probes: int, bl
                 i, j = i[good], j[good]
                 if not len(i):
                     continue
-                found = np.bincount(i, copies[j], len(q)).astype(np.int64)
-                some = np.flatnonzero(found)
+                # The member finds the query itself if it asks the query's list; else its end counts here.
+                once = ~(asks[j] == home[s + i][:, None]).any(1)
                 ids = np.concatenate([qid, yid])
+                found = np.zeros(len(ids), np.int64)
+                np.add.at(found, i, copies[j])
+                np.add.at(found, len(q) + j[once], x_copies[s + i[once]])
+                some = np.flatnonzero(found)
                 low = _forest(i, j + len(q), len(ids))
                 edge = np.flatnonzero(low != np.arange(len(low)))
-                out_a += [qid[some], ids[edge]]
+                out_a += [ids[some], ids[edge]]
                 out_b += [np.full(len(some), -1), ids[low[edge]]]
                 out_n += [found[some], np.full(len(edge), -1)]
         a, b, n = (np.concatenate(o) if o else np.zeros(0, np.int64) for o in (out_a, out_b, out_n))
         return pa.table({"a": pa.array(a.astype(np.int64)), "b": pa.array(b.astype(np.int64), mask=n >= 0), "n": pa.array(n.astype(np.int64), mask=n < 0)})
 
     key = ["list", "member", "query"]
-    queries = classes.select("id", "unit").mapInArrow(tidied(asked), "list int, member int, query int, id long, unit array<double>")
-    members = index.mapInArrow(tidied(told), "list int, member int, query int, id long, unit array<double>, copies long, codes binary, left_out double")
+    queries = classes.select("id", "unit", "copies").mapInArrow(tidied(asked), "list int, member int, query int, id long, unit array<double>, copies long, home int")
+    members = index.mapInArrow(tidied(told), "list int, member int, query int, id long, unit array<double>, copies long, codes binary, left_out double, asks binary")
     return queries.groupBy(*key).cogroup(members.groupBy(*key)).applyInArrow(met, "a long, b long, n long")
 
 

@@ -69,7 +69,7 @@ def test_simple8b_query_gives_the_ids_of_the_untouched_library(spark, docs, tmp_
 
 def test_next_row_and_likeness(docs):
     rows = docs.filter("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    for n in (2, 5):
+    for n in (1, 2, 5):
         got = {r["doc_id"]: r["next_text"] for r in winnow.with_next(rows, "doc_id", ["text"], n).collect()}
         assert got == {i: TEXTS[i - 1] or "" for i in range(len(TEXTS))}
     prints = winnow.fingerprint(rows, {"text": "a"})
@@ -357,3 +357,174 @@ def test_equal_rows_are_dealt_to_several_chunks(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(rows) == 1000 and len({r["ids"] for r in rows}) == 1 and len({r["p"] for r in rows}) > 1
+
+
+def test_next_rows_of_equal_and_null_keys_form_one_ring(spark):
+    rng = random.Random(3)
+    rows = [(k, f"{k}-{i}") for i, k in enumerate([None] * 300 + [7] * 300 + rng.sample(range(1000), 300))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for n in (1, 4, 40):
+        got = {r["text"]: r["next_text"] for r in winnow.with_next(df, "doc_id", ["text"], n).collect()}
+        assert len(got) == len(rows) == len(set(got.values()))
+        seen, at = [], max(got, key=lambda t: -1 if t[0] == "N" else int(t.split("-")[0]))
+        for _ in rows:
+            seen.append(at)
+            at = got[at]
+        assert len(set(seen)) == len(rows)
+        keys = [-1 if t[0] == "N" else int(t.split("-")[0]) for t in seen]
+        i = keys.index(max(keys))
+        assert keys[i:] + keys[:i] == sorted(keys, reverse=True) or sorted(keys[:i] + keys[i:], reverse=True) == keys
+
+
+def test_edited_likeness_is_that_of_plain_python(spark):
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(100, "é" * 200 + "abc" * 50), (50, "the end " * 40)]
+    got = {r["doc_id"]: r for r in queries.edited_likeness(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    order = sorted((i for i, _ in rows), reverse=True)
+    text = {i: t or "" for i, t in rows}
+    prints = {r["doc_id"]: r["fingerprint"] for r in got.values()}
+
+    def grams(fingerprint):
+        return {fingerprint[i : i + 8] for i in range(0, len(fingerprint), 8)}
+
+    for i, j in zip(order, order[1:] + order[:1]):
+        n = len(text[i]) // 2
+        edited = text[i][: len(text[i]) - n] + text[j][:n]
+        r, a, b, c = got[i], grams(prints[i]), grams(got[i]["edited_fingerprint"]), grams(prints[j])
+        assert r["n_chars"] == len(text[i]) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert r["near_edited"] == (len(a & b) / len(a | b) if a | b else 1.0) and r["near_next"] == (len(a & c) / len(a | c) if a | c else 1.0)
+
+
+def plain_line_dedup(rows, low=10):
+    keys = [[x.strip(" \t\n\x0b\x0c\r").translate({i: i + 32 for i in range(65, 91)}) for x in (t or "").split("\n")] for _, t in rows]
+    held = {}
+    for (i, _), ks in zip(rows, keys):
+        for k in ks:
+            if len(k) >= low:
+                held.setdefault(k, set()).add(float("inf") if i is None else i)
+    out = []
+    for (i, t), ks in zip(rows, keys):
+        me = float("inf") if i is None else i
+        lines_ = (t or "").split("\n")
+        stay = [x for x, k in zip(lines_, ks) if not (k in held and len(held[k]) > 1 and min(held[k]) != me)]
+        out.append((i, len(lines_), len(lines_) - len(stay), "\n".join(stay)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_line_dedup_asks_the_filters_of_batches_before(spark, batches, monkeypatch):
+    rng = random.Random(7)
+    pool = [f"a line of number {i} of them" for i in range(60)] + ["short", "", "  A LINE of number 3 of them ", "été " * 5]
+    rows = [(None if i % 3 == 0 else rng.randrange(70), rng.choice([None, "", "x\n"]) if i % 17 == 0 else "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 6)))) for i in range(200)]
+    rows += rows[:9]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    asked, probe = [], lines.probe
+    monkeypatch.setattr(lines, "probe", lambda *a: asked.append(1) or probe(*a))
+    got = [(r["doc_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in lines.dedup(df, batches=batches).collect()]
+    assert sorted(got, key=str) == plain_line_dedup(rows)
+    assert len(asked) == batches - 1
+
+
+def test_counts_of_links_hold_for_both_ends_with_more_lists_than_probes(spark):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((10_000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    other = rng.standard_normal(x.shape)
+    other -= (other * x).sum(1)[:, None] * x
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    c = rng.uniform(0.9, 0.97, len(x))[:, None]
+    x = np.concatenate([x, c * x + np.sqrt(1 - c**2) * other])
+    want_links, want = np.zeros(len(x), int), 0
+    for i in range(0, len(x), 2000):
+        near = x[i : i + 2000] @ x.T >= 0.9
+        want_links[i : i + 2000] = near.sum(1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(8)
+    assert len(x) // pq.LIST_SIZE >= 128
+    got = {r["id"]: (r["n_links"], r["component_id"]) for r in pq.link(df).collect()}
+    found = sum(n for n, _ in got.values()) / want_links.sum()
+    members = {}
+    for i, (_, g) in got.items():
+        members.setdefault(g, []).append(i)
+    assert found >= 0.99
+    assert all(got[i][0] > 0 for m in members.values() if len(m) > 1 for i in m)
+    assert all(got[i][0] <= want_links[i] for i in got)
+
+
+def test_pipeline_behind_its_first_stage_against_plain_python(spark, tmp_path):
+    import duckdb
+
+    base = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("doc_id < 90").orderBy("doc_id").collect()
+    texts = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in base]
+    made = []
+    for k, (_, t, lang, source) in enumerate(texts[:30]):
+        w = t.split(" ")
+        made.append((1000 + k, " ".join(w[: len(w) // 2] + ["changed"] + w[len(w) // 2 + 1 :]), lang, source))
+        made.append((2000 + k, t + "\nThis line stands in many documents\nshort", lang, source))
+    rows = texts + made + [(3000, texts[3][1], "en", None), (3001, None, None, None), (3002, "", "en", "x")]
+    table = spark.createDataFrame([(i, t, lang, s, len(t or "")) for i, t, lang, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    table.coalesce(2).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((r["doc_id"], r["n_tokens"], r["ids_sha256"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    kept = sorted((r["doc_id"], r["text"], r["source"]) for r in corpus_pipeline.language(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), None).collect())
+    assert len(kept) >= len(rows) - 4
+    source = {i: s for i, _, s in kept}
+    deduped = [(i, t) for i, _, _, t in plain_line_dedup([(i, t) for i, t, _ in kept])]
+    deduped.sort()
+    sets, low = [], {}
+    for i, t in deduped:
+        w = re.findall(r"[^\x20\x09-\x0D]+", t.translate({c: c + 32 for c in range(65, 91)}))
+        sets.append((i, {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()))
+        low[i] = i
+    for a, (i, x) in enumerate(sets):
+        for j, y in sets[:a]:
+            if x and y and 100 * len(x & y) >= 80 * len(x | y):
+                u, v = low[i], low[j]
+                low = {k: min(u, v) if g in (u, v) else g for k, g in low.items()}
+    single = [(i, t, source[i]) for i, t in deduped if low[i] == i]
+    assert len(single) < len(deduped)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", single)
+    enc = tiktoken.Encoding("own", pat_str=PT.PATTERN, mergeable_ranks=pretokens.read_ranks(RANKS), special_tokens={})
+    want, text = [], {i: t for i, t, _ in single}
+    for i, size, taken in con.execute(f"SELECT doc_id, size, taken FROM ({queries.OP9_SQL})").fetchall():
+        ids = enc.encode_ordinary(text[i])
+        want += [(i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())] * (taken // size if size else 0)
+    assert got == sorted(want)
+
+
+@pytest.fixture(scope="module")
+def no_rows(spark, tmp_path_factory):
+    d = str(tmp_path_factory.mktemp("empty"))
+    for name in ("documents", "embeddings", "pages"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(0).write.parquet(f"{d}/{name}.parquet")
+    return d
+
+
+@pytest.mark.parametrize("name", [*queries.QUERIES, "pipeline"])
+def test_empty_tables_give_empty_results(spark, no_rows, name):
+    run = corpus_pipeline.run if name == "pipeline" else queries.QUERIES[name]
+    assert run(spark, no_rows).count() == 0
+
+
+def test_rows_without_an_id_are_mixed_and_linked_each(spark):
+    rng = random.Random(5)
+    rows = [(None if i % 3 == 0 else i, " ".join(rng.choice("abcdef") for _ in range(rng.randint(0, 9))), rng.choice(["x", None])) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    planned = mixing.plan(df).collect()
+    assert len(planned) == 300
+    for source in ("x", None):
+        own = [r for r in planned if r["source"] == source]
+        size = sum(r["size"] for r in own)
+        assert sorted(r["before"] for r in own if r["size"]) == sorted({r["before"] for r in own if r["size"]})  # words before a row are its own place
+        assert max(r["before"] + r["size"] for r in own) == size
+    vectors = spark.createDataFrame([(None, [1.0, 0.0]), (None, [1.0, 0.1]), (3, [1.0, 0.0]), (4, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    assert sorted(r["n_links"] for r in pq.link(vectors).collect()) == [0, 2, 2, 2]
+
+
+def test_very_long_texts(spark):
+    words = [f"w{i * 7919 % 5003}" for i in range(400_000)]
+    long = " ".join(words)
+    df = spark.createDataFrame([(1, long), (2, long[:-5] + "e é"), (3, "short")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in queries.edited_likeness(df).collect()}
+    assert got[1]["n_chars"] == len(long) and got[2]["near_next"] > 0.9
+    out = {r["doc_id"]: r for r in pii.replace(df.withColumn("text", F.concat("text", F.lit(" a@example.org")))).collect()}
+    assert all(r["n_entities"] == 1 and "a@example.org" not in r["text"] for r in out.values())

@@ -219,17 +219,22 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     return cut_lineage(labels, f"{name}-labels")
 
 
-def order_buckets(df: DataFrame, key: str, n: int) -> Column:
-    """Number of the range of the integer ``key`` that a row is in, for about ``n`` ranges of
-    equal counts; a null key is in range -1. The cut points, one a range, come from
-    Spark's own range partitioning of the key alone."""
+def order_buckets(df: DataFrame, key: str, n: int, tie: Column | None = None, parts: int = 64) -> Column:
+    """Number of the range of the integer ``key`` that a row is in, ascending, for about ``n`` ranges of
+    equal counts; a null key is in the first. The cut points, one a range, come from Spark's own range
+    partitioning of the key alone. A key that is a cut point (as one that fills a range is) has a range to
+    itself, as null has, cut into ``parts`` by ``tie``, a 64-bit integer that orders rows of one key."""
     keys = df.select(F.col(key).cast("long").alias("k")).filter("k is not null").repartitionByRange(n, "k")
     found = keys.groupBy(F.spark_partition_id().alias("p")).agg(F.max("k").alias("top")).collect()
-    cuts = np.array(sorted(r["top"] for r in found)[:-1], np.int64)
-
-    @F.pandas_udf("int")
-    def bucket(ids: pd.Series) -> pd.Series:
-        at = np.searchsorted(cuts, ids.fillna(0).to_numpy(np.int64), "left")
-        return pd.Series(np.where(ids.isna(), -1, at).astype(np.int32))
-
-    return bucket(F.col(key).cast("long"))
+    cuts = np.array(sorted({r["top"] for r in found}), np.int64)
+
+    @F.pandas_udf("long")
+    def bucket(ids: pd.Series, ties: pd.Series) -> pd.Series:
+        k = ids.fillna(0).to_numpy(np.int64)
+        left, right = np.searchsorted(cuts, k, "left"), np.searchsorted(cuts, k, "right")
+        at = np.where(ids.isna(), 0, 1 + left + right)  # odd: between two cuts, even: on one
+        alone = np.isin(at, [0]) | (left != right)
+        order = (ties.to_numpy(np.int64) ^ np.int64(-(1 << 63))).view(np.uint64)
+        return pd.Series(at.astype(np.int64) * parts + np.where(alone, (order // np.uint64(-(-(1 << 64) // parts))).astype(np.int64), 0))
+
+    return bucket(F.col(key).cast("long"), F.lit(0).cast("long") if tie is None else tie)

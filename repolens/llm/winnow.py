@@ -23,6 +23,8 @@ from repolens.llm.common import Stretches, code_points, list_array, order_bucket
 from repolens.session import cut_lineage
 
 K, W = 24, 64
+#: Ranges that rows are dealt into at most, and parts of a range that one key has to itself.
+MAX_RANGES, PARTS = 1 << 14, 64
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -95,10 +97,12 @@ def with_next(df: DataFrame, key: str, columns: list[str], n_ranges: int, prefix
     the first row follows the last. Rows of one key are taken in the order of the hash of
     ``columns``; null keys come last.
 
-    Rows are dealt into ranges of the key. The largest row of each range (one a range) is
-    sent to the range above as well, so that no range needs another."""
+    Rows are dealt into ranges of the key, at most ``MAX_RANGES``; a key that fills ranges, and null, by the hash too. The
+    largest row of each range is sent to the range above as well, so that no range needs another: what is
+    broadcast for that is a key a range, at most ``2 * MAX_RANGES`` and ``PARTS`` for each key that has a range to itself."""
     least = F.lit(-(1 << 63))
-    dealt = df.withColumn("range", order_buckets(df, key, n_ranges)).withColumn("tie", F.xxhash64(*columns))
+    dealt = df.withColumn("tie", F.xxhash64(*columns))
+    dealt = dealt.withColumn("range", order_buckets(df, key, min(n_ranges, MAX_RANGES), F.col("tie"), PARTS))
     at = F.struct(F.coalesce(F.col(key).cast("long"), least).alias("k"), F.col("tie"))
     down = Window.orderBy(F.col("range").desc())  # one row a range
     tops = dealt.groupBy("range").agg(F.max(at).alias("top"))

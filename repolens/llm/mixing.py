@@ -75,7 +75,12 @@ def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     taken_words (of the source)."""
     rows = docs.select(F.col(key).alias("id"), F.col(source).alias("source"), words(text).alias("size"), F.xxhash64(F.col(text)).alias("digest"))
     order = F.md5(F.coalesce(F.col("id").cast("string"), F.lit("null")).cast("binary"))
-    rows = cut_lineage(rows.withColumn("order", order).withColumn("bucket", F.substring("order", 1, DIGITS)), "mix-sizes")
+    # Rows without an id share one hash: they are cut by their texts' digests, in the order of the window below.
+    none = F.md5(F.lit("null").cast("binary"))
+    by_text = F.lpad(F.hex(F.shiftrightunsigned(F.col("digest").bitwiseXOR(F.lit(-(1 << 63))), 52)), 3, "0")
+    place = F.when(F.col("id").isNull(), F.concat(F.lit("1"), by_text)).when(F.col("order") < none, F.lit("0")).otherwise(F.lit("2"))
+    bucket = F.concat(F.substring("order", 1, DIGITS), place)
+    rows = cut_lineage(rows.withColumn("order", order).withColumn("bucket", bucket), "mix-sizes")
     buckets = cut_lineage(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "mix-buckets")
     aims = cut_lineage(targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size"))), "mix-targets")
     up = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -108,6 +108,7 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids",
     def words(table: pa.Table) -> pa.Table:
         data, offsets = _inflated(table["body"])
         _, distinct = coded(data, P.token_bounds(data, offsets, P.classes()))
+        del data, offsets
         order, hashes = P.by_hash(distinct)
         body, at = text_parts(distinct)
         start, size = at[:-1][order], np.diff(at)[order]

@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from repolens.llm.common import Stretches, code_points, coded, text_parts
+from repolens.llm.common import Stretches, code_points, coded, row_groups, text_parts
 
 PIECE = 1 << 19
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -117,7 +117,9 @@ def pre_tokens(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, size: i
 def by_hash(distinct) -> tuple[np.ndarray, np.ndarray]:
     """An order of distinct words that does not depend on how they were met, by hash and then by bytes, and their hashes in it."""
     data, at = text_parts(distinct)
-    hashes = Stretches(data).of(at[:-1], at[1:])
+    # Piece by piece: a hash depends on the word alone, and long prefix sums take memory.
+    parts = [Stretches(data[at[i] : at[j]]).of(at[i:j] - at[i], at[i + 1 : j + 1] - at[i]) for i, j in row_groups(at, PIECE)]
+    hashes = np.concatenate([np.zeros(0, np.uint64), *parts])
     order = np.argsort(hashes, kind="stable")
     hashes = hashes[order]
     tied = np.flatnonzero(hashes[1:] == hashes[:-1])

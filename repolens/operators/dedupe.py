@@ -26,11 +26,11 @@ def keep_latest(
 
     ``ties="all"`` (default): rows tied on the latest date all survive; rows
     with a NULL key or a NULL date are never deleted (SQL ``=`` and ``<``
-    never hold on NULL). Plan: partial ``max`` per key, then one left join
+    never hold on NULL). Plan: partial ``max`` per key, then a left join
     back on the keys and a ``date >= max`` filter; AQE splits a hot key on
     the large side.
     ``ties="one"``: one row per key (greatest date, then greatest row),
-    a single partial aggregation.
+    by a partial aggregation of whole rows, which Spark sorts by key.
     """
     keys = list(keys)
     protected = _any_null(keys) | F.col(date_col).isNull()
@@ -48,8 +48,8 @@ def keep_latest(
     latest = latest.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], _LATEST)
     left = df.alias("__l")
     cond = reduce(lambda a, b: a & b, [F.col(f"__l.{k}") == F.col(f"__k{i}") for i, k in enumerate(keys)])
-    # One pass over ``df``: ``latest`` is unique per key, so the left join
-    # never duplicates a row; protected rows find no partner and are kept by
+    # ``df`` is read twice, once for its keys and dates only. ``latest`` is
+    # unique per key, so the left join never duplicates a row; protected rows find no partner and are kept by
     # the filter. The date test stays out of the join keys, so the join is
     # clustered on ``keys`` only and an input already partitioned by them
     # (e.g. after a de-duplication) is not re-shuffled.
@@ -60,7 +60,8 @@ def keep_latest(
 
 def dedupe_first(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
     """One row per key: the first by ``order_cols`` (ties broken by the rest
-    of the row) (G1). A single partial ``min(struct)`` aggregation."""
+    of the row) (G1). A partial ``min(struct)`` aggregation, which Spark sorts
+    by key on both sides of the shuffle."""
     keys = list(keys)
     order_cols = [c for c in order_cols if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
@@ -80,7 +81,7 @@ def best_version_per_package(
 ) -> DataFrame:
     """One row per (repo, package): a NULL version wins, else the greatest
     version text; among equal versions the greatest operator, NULL last
-    (C24). A single partial ``max(struct)`` aggregation."""
+    (C24). A partial ``max(struct)`` aggregation, which Spark sorts by key."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c not in (version_col, operator_col)]
     best = df.groupBy(*keys).agg(

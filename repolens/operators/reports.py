@@ -7,9 +7,10 @@ and are broadcast back only because n bounds them.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from repolens.functions.numeric import kpi_decimal, kpi_int
@@ -243,28 +244,47 @@ def corr_matrix(data: DataFrame, columns: list[str] | None = None, scale: float
     """pairwise-complete Pearson correlation x100, one decimal, in long
     form (row, col, corr). A constant column gives NULL instead of an error.
 
-    Each input row becomes one (pair, x, y) row per column pair i <= j, with
-    x and y masked to the rows where both are present; a keyed aggregate of
-    three moments then runs map-side inside whole-stage codegen (a single
-    wide aggregate of every pair carries hundreds of buffer fields and
-    falls back to interpreted evaluation). The shuffle carries one row per
-    pair and input partition; no driver work."""
+    One narrow pass: rows are grouped by which columns are present, so that
+    within a group every pair is complete and one aggregate of means,
+    variances and covariances serves all pairs (no row per pair; with six
+    columns 91 buffer fields, which whole-stage codegen takes). At most
+    2 ** len(columns) groups remain; their moments are merged per pair about
+    a mean of the pair's own, so values far from zero lose no digits and a
+    column constant on a pair's rows has a variance of exactly zero. An
+    empty input has no rows; a pair never present together has NULL. Up to
+    62 columns."""
     columns = list(columns or CORR_COLUMNS)
     pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    values = [F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)]
+    bits = [F.when(F.col(f"v{i}").isNull(), 0).otherwise(1 << i).cast("long") for i in range(len(columns))]
+    present = reduce(lambda a, b: a + b, bits)
+    moments = [F.count(F.lit(1)).alias("n")]
+    for i in range(len(columns)):
+        v = F.col(f"v{i}")
+        moments += [F.sum(v).alias(f"sum{i}"), F.min(v).alias(f"min{i}"), F.var_pop(v).alias(f"m{i}_{i}")]
+    moments += [F.covar_pop(f"v{i}", f"v{j}").alias(f"m{i}_{j}") for i, j in pairs if i != j]
+    groups = data.select(*values).groupBy(present.alias("present")).agg(*moments)
+
+    def mean(i: int) -> Column:  # of a constant the value itself: a sum over a count may be off by a digit
+        return F.when(F.col(f"m{i}_{i}") == 0, F.col(f"min{i}")).otherwise(F.col(f"sum{i}") / F.col("n"))
+
     entries = []
     for p, (i, j) in enumerate(pairs):
-        a, b = F.col(columns[i]).cast("double"), F.col(columns[j]).cast("double")
-        both = a.isNotNull() & b.isNotNull()
-        entries.append(F.struct(F.lit(p).alias("p"), F.when(both, a).alias("x"), F.when(both, b).alias("y")))
-    per_pair = (
-        data.select(F.inline(F.array(*entries)))
-        .groupBy("p")
-        .agg(
-            F.round(
-                F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")) * F.lit(scale), 1
-            ).alias("corr")
-        )
+        both = F.col(f"m{i}_{j}").isNotNull()
+        shares = {"n": F.col("n"), "x": mean(i), "y": mean(j)}
+        shares |= {"xx": F.col(f"m{i}_{i}"), "yy": F.col(f"m{j}_{j}"), "xy": F.col(f"m{i}_{j}")}
+        entries.append(F.struct(F.lit(p).alias("p"), *[F.when(both, c).alias(name) for name, c in shares.items()]))
+    pair = Window.partitionBy("p")
+    shifted = groups.select(F.inline(F.array(*entries))).select(
+        "p", "n", "xx", "yy", "xy", (F.col("x") - F.min("x").over(pair)).alias("x"), (F.col("y") - F.min("y").over(pair)).alias("y")
     )
+
+    def merged(a: str, b: str, within: str) -> Column:
+        n, x, y = F.col("n"), F.col(a), F.col(b)
+        return F.sum(n * F.col(within)) + F.sum(n * x * y) - F.sum(n * x) * F.sum(n * y) / F.sum(n)
+
+    spread = F.sqrt(F.greatest(merged("x", "x", "xx"), F.lit(0.0))) * F.sqrt(F.greatest(merged("y", "y", "yy"), F.lit(0.0)))
+    per_pair = shifted.groupBy("p").agg(F.round(F.try_divide(merged("x", "y", "xy"), spread) * F.lit(scale), 1).alias("corr"))
     # Pair index -> column names; both orientations of an off-diagonal pair
     # share one value.
     first = F.array(*[F.lit(columns[i]) for i, _ in pairs])

@@ -177,6 +177,42 @@ def test_corr_pairwise_complete_matches_brute_force(spark):
             assert got[(x, y)] is not None and math.isclose(got[(x, y)], want, abs_tol=1e-9), (x, y, got[(x, y)], want)
 
 
+def test_corr_groups_of_nulls_merge_exactly(spark):
+    """Every pattern of nulls, values far from zero, a column constant on some pairs' rows only, one
+    never present with another: against a per-pair computation in exact fractions."""
+    import random
+    from fractions import Fraction
+
+    rng = random.Random(5)
+    cols = ["a", "b", "c", "d", "e"]
+    data = []
+    for n in range(400):
+        a = 1e9 + rng.random() if rng.random() < 0.7 else None
+        b = rng.gauss(3.0, 2.0) + (a - 1e9 if a else 0.0) if rng.random() < 0.6 else None
+        c = 0.1 if b is not None else (rng.random() if rng.random() < 0.5 else None)
+        d = None if a is not None else rng.random()
+        e = 0.1 * n if rng.random() < 0.9 else None
+        data.append((a, b, c, d, e))
+    df = spark.createDataFrame(data, ", ".join(f"{c} double" for c in cols)).repartition(5)
+    found = RP.corr_matrix(df, cols).collect()
+    got = {(r.row, r.col): r.corr for r in found}
+    assert len(found) == len(got) == len(cols) ** 2
+    for i, x in enumerate(cols):
+        for j, y in enumerate(cols):
+            both = [(Fraction(r[i]), Fraction(r[j])) for r in data if r[i] is not None and r[j] is not None]
+            n = len(both) or 1
+            mx, my = sum(p for p, _ in both) / n, sum(q for _, q in both) / n
+            xx, yy = sum((p - mx) ** 2 for p, _ in both), sum((q - my) ** 2 for _, q in both)
+            xy = sum((p - mx) * (q - my) for p, q in both)
+            if not xx or not yy:
+                assert got[(x, y)] is None, (x, y, got[(x, y)])
+            else:
+                want = float(xy) / (float(xx) ** 0.5 * float(yy) ** 0.5) * 100
+                assert abs(got[(x, y)] - want) <= 0.0501, (x, y, got[(x, y)], want)
+    assert got[("a", "d")] is None and got[("b", "c")] is None and got[("a", "c")] is not None
+    assert RP.corr_matrix(df.limit(0), cols).count() == 0
+
+
 def test_topic_histogram(spark):
     df = spark.createDataFrame([("t1", 1), ("t2", 1), ("t3", 12), ("t4", 10), ("t3", 1)], "topic string, n_repos long")
     got = rows(RP.topic_histogram(df, 10), "sort_key", "freq", "count")

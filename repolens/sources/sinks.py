@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from repolens.functions.dates import ntz_lit
 from pyspark.sql import types as T
 
-from repolens.operators.reports import record_count
 from repolens.schemas import LANDING_PARTITIONS
 from repolens.session import cut_lineage, own_scratch, path_exists, swap_partitions
 
@@ -143,20 +142,16 @@ def clear_table(df: DataFrame, path: str) -> None:
 def table_stats(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     """Exact row count and total bytes of each Parquet table.
 
-    Bytes are summed over the distinct files of the table (``_metadata``);
-    there is no index size on Spark.
+    One scan a table that reads no column: rows are counted by file, and the
+    files' counts and sizes (``_metadata``) are summed. A table without rows
+    counts 0 and has NULL bytes; there is no index size on Spark.
     """
     frames = []
     for name, path in tables.items():
-        df = spark.read.parquet(path)
-        rows = record_count(df).withColumnRenamed("n_records", "row_count")
-        size = (
-            df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-            .distinct()
-            .agg(F.sum("s").alias("total_bytes"))
-        )
+        files = spark.read.parquet(path).groupBy("_metadata.file_path", "_metadata.file_size").agg(F.count(F.lit(1)).alias("n"))
         frames.append(
-            rows.select(F.lit(name).alias("table_name"), "row_count", size.select("total_bytes").scalar().alias("total_bytes"))
+            files.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.sum("file_size").alias("total_bytes"))
+            .select(F.lit(name).alias("table_name"), "row_count", "total_bytes")
         )
     out = frames[0]
     for f in frames[1:]:

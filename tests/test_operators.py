@@ -108,6 +108,21 @@ def test_keep_top_k(spark):
     assert got == [("A", 3), ("B", 2), ("Other", 2), ("__NA__", 1)]
 
 
+def test_first_per_key_edges(spark):
+    """NULL keys are one key, NULL comes first, ties go to the rest of the row, repeated rows are one;
+    keys alone and empty tables work."""
+    df = spark.createDataFrame(
+        [(None, 2, "b"), (None, 1, "c"), (1, None, "z"), (1, 0, "a"), (2, 5, "q"), (2, 5, None), (3, 1, "x"), (3, 1, "x")],
+        "k int, o int, v string",
+    )
+    found = sorted((tuple(r) for r in dedupe_first(df, ["k"], ["o"]).collect()), key=str)
+    assert found == sorted([(None, 1, "c"), (1, None, "z"), (2, 5, None), (3, 1, "x")], key=str)
+    assert sorted(str(r.k) for r in dedupe_first(df.select("k"), ["k"], []).collect()) == ["1", "2", "3", "None"]
+    assert dedupe_first(df.limit(0), ["k"], ["o"]).count() == 0
+    last = sorted((tuple(r) for r in keep_latest(df, ["k"], "o", ties="one").collect()), key=str)
+    assert last == sorted([(None, 2, "b"), (None, 1, "c"), (1, None, "z"), (1, 0, "a"), (2, 5, "q"), (3, 1, "x")], key=str)
+
+
 def test_best_version(spark):
     df = spark.createDataFrame(
         [(1, "a", "9", "=="), (1, "a", "10", ">="), (2, "b", None, None), (2, "b", "1.0", "=="), (3, "c", "1", None), (3, "c", "1", "==")],

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,18 +143,16 @@ def clear_table(df: DataFrame, path: str) -> None:
 def table_stats(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     """Exact row count and total bytes of each Parquet table.
 
-    One scan a table that reads no column: rows are counted by file, and the
-    files' counts and sizes (``_metadata``) are summed. A table without rows
-    counts 0 and has NULL bytes; there is no index size on Spark.
+    One scan a table that reads no column; the rows of all tables are counted
+    by file in one aggregate, and the files' counts and sizes (``_metadata``)
+    summed by table. A table without rows counts 0 and has NULL bytes; there
+    is no index size on Spark.
     """
-    frames = []
-    for name, path in tables.items():
-        files = spark.read.parquet(path).groupBy("_metadata.file_path", "_metadata.file_size").agg(F.count(F.lit(1)).alias("n"))
-        frames.append(
-            files.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.sum("file_size").alias("total_bytes"))
-            .select(F.lit(name).alias("table_name"), "row_count", "total_bytes")
-        )
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    files = [
+        spark.read.parquet(path).select(F.lit(name).alias("table_name"), "_metadata.file_path", "_metadata.file_size")
+        for name, path in tables.items()
+    ]
+    named = [(name, None, None) for name in tables]  # a row without a file keeps tables without rows
+    rows = reduce(DataFrame.unionByName, files, spark.createDataFrame(named, "table_name string, file_path string, file_size long"))
+    by_file = rows.groupBy("table_name", "file_path", "file_size").agg(F.count("file_path").alias("n"))
+    return by_file.groupBy("table_name").agg(F.sum("n").alias("row_count"), F.sum("file_size").alias("total_bytes"))

@@ -32,8 +32,7 @@ SAMPLE = 1024
 STEPS = 260
 BATCH = 192
 UNKNOWN = "und"
-#: Held-out documents a language that set the thresholds, how many a threshold needs, and what part of their score is asked.
-HELD_SAMPLE = 256
+#: How many held-out documents a threshold needs, and what part of their score is asked.
 LEAST_ROWS = 30
 ASKED = 0.95
 
@@ -171,11 +170,11 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", size: int = SAMPLE, held: bool = False) -> list[tuple[bytes, str]]:
-    """(text, language) of at most ``size`` documents a language, for training or, if ``held``, of those held out: of each of ``size`` hash
+def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", size: int = SAMPLE) -> list[tuple[bytes, str]]:
+    """(text, language) of at most ``size`` documents a language for training: of each of ``size`` hash
     buckets the document whose text has the smallest hash. Of a long text the part
     sampled is 1024 characters from a place that its hash gives."""
-    usable = docs.filter(F.col(lang).isNotNull() & (F.length(text) > 0) & (held_out(F.col(key)) == F.lit(held)))
+    usable = docs.filter(F.col(lang).isNotNull() & (F.length(text) > 0) & ~held_out(F.col(key)))
     hashed = usable.select(F.col(lang).alias("y"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("x"))
     least = hashed.groupBy("y", F.pmod(F.col("h"), F.lit(size)).alias("bucket")).agg(F.min("h").alias("h")).select("y", "h")
     part = F.expr("substring(x, 1 + cast(pmod(shiftright(h, 20), greatest(1, char_length(x) - 1024)) as int), 1024)")
@@ -210,24 +209,27 @@ def pooled(model: Model, data: np.ndarray, offsets: np.ndarray, window: int = WI
 def thresholds(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", lang: str = "lang") -> list[float]:
     """By the bit length of a text's number of bytes, the score that shows a learned language: a part (``ASKED``)
     of the lowest score of held-out documents of that or a larger bit length, among those whose language the
-    network finds. Where fewer than ``LEAST_ROWS`` are left, that of shorter texts; with too few in all, 0."""
+    network finds. Every labelled held-out document counts, with its whole text; a row a bit length comes to the
+    driver. Where fewer than ``LEAST_ROWS`` are left, that of shorter texts; with too few in all, 0."""
     out = [0.0] * 40
-    rows = sample(docs.filter(F.col(text).rlike(r"\p{L}")), key, text, lang, HELD_SAMPLE, held=True) if model.languages else []
-    if not rows:
+    if not model.languages:
         return out
-    bounds = np.concatenate([[0], np.cumsum([len(x) for x, _ in rows])])
-    p = pooled(model, np.frombuffer(b"".join(x for x, _ in rows), np.uint8), bounds)
-    right = np.array([model.languages[i] == y for i, (_, y) in zip(p.argmax(1), rows)])
-    bits, score = np.array([len(x).bit_length() for x, _ in rows])[right], p.max(1)[right]
+    held = docs.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & held_out(F.col(key)))
+    scored = predict(held.select(F.col(text).alias("text"), F.col(lang).alias("lang")), model).filter("lang_pred = lang")
+    rows = scored.groupBy(_bit_length("text").alias("bits")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).collect()
     for b in range(len(out)):
-        some = score[bits >= b]
-        out[b] = ASKED * float(some.min()) if len(some) >= LEAST_ROWS else out[max(0, b - 1)]
+        some = [r for r in rows if r["bits"] >= b]
+        out[b] = ASKED * min(r["least"] for r in some) if sum(r["n"] for r in some) >= LEAST_ROWS else out[max(0, b - 1)]
     return out
 
 
+def _bit_length(text: str) -> Column:
+    return F.length(F.bin(F.octet_length(text)))
+
+
 def shown(thresholds_: list[float], text: str = "text") -> Column:
     """Whether a predicted row's text has letters and a score that shows a learned language."""
-    asked = F.element_at(F.array(*map(F.lit, thresholds_)), F.length(F.bin(F.octet_length(text))) + 1)
+    asked = F.element_at(F.array(*map(F.lit, thresholds_)), _bit_length(text) + 1)
     return F.col(text).rlike(r"\p{L}") & (F.col("score") >= asked)
 
 

@@ -114,8 +114,8 @@ def _load(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, np.uint16).reshape(-1, cuckoo.SLOTS).copy()
 
 
-def _build(keys: np.ndarray) -> bytes:
-    n = len(keys)
+def _build(keys: np.ndarray, room: int = 1) -> bytes:
+    n = len(keys) * room
     while True:
         table = cuckoo.empty(n)
         if cuckoo.insert(table, keys):
@@ -123,11 +123,11 @@ def _build(keys: np.ndarray) -> bytes:
         n *= 2
 
 
-def build_filters(counts: DataFrame, bits: int) -> DataFrame:
-    """(shard, table): a filter of all keys of each shard."""
+def build_filters(counts: DataFrame, bits: int, room: int = 1) -> DataFrame:
+    """(shard, table): a filter of all keys of each shard, with room for ``room`` times as many."""
 
     def built(rows: pa.Table) -> pa.Table:
-        return pa.table({"shard": rows["shard"][:1], "table": pa.array([_build(rows["lo"].to_numpy())], pa.binary())})
+        return pa.table({"shard": rows["shard"][:1], "table": pa.array([_build(rows["lo"].to_numpy(), room)], pa.binary())})
 
     return counts.select(_shard(bits), "lo").groupBy("shard").applyInArrow(built, "shard long, `table` binary")
 
@@ -143,15 +143,16 @@ def probe(keys: DataFrame, filters: DataFrame, bits: int) -> DataFrame:
     return keys.select(_shard(bits), "hi", "lo").groupBy("shard").cogroup(filters.groupBy("shard")).applyInArrow(asked, "hi long, lo long, known boolean")
 
 
-def insert(index: Index, docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, shard_keys: int = SHARD_KEYS, new_ids: bool = False, once: bool = False) -> Index:
+def insert(index: Index, docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, shard_keys: int = SHARD_KEYS, new_ids: bool = False, once: bool = False, room: int = 1) -> Index:
     """The index with ``docs`` added. A document that it holds already gains its new keys. ``new_ids``: the
-    index holds none of them; ``once``: no id is in two rows."""
+    index holds none of them; ``once``: no id is in two rows; ``room``: how many times these keys the first
+    filters have room for, so that batches to come don't fill them."""
     new = postings(docs, key, text, min_chars)
     if index.postings.isEmpty():
         held = cut_lineage(new, "line-postings")
         counts = cut_lineage(_counted(held, once or not _repeats(docs, key)), "line-counts")
         bits = max(4, int(counts.count() // shard_keys).bit_length())
-        return Index(held, counts, cut_lineage(build_filters(counts, bits), "line-filters"), bits)
+        return Index(held, counts, cut_lineage(build_filters(counts, bits, room), "line-filters"), bits)
     if new_ids:
         added = fresh = cut_lineage(new, "line-postings")
     else:
@@ -260,5 +261,5 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: i
     index = empty(docs.sparkSession)
     batch = F.pmod(F.xxhash64(doc_key(key)), F.lit(batches))
     for i in range(batches):
-        index = insert(index, docs.filter(batch == i), key, text, min_chars, new_ids=True, once=once)
+        index = insert(index, docs.filter(batch == i), key, text, min_chars, new_ids=True, once=once, room=batches)
     return apply(docs, drops(index), key, text, min_chars)

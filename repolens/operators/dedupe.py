@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from repolens.session import cut_lineage
+
 _LATEST = "__latest"
 
 
@@ -71,6 +73,17 @@ def dedupe_first(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataF
     )
 
 
+def dedupe_repeated(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
+    """``dedupe_first`` for wide rows of keys that seldom repeat: the keys that do are counted first (keys alone
+    are shuffled) and written, and only their rows are aggregated; all others stay where they are. Same rows,
+    whatever the keys; ``df`` is read three times, the first time for its keys only."""
+    keys = list(keys)
+    counts = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    found = cut_lineage(counts.where(F.col("__n") > 1).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]), "repeated")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    once = df.join(found, same, "left_anti")
+    return once.unionByName(dedupe_first(df.join(found, same, "left_semi"), keys, order_cols))
+
 
 
 def best_version_per_package(

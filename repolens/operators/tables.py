@@ -3,8 +3,9 @@
 ``normalize_repos`` turns landed search items into one row per repository
 with flags, rounded dates and mapped language; ``repo_table``,
 ``topic_table`` and ``owner_table`` split that into the three modelled
-tables. All steps are narrow projections except the G1 de-duplication and
-the owner count, which are single partial aggregations.
+tables. All steps are narrow projections except the G1 de-duplication, which
+shuffles ids and the rows of repeated ids, and the owner count, a single
+partial aggregation.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from repolens.functions import normalize as N
 from repolens.functions.dates import ntz_lit, days_since, parse_iso_timestamp, round_to_day
 from repolens.functions.text import has_topic, join_topics_capped
-from repolens.operators.dedupe import dedupe_first
+from repolens.operators.dedupe import dedupe_repeated
 from repolens.schemas import NA, REPO_COLUMNS, TOPICS_MAX_LENGTH
 
 _RENAMES = {
@@ -72,9 +73,9 @@ def normalize_repos(
         *[F.col(c) for c in (order_cols or [])],
     )
     if order_cols:
-        df = dedupe_first(df, ["id"], list(order_cols)).drop(*order_cols)
+        df = dedupe_repeated(df, ["id"], list(order_cols)).drop(*order_cols)
     else:
-        df = dedupe_first(df, ["id"], [])
+        df = dedupe_repeated(df, ["id"], [])
     return df
 
 

@@ -78,7 +78,7 @@ def blobs(spark: SparkSession, d: str) -> DataFrame:
 def _landed_trees(spark: SparkSession, d: str, second: bool = False) -> DataFrame:
     """The trees as JSON responses, one a line, read back by the reader."""
     path = shared_scratch(spark, "trees")
-    trees(spark, d, second).write.json(path)
+    trees(spark, d, second).write.option("compression", "gzip").json(path)
     return R.read_tree_pages(spark, path, multi_line=False)
 
 
@@ -158,7 +158,7 @@ def _pages(spark: SparkSession, d: str) -> str:
     path = shared_scratch(spark, "pages")
     raw = B.landed_repos(spark, d)
     item = F.struct(*[c for c in raw.columns if c not in ("language", "created_date", "created_month")])
-    raw.select("language", F.lit(1).cast("long").alias("total_count"), F.array(item).alias("items")).write.partitionBy("language").json(path)
+    raw.select("language", F.lit(1).cast("long").alias("total_count"), F.array(item).alias("items")).write.partitionBy("language").option("compression", "gzip").json(path)
     return path
 
 
@@ -176,8 +176,8 @@ def file_metadata(spark: SparkSession, d: str) -> DataFrame:
 
 def etl_all(spark: SparkSession, d: str) -> DataFrame:
     root, tree_path, blob_path = (shared_scratch(spark, n) for n in ("etl", "etl-trees", "etl-blobs"))
-    trees(spark, d).write.json(tree_path)
-    blobs(spark, d).write.parquet(blob_path)
+    trees(spark, d).write.option("compression", "gzip").json(tree_path)
+    blobs(spark, d).write.option("compression", "zstd").parquet(blob_path)
     sources = E.Sources(_pages(spark, d), tree_path, blob_path, multi_line=False)
     now = current_branches(spark, d)
     for start, end, ts in ((START, FIRST_END, TS1), (SECOND_START, END, TS2)):

@@ -34,6 +34,8 @@ BATCH = 192
 UNKNOWN = "und"
 #: How many held-out documents a threshold needs, and what part of their score is asked.
 LEAST_ROWS = 30
+#: Texts of this bit length (1024 bytes) and longer ones share a threshold.
+LONGEST_BITS = 11
 ASKED = 0.95
 
 
@@ -216,7 +218,7 @@ def thresholds(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "
         return out
     held = docs.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & held_out(F.col(key)))
     scored = predict(held.select(F.col(text).alias("text"), F.col(lang).alias("lang")), model).filter("lang_pred = lang")
-    rows = scored.groupBy(_bit_length("text").alias("bits")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).collect()
+    rows = scored.groupBy(F.least(_bit_length("text"), F.lit(LONGEST_BITS)).alias("bits")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).collect()
     for b in range(len(out)):
         some = [r for r in rows if r["bits"] >= b]
         out[b] = ASKED * min(r["least"] for r in some) if sum(r["n"] for r in some) >= LEAST_ROWS else out[max(0, b - 1)]

@@ -52,7 +52,7 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_scratch(spark, "warc")
-    warc.write(_table(spark, sf_dir, "pages"), path)
+    warc.write(_table(spark, sf_dir, "pages"), path, compression="gzip")
     return warc.read(spark, path).select(
         warc.page_number(F.col("id")).alias("page_id"),
         "payload_bytes",
